@@ -318,8 +318,8 @@ def exact_dedupe(batch_keys: DataFrame, history_keys: DataFrame | None = None) -
     """
     pending = batch_keys.select("id", "arrival", "url_key", "hash_key")
     if history_keys is not None:
-        pending = pending.join(history_keys.select("url_key").distinct(), "url_key", "left_anti")
-        pending = pending.join(history_keys.select("hash_key").distinct(), "hash_key", "left_anti")
+        pending = pending.join(history_keys.select("url_key"), "url_key", "left_anti")
+        pending = pending.join(history_keys.select("hash_key"), "hash_key", "left_anti")
     pending = cut_lineage(pending.select("id", "arrival", "url_key", "hash_key"))
     kept = None
     while not pending.isEmpty():
