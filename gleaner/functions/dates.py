@@ -52,11 +52,6 @@ def week_start(ts: Column) -> Column:
     return F.date_trunc("week", ts).cast("date")
 
 
-def _interval(amount: Column, unit: str) -> Column:
-    us = {"minute": 60_000_000, "hour": 3_600_000_000, "day": 86_400_000_000}[unit]
-    return amount * us
-
-
 def china_time(stamp: Column) -> Column:
     """``yyyy-MM-dd HH:mm[:ss]`` wall time at +08:00, as UTC."""
     padded = F.when(stamp.rlike(r":\d{2}:\d{2}$"), stamp).otherwise(F.concat(stamp, F.lit(":00")))
@@ -66,24 +61,20 @@ def china_time(stamp: Column) -> Column:
 
 def listing_time(value: Column, now: Column) -> Column:
     """Times as written on listing pages: ``N 分钟/小时/天前``, ``MM月DD日``, absolute +08:00 time; else null."""
-    text = tx.strip(value)
-    amount = F.regexp_extract(text, r"(?U)^(\d+)\s*(?:分钟|小时|天)前$", 1).try_cast("bigint")
-    step = (
-        F.when(text.contains("分钟"), F.lit(60_000_000))
-        .when(text.contains("小时"), F.lit(3_600_000_000))
-        .otherwise(F.lit(86_400_000_000))
-    )
-    month_day = F.concat(
-        F.year(now).cast("string"), F.lit("-"),
-        F.regexp_extract(text, r"^(\d{2})月(\d{2})日$", 1), F.lit("-"),
-        F.regexp_extract(text, r"^(\d{2})月(\d{2})日$", 2), F.lit(" 00:00:00"),
-    )
-    absolute = F.regexp_replace(text, r"(?U)^(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)$", "$1 $2")
-    return (
-        F.when(text.rlike(r"(?U)^\d+\s*(分钟|小时|天)前$"), from_micros(micros(now) - amount * step))
-        .when(text.rlike(r"^\d{2}月\d{2}日$"), china_time(month_day))
-        .when(text.rlike(r"(?U)^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}(:\d{2})?$"), china_time(absolute))
-    )
+    ago, month_day, absolute = r"(?U)^(\d+)\s*(分钟|小时|天)前$", r"^(\d{2})月(\d{2})日$", r"(?U)^(\d{4}-\d{2}-\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)$"
+
+    def read(text: Column) -> Column:
+        unit = F.regexp_extract(text, ago, 2)
+        step = F.when(unit == "分钟", F.lit(60_000_000)).when(unit == "小时", F.lit(3_600_000_000)).otherwise(F.lit(86_400_000_000))
+        amount = F.regexp_extract(text, ago, 1).try_cast("bigint")
+        this_year = F.concat(F.year(now).cast("string"), F.regexp_replace(text, month_day, "-$1-$2 00:00:00"))
+        return (
+            F.when(text.rlike(ago), from_micros(micros(now) - amount * step))
+            .when(text.rlike(month_day), china_time(this_year))
+            .when(text.rlike(absolute), china_time(F.regexp_replace(text, absolute, "$1 $2")))
+        )
+
+    return tx.let(tx.strip(value), read)
 
 
 _ZONED = r"(?i)\s*(gmt|utc|z|[+-]\d{2}:?\d{2})$"

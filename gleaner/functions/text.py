@@ -6,7 +6,7 @@ means an ASCII word boundary (Java's own ``\\b`` does not fire between Han and L
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ _ASCII_BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-
 _HAN = r"\p{IsHan}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def java_pattern(pattern: str) -> str:
     """Rewrite ``\\b`` to an ASCII word boundary and give ``\\s`` its Unicode meaning."""
     return "(?U)" * (r"\s" in pattern) + pattern.replace(r"\b", _ASCII_BOUNDARY)

@@ -1,12 +1,12 @@
 """URL columns: validate, resolve, canonicalise. Bad input never raises; it gives null or false.
 
-An address is taken apart once per row into a struct and the parts are used from there (:func:`_let`), which keeps
+An address is taken apart once per row into a struct and the parts are used from there (:func:`gleaner.functions.text.let`), which keeps
 the expression small however often a part is needed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -23,11 +23,6 @@ _ANY = rf"^{_EDGE}[A-Za-z][A-Za-z0-9+.\-]*:[/\\]{{2,}}(?:[^/?#\\@]*@)?{_HOST}{_P
 _PARTS = rf"^([A-Za-z][A-Za-z0-9+.\-]*):[/\\]*([^/?#\\@]*@)?({_HOST})?({_PORT})([^?#]*)(\?[^#]*)?"
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` evaluated once per row."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _trimmed(url: Column) -> Column:
     return F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$|[\t\r\n]", "")
 
@@ -51,7 +46,7 @@ def _parts(url: Column) -> Column:
             F.substring(F.regexp_extract(t, _PARTS, 6), 2, 1 << 30).alias("query"),
         )
 
-    return _let(_trimmed(url), split)
+    return tx.let(_trimmed(url), split)
 
 
 def _origin(p: Column) -> Column:
@@ -59,7 +54,7 @@ def _origin(p: Column) -> Column:
 
 
 def origin(url: Column) -> Column:
-    return _let(_parts(url), _origin)
+    return tx.let(_parts(url), _origin)
 
 
 def host(url: Column) -> Column:
@@ -90,7 +85,7 @@ def _path(path: Column) -> Column:
             .otherwise(raw)
         )
 
-    return _let(escaped, undot)
+    return tx.let(escaped, undot)
 
 
 def _decode(part: Column) -> Column:
@@ -131,9 +126,9 @@ def _joined(p: Column, path: Column, query: Column) -> Column:
 def _canonical(url: Column, dropped: Sequence[str], dropped_prefix: str | None = None) -> Column:
     def build(p: Column) -> Column:
         path = F.regexp_replace(_path(p["path"]), "(?<=.)/$", "")
-        return _let(_clean_query(p["query"], dropped, dropped_prefix), lambda q: _joined(p, path, q))
+        return tx.let(_clean_query(p["query"], dropped, dropped_prefix), lambda q: _joined(p, path, q))
 
-    return _let(_parts(url), build)
+    return tx.let(_parts(url), build)
 
 
 def collected_url(url: Column) -> Column:
@@ -154,7 +149,7 @@ def link_key(url: Column) -> Column:
 
 def package_link_key(url: Column) -> Column:
     """Key for package source links: fragment and host case only."""
-    key = _let(_parts(url), lambda p: _joined(p, _path(p["path"]), p["query"]))
+    key = tx.let(_parts(url), lambda p: _joined(p, _path(p["path"]), p["query"]))
     return F.when(is_http_url(url), key).otherwise(F.lower(tx.strip(url)))
 
 
@@ -173,12 +168,12 @@ def resolve(href: Column, base: Column) -> Column:
             .otherwise(F.concat(_origin(p), F.coalesce(tx.null_if_blank(F.regexp_replace(p["path"], "[^/]*$", "")), F.lit("/")), link))
         )
 
-    return _let(F.struct(_trimmed(href).alias("link"), _parts(base).alias("base")), join)
+    return tx.let(F.struct(_trimmed(href).alias("link"), _parts(base).alias("base")), join)
 
 
 def resolved_url(href: Column, base: Column) -> Column:
     """Canonical absolute URL of a link on a page; null when it is not http(s)."""
-    return _let(resolve(href, base), collected_url)
+    return tx.let(resolve(href, base), collected_url)
 
 
 def same_origin(left: Column, right: Column) -> Column:

@@ -1,3 +1,3 @@
 """All registered queries."""
 
-from gleaner.plans import text_queries  # noqa: F401
+from gleaner.plans import dedupe_queries, source_queries, text_queries  # noqa: F401

@@ -208,7 +208,7 @@ def distinct_in_order(expr: str) -> str:
 
 
 # --- duplicates ---------------------------------------------------------------------------------------------------------
-TOKS = f"""toks AS (
+TOKS = f"""toks AS MATERIALIZED (
   SELECT id, arrival, url_key, CASE WHEN {norm('raw_content')} <> '' THEN sha256({norm('raw_content')}) END AS hash_key,
     {tokens(norm_title('article_title'))} AS tset, {tokens('raw_content')} AS bset FROM items)"""
 
@@ -216,11 +216,16 @@ TOKS = f"""toks AS (
 def best_match(where: str = "true") -> str:
     """CTE ``best``: id, parent, score, reason; ``where`` restricts pairs (aliases a: item, b: earlier item)."""
     return f"""
+words AS (SELECT id, arrival, unnest(tset) AS w FROM toks),
+shared AS (SELECT a.id AS aid, b.id AS bid, count(*) AS c FROM words a JOIN words b ON a.w = b.w AND b.arrival < a.arrival WHERE {where} GROUP BY 1, 2),
+near AS (SELECT aid, bid FROM shared JOIN toks a ON a.id=aid JOIN toks b ON b.id=bid WHERE c > 0.47*(len(a.tset)+len(b.tset)-c)),
+same AS (SELECT a.id AS aid, b.id AS bid FROM toks a JOIN toks b ON a.url_key=b.url_key AND b.arrival < a.arrival WHERE {where}
+  UNION SELECT a.id, b.id FROM toks a JOIN toks b ON a.hash_key=b.hash_key AND b.arrival < a.arrival WHERE {where}),
 cand AS (SELECT a.id, b.id AS pid, b.arrival AS parr, a.url_key=b.url_key AS eu, coalesce(a.hash_key=b.hash_key, false) AS eh,
-   {jaccard('a.tset', 'b.tset')} AS t, a.bset AS ab, b.bset AS bb FROM toks a JOIN toks b ON b.arrival < a.arrival WHERE {where}),
+   {jaccard('a.tset', 'b.tset')} AS t, a.bset AS ab, b.bset AS bb FROM (SELECT * FROM near UNION SELECT * FROM same) p JOIN toks a ON a.id=p.aid JOIN toks b ON b.id=p.bid),
 rated AS (SELECT id, pid, parr, eu, eh, CASE WHEN eu OR eh THEN 1e0 ELSE greatest(0.65e0*t + 0.35e0*{jaccard('ab', 'bb')}, CASE WHEN t=1 THEN 0.78e0 ELSE 0e0 END) END AS score
    FROM cand WHERE eu OR eh OR t > 0.47),
-best AS (SELECT id, pid AS parent, score, CASE WHEN eu THEN 'exact_url' WHEN eh THEN 'exact_content' ELSE 'near_duplicate' END AS reason FROM (
+best AS MATERIALIZED (SELECT id, pid AS parent, score, CASE WHEN eu THEN 'exact_url' WHEN eh THEN 'exact_content' ELSE 'near_duplicate' END AS reason FROM (
    SELECT *, row_number() OVER (PARTITION BY id ORDER BY (eu OR eh) DESC, CASE WHEN eu OR eh THEN parr END, score DESC, parr) AS rn FROM rated WHERE score >= 0.66e0) WHERE rn=1)"""
 
 

@@ -171,7 +171,7 @@ def iso_week(spark, folder):
 
 @query(
     "freshness_hours",
-    f"WITH {s.ITEMS} SELECT id, {s.freshness('timestamp ''2024-02-01 00:00:00''', 'published_at')} AS hours FROM items",
+    f"WITH {s.ITEMS} SELECT id, " + s.freshness("timestamp '2024-02-01 00:00:00'", "published_at") + " AS hours FROM items",
 )
 def freshness_hours(spark, folder):
     return items(spark, folder).select("id", dt.freshness_hours(dt.ntz("2024-02-01 00:00:00"), F.col("published_at")).alias("hours"))
