@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner import fixed_values as fv
@@ -23,6 +23,16 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add (or replace) costly columns so that each is evaluated once per row.
+
+    They come out of a one-row generator, which the optimiser neither merges into later projections nor copies into
+    filters pushed below it; a plain projection would have its expressions repeated wherever they are used.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    return df.select(*kept, F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def java_pattern(pattern: str) -> str:
     """Rewrite ``\\b`` to an ASCII word boundary and give ``\\s`` its Unicode meaning."""
     return "(?U)" * (r"\s" in pattern) + pattern.replace(r"\b", _ASCII_BOUNDARY)
@@ -115,9 +125,8 @@ def claim_tokens(c: Column, stop_words: Sequence[str], keep_han: bool = True) ->
 
 def jaccard(left: Column, right: Column) -> Column:
     """Jaccard of two duplicate-free arrays; 0 when either is empty."""
-    common = F.size(F.array_intersect(left, right))
-    total = F.size(left) + F.size(right) - common
-    return F.when((F.size(left) == 0) | (F.size(right) == 0), F.lit(0.0)).otherwise(common / total)
+    counts = F.struct(F.size(F.array_intersect(left, right)).alias("c"), (F.size(left) + F.size(right)).alias("n"))
+    return let(counts, lambda x: F.when(x["c"] == 0, F.lit(0.0)).otherwise(x["c"] / (x["n"] - x["c"])))
 
 
 def blended_score(title_similarity: Column, body_similarity: Column) -> Column:
@@ -130,9 +139,13 @@ def overlap_ratio(left: Column, right: Column) -> Column:
     """Share of left chunks present on the right, over the shorter list."""
     a = F.regexp_extract_all(left, F.lit(rf"({_HAN}{{1,2}}|[a-z0-9]+)"), 1)
     b = F.regexp_extract_all(right, F.lit(rf"({_HAN}{{1,2}}|[a-z0-9]+)"), 1)
-    hits = F.size(F.filter(a, lambda t: F.array_contains(b, t)))
-    shorter = F.least(F.size(a), F.size(b))
-    return F.when(shorter == 0, F.lit(0.0)).otherwise(hits / shorter)
+
+    def ratio(x: Column) -> Column:
+        hits = F.size(F.filter(x["a"], lambda t: F.array_contains(x["b"], t)))
+        shorter = F.least(F.size(x["a"]), F.size(x["b"]))
+        return F.when(shorter == 0, F.lit(0.0)).otherwise(hits / shorter)
+
+    return let(F.struct(a.alias("a"), b.alias("b")), ratio)
 
 
 def clamp(c: Column, limit: int, mark: str = "...", tidy: bool = True) -> Column:

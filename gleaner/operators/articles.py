@@ -46,15 +46,20 @@ def simplify(c: Column) -> Column:
 def too_similar(title: Column, intro: Column) -> Column:
     """Intro says the same as the title: equal, one starts with the other, or nearly all chunks shared."""
     t, s = simplify(title), simplify(intro)
-    alike = s.startswith(t) | (t.startswith(s) & (F.length(s) >= 12)) | (tx.overlap_ratio(t, s) >= 0.85)
-    return (t != "") & (s != "") & alike
+
+    def alike(x: Column) -> Column:
+        a, b = x["t"], x["s"]
+        same = b.startswith(a) | (a.startswith(b) & (F.length(b) >= 12)) | (tx.overlap_ratio(a, b) >= 0.85)
+        return (a != "") & (b != "") & same
+
+    return tx.let(F.struct(t.alias("t"), s.alias("s")), alike)
 
 
 def normalized_intro(intro: Column, title: Column) -> Column:
     """First sentence, clamped; blank when it has no Han text or repeats the title."""
     first = tx.strip(F.regexp_extract(compact_intro(intro), "([^。！？.!?]+[。！？!?]?)", 1))
-    short = F.when(tx.has_han(first), tx.clamp(first, 60)).otherwise(tx.clamp(first, 120))
-    return F.when(tx.has_han(short) & ~too_similar(title, short), short).otherwise(F.lit(""))
+    short = tx.let(first, lambda x: F.when(tx.has_han(x), tx.clamp(x, 60)).otherwise(tx.clamp(x, 120)))
+    return tx.let(short, lambda x: F.when(tx.has_han(x) & ~too_similar(title, x), x).otherwise(F.lit("")))
 
 
 def normalized_body(body: Column) -> Column:
@@ -79,26 +84,26 @@ def validate_articles(items: DataFrame, entries: DataFrame) -> DataFrame:
     """
     df = items.join(entries, "id", "left")
     none = F.array().cast("array<string>")
-    df = df.withColumns(
+    df = tx.settle(
+        df,
         {
             "_has": F.col("gen_title").isNotNull(),
             "gen_title": F.coalesce("gen_title", F.lit("")),
             "gen_links": F.coalesce("gen_links", none),
             "_raw_intro": compact_intro(F.coalesce("gen_intro", F.lit(""))),
             "_body": normalized_body(F.coalesce("gen_body", F.lit(""))),
-        }
+        },
     )
-    df = df.withColumn("_intro", normalized_intro(F.coalesce("gen_intro", F.lit("")), F.col("gen_title")))
+    df = tx.settle(df, {"_intro": normalized_intro(F.coalesce("gen_intro", F.lit("")), F.col("gen_title"))})
     allowed = F.transform(F.filter(kept_links(), ul.is_http_url), ul.canonical_url)
     offered = F.transform(F.filter("gen_links", ul.is_http_url), ul.canonical_url)
     text = F.concat_ws(" ", "gen_title", "_body", "_intro")
     claims = tx.claim_tokens(text, fv.ARTICLE_STOP_WORDS, keep_han=False)
     evidence = tx.without(tx.stem_tokens(evidence_text()), fv.ARTICLE_STOP_WORDS)
     points = F.filter(F.transform(F.split("_body", "\n"), tx.strip), lambda x: x.rlike(r"(?U)^[0-9]+\.\s+"))
-    df = df.withColumns({"_kept": F.arrays_overlap(allowed, offered), "_points": points})
-    df = df.withColumn(
-        "_traced", (tx.has_han(text) & F.col("_kept")) | F.coalesce(traced_share(claims, evidence) >= 0.25, F.lit(False))
-    )
+    df = tx.settle(df, {"_kept": F.arrays_overlap(allowed, offered), "_points": points})
+    traced = (tx.has_han(text) & F.col("_kept")) | F.coalesce(traced_share(claims, evidence) >= 0.25, F.lit(False))
+    df = tx.settle(df, {"_traced": traced})
     checks = [
         (tx.strip(F.col("gen_title")) == "", fv.VERIFY_NO_TITLE),
         (F.col("_intro") == "", fv.ARTICLE_NO_INTRO),
@@ -113,12 +118,13 @@ def validate_articles(items: DataFrame, entries: DataFrame) -> DataFrame:
         (~F.col("_traced"), fv.VERIFY_NO_TRACE),
     ]
     reasons = F.array_compact(F.array(*[F.when(bad, F.lit(r)) for bad, r in checks]))
-    df = df.withColumns(
+    df = tx.settle(
+        df,
         {
             "reasons": F.when(F.col("_has"), reasons).otherwise(F.array(F.lit(fv.ARTICLE_MISSING))),
             "norm_intro": F.col("_intro"),
             "norm_body": F.col("_body"),
-        }
+        },
     )
     return df.drop("_has", "_raw_intro", "_body", "_intro", "_kept", "_points", "_traced")
 
@@ -206,7 +212,7 @@ def validate_responses(responses: DataFrame, fields: dict[str, str] = CLASSIFICA
     ddl = ", ".join(f"{k}: {_DDL[kind]}" for k, kind in fields.items())
     fence = F.regexp_extract(tx.strip(F.col("raw")), r"(?is)^```(?:json)?\s*(.*?)\s*```$", 1)
     plain = F.coalesce(tx.null_if_blank(tx.strip(fence)), tx.strip(F.col("raw")))
-    df = responses.withColumn("_text", plain).withColumn("_v", F.try_parse_json("_text"))
+    df = tx.settle(tx.settle(responses, {"_text": plain}), {"_v": F.try_parse_json("_text"), "_text": F.col("_text")})
     ok = F.lit(True)
     for name, kind in fields.items():
         typed = F.try_variant_get("_v", f"$.{name}", _DDL["text"] if kind == "text" else _DDL[kind])
@@ -220,7 +226,7 @@ def validate_responses(responses: DataFrame, fields: dict[str, str] = CLASSIFICA
         else:
             good = (shape == "STRING") & (typed != "")
         ok = ok & F.coalesce(good, F.lit(False))
-    df = df.withColumn("_ok", F.col("_text").startswith("{") & ok)
+    df = tx.settle(df, {"_ok": F.col("_text").startswith("{") & ok})
     value = F.from_json("_text", f"struct<{ddl}>")
     native = df.filter("_ok").select("id", value.alias("value"), F.lit(None).cast("string").alias("error"))
     id_type = responses.schema["id"].dataType.simpleString()

@@ -57,11 +57,9 @@ def _labels(text: Column, signals: list) -> Column:
 def prefilter_score(items: DataFrame, signals: Signals = Signals()) -> DataFrame:
     """Adds ``prefilter_score`` and ``prefilter_signals`` from title and excerpt."""
     text = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("excerpt", F.lit(""))))
-    df = items.withColumn("_text", text)
-    held = {}
-    for name, _, patterns in signals.prefilter:
-        df = df.withColumn(f"_{name}", tx.matches(F.col("_text"), "|".join(f"(?:{p})" for p in patterns)))
-        held[name] = F.col(f"_{name}")
+    df = tx.settle(items, {"_text": text})
+    df = tx.settle(df, {f"_{name}": tx.matches(F.col("_text"), "|".join(f"(?:{p})" for p in patterns)) for name, _, patterns in signals.prefilter})
+    held = {name: F.col(f"_{name}") for name, _, _ in signals.prefilter}
     risk, risk_points = fv.PREFILTER_OFF_TOPIC
     rules = [(name, points, held[name]) for name, points, _ in signals.prefilter] + [(risk, risk_points, ~held["game"])]
     score = F.lit(0)
@@ -93,56 +91,63 @@ def prefilter_apply(
 
 
 # --- dictionary scorer ----------------------------------------------------------------------------------------------
-def relevance_scores(items: DataFrame, signals: Signals = Signals()) -> DataFrame:
-    """Adds the three relevance scores. The hit counts are taken once and stay as columns for later steps."""
+def _with_hits(items: DataFrame, extra: dict[str, Callable[[Column], Column]], signals: Signals) -> DataFrame:
+    """Signal counts and flags of each item, every pattern matched once."""
     text = F.lower(F.concat(F.coalesce("article_title", F.lit("")), F.lit("\n"), F.col("raw_content")))
-    df = items.withColumn("_text", text)
-    df = df.withColumns(
-        {
-            "_ai": _hits(F.col("_text"), signals.ai),
-            "_game": _hits(F.col("_text"), signals.game),
-            "_cross": _hits(F.col("_text"), signals.cross),
-        }
-    )
+    df = tx.settle(items, {"_text": text})
+    t = F.col("_text")
+    counts = {"_ai": _hits(t, signals.ai), "_game": _hits(t, signals.game), "_cross": _hits(t, signals.cross)}
+    return tx.settle(df, {**counts, **{name: make(t) for name, make in extra.items()}})
+
+
+def _scores() -> dict[str, Column]:
     ai, game, cross = F.col("_ai"), F.col("_game"), F.col("_cross")
-    df = df.withColumns(
-        {
-            "ai_relevance_score": clamp_score(F.when(ai == 0, F.lit(12)).otherwise(25 + ai * 20 + cross * 6)),
-            "game_relevance_score": clamp_score(F.when(game == 0, F.lit(20)).otherwise(30 + game * 14 + cross * 6)),
-        }
-    )
-    a, g = F.col("ai_relevance_score"), F.col("game_relevance_score")
+    a = clamp_score(F.when(ai == 0, F.lit(12)).otherwise(25 + ai * 20 + cross * 6))
+    g = clamp_score(F.when(game == 0, F.lit(20)).otherwise(30 + game * 14 + cross * 6))
     one_sided = dt.round_half_up(a * 0.35 + g * 0.25)
     both = dt.round_half_up(a * 0.45 + g * 0.35 + cross * 8 + (F.col("source_weight") - 50) * 0.08)
-    return df.withColumn("cross_relevance_score", clamp_score(F.when((ai == 0) | (game == 0), one_sided).otherwise(both)))
+    c = clamp_score(F.when((ai == 0) | (game == 0), one_sided).otherwise(both))
+    return {"ai_relevance_score": a, "game_relevance_score": g, "cross_relevance_score": c}
+
+
+def relevance_scores(items: DataFrame, signals: Signals = Signals()) -> DataFrame:
+    """Adds the three relevance scores."""
+    return tx.settle(_with_hits(items, {}, signals), _scores())
 
 
 def classify(items: DataFrame, min_cross: int = fv.MIN_CROSS_SCORE, signals: Signals = Signals()) -> DataFrame:
     """Scores, news value, first matching exclusion, candidate flag and tags."""
-    df = relevance_scores(items, signals)
-    text = F.col("_text")
-    df = df.withColumns({"_low": tx.is_low_information(F.col("raw_content")), "_repost": tx.matches(text, signals.repost)})
+    flags = {
+        "_value": lambda t: _hits(t, signals.value),
+        "_tutorial": lambda t: tx.matches(t, signals.tutorial),
+        "_gossip": lambda t: tx.matches(t, signals.gossip),
+        "_repost": lambda t: tx.matches(t, signals.repost),
+        "_low": lambda t: tx.is_low_information(F.col("raw_content")),
+    }
+    df = tx.settle(_with_hits(items, flags, signals), _scores())
     value = clamp_score(
-        dt.round_half_up(F.col("cross_relevance_score") * 0.55 + F.col("source_weight") * 0.2 + _hits(text, signals.value) * 6 + 20)
+        dt.round_half_up(F.col("cross_relevance_score") * 0.55 + F.col("source_weight") * 0.2 + F.col("_value") * 6 + 20)
     )
-    df = df.withColumn("news_value_score", F.when(F.col("_repost") | F.col("_low"), F.lit(35)).otherwise(value))
+    df = tx.settle(df, {"news_value_score": F.when(F.col("_repost") | F.col("_low"), F.lit(35)).otherwise(value)})
     rule = (
-        F.when(tx.matches(text, signals.tutorial), F.lit(fv.REASON_TUTORIAL))
-        .when(tx.matches(text, signals.gossip), F.lit(fv.REASON_GOSSIP))
-        .when(F.col("_repost") | (F.length(text) < 50), F.lit(fv.REASON_REPOST))
+        F.when(F.col("_tutorial"), F.lit(fv.REASON_TUTORIAL))
+        .when(F.col("_gossip"), F.lit(fv.REASON_GOSSIP))
+        .when(F.col("_repost") | (F.length("_text") < 50), F.lit(fv.REASON_REPOST))
         .when((F.col("ai_relevance_score") < 40) & (F.col("game_relevance_score") >= 45), F.lit(fv.REASON_NON_AI))
         .when(F.col("cross_relevance_score") < min_cross, F.lit(fv.REASON_LOW_CROSS))
         .when(F.col("news_value_score") < 55, F.lit(fv.REASON_LOW_VALUE))
     )
-    df = df.withColumn("provider_reasons", F.array_compact(F.array(F.when(F.col("_low"), F.lit(fv.REASON_LOW_INFORMATION)), rule)))
+    reasons = F.array_compact(F.array(F.when(F.col("_low"), F.lit(fv.REASON_LOW_INFORMATION)), rule))
     nothing = F.array().cast("array<string>")
-    return df.withColumns(
+    df = tx.settle(
+        df,
         {
-            "provider_candidate": F.size("provider_reasons") == 0,
+            "provider_reasons": reasons,
             "ai_tags": F.when(F.col("ai_relevance_score") > 50, F.array(F.lit("tooling"), F.lit("workflow"))).otherwise(nothing),
             "game_tags": F.when(F.col("game_relevance_score") > 50, F.array(F.lit("development"), F.lit("operations"))).otherwise(nothing),
-        }
-    ).drop("_low", "_repost")
+        },
+    )
+    return df.withColumn("provider_candidate", F.size("provider_reasons") == 0).drop(*flags)
 
 
 def keyword_labels(text: Column, cross_score: Column, signals: Signals = Signals()) -> Column:
@@ -162,7 +167,7 @@ def category() -> Column:
 def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
     """Adds summary, keywords, category and article texts of scored items."""
     compact = tx.collapse(F.col("raw_content"))
-    df = scored.withColumns({"_content": compact, "_title": tx.strip(F.coalesce("article_title", F.lit("")))})
+    df = tx.settle(scored, {"_content": compact, "_title": tx.strip(F.coalesce("article_title", F.lit("")))})
     content, title = F.col("_content"), F.col("_title")
     derived = F.substring(content, 1, 40)
     merged = F.concat_ws("：", tx.null_if_blank(title), tx.null_if_blank(content))
@@ -180,7 +185,8 @@ def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
         return F.when(F.length(c) > n, F.concat(F.regexp_replace(F.substring(c, 1, n), rf"(?U){tx.WS}+$", ""), F.lit("..."))).otherwise(c)
 
     note = F.concat(F.substring(content, 1, 140), F.when(F.length(content) > 140, F.lit("...")).otherwise(F.lit("")))
-    return df.withColumns(
+    return tx.settle(
+        df,
         {
             "summary": tx.clamp(merged, 140),
             "intro_summary": F.concat(subject, ending),
@@ -189,7 +195,7 @@ def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
             "article_body": F.when(topical, F.concat(lead, cut(content, 220))).otherwise(F.concat(F.lit(fv.BELOW_THRESHOLD_BODY), note)),
             "article_title": F.coalesce(article_title, F.when(topical, F.lit("AI x game update")).otherwise(F.lit("Game industry update"))),
             "official_sources": F.array("source_url"),
-        }
+        },
     ).drop("_content", "_title")
 
 
@@ -251,7 +257,7 @@ def screen_items(raw: DataFrame, scorer: Scorer | None = None, processed_ids: Da
     scored = scorer(raw.withColumn("article_title", F.coalesce("title", F.lit(""))))
     if "score_error" not in scored.columns:
         scored = scored.withColumn("score_error", F.lit(None).cast("string"))
-    scored = scored.withColumn("exclusion_reasons", exclusion_reasons(**thresholds))
+    scored = tx.settle(scored, {"exclusion_reasons": exclusion_reasons(**thresholds)})
     weight = F.col("source_weight")
     score = dt.round_half_up(
         source_weight_adjust(F.col("cross_relevance_score"), weight) * 0.6 + source_weight_adjust(F.col("news_value_score"), weight) * 0.4

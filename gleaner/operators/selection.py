@@ -47,8 +47,13 @@ def evidence_text() -> Column:
 
 def traced_share(claims: Column, evidence: Column) -> Column:
     """Share of claim tokens (repeats count) found in the evidence tokens; null without claim tokens."""
-    distinct = F.array_distinct(evidence)
-    return F.when(F.size(claims) > 0, F.size(F.filter(claims, lambda t: F.array_contains(distinct, t))) / F.size(claims))
+    both = F.struct(claims.alias("claims"), F.array_distinct(evidence).alias("known"))
+    return tx.let(
+        both,
+        lambda x: F.when(
+            F.size(x["claims"]) > 0, F.size(F.filter(x["claims"], lambda t: F.array_contains(x["known"], t))) / F.size(x["claims"])
+        ),
+    )
 
 
 def claims_trace(claim: Column, evidence: Column, threshold: float = 0.5) -> Column:
@@ -76,8 +81,8 @@ def verify(generated: Column, rules: Rules = Rules()) -> Column:
 def with_verification(items: DataFrame, generated: Column, rules: Rules = Rules()) -> DataFrame:
     """Adds ``reasons``."""
     claim = F.concat_ws(" ", F.col("article_title"), F.col("article_body"))
-    traced = items.withColumn("_traced", claims_trace(claim, evidence_text()))
-    return traced.withColumn("reasons", verify(generated, rules)).drop("_traced")
+    traced = tx.settle(items, {"_traced": claims_trace(claim, evidence_text())})
+    return tx.settle(traced, {"reasons": verify(generated, rules)}).drop("_traced")
 
 
 def fallback_fields(note: tuple[str, str], mark: str, tidy: bool) -> dict[str, Column]:
@@ -98,7 +103,7 @@ def evidence_fallback(verified: DataFrame) -> DataFrame:
     only_trace = F.col("is_topic_candidate") & (F.size("reasons") == 1) & (F.get("reasons", F.lit(0)) == fv.VERIFY_NO_TRACE)
     df = verified.withColumn("fell_back", only_trace)
     fields = fallback_fields(fv.SELECTION_FALLBACK_NOTE, "…", tidy=False)
-    return df.withColumns({name: F.when(F.col("fell_back"), value).otherwise(F.col(name)) for name, value in fields.items()})
+    return tx.settle(df, {name: F.when(F.col("fell_back"), value).otherwise(F.col(name)) for name, value in fields.items()})
 
 
 # --- duplicate groups -------------------------------------------------------------------------------------------------
