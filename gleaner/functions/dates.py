@@ -122,7 +122,7 @@ def srt_time(ms: Column) -> Column:
 
 
 def speech_ms(text: Column, base: int = 500, per_char: int = 80, low: int = 900, high: int = 12000) -> Column:
-    spoken = F.length(F.regexp_replace(text, rf"(?U){tx.WS}+", ""))
+    spoken = F.length(F.regexp_replace(text, rf"{tx.WS}+", ""))
     return F.least(F.lit(high), F.greatest(F.lit(low), F.lit(base) + spoken * per_char)).cast("bigint")
 
 

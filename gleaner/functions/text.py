@@ -6,6 +6,7 @@ means an ASCII word boundary (Java's own ``\\b`` does not fire between Han and L
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 
 from gleaner import fixed_values as fv
 
-WS = r"[\s\x{FEFF}]"
-_ASCII_BOUNDARY = r"(?:(?<=[A-Za-z0-9_])(?![A-Za-z0-9_])|(?<![A-Za-z0-9_])(?=[A-Za-z0-9_]))"
+_BLANKS = "\t\n\x0b\x0c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+WS = r"[\t-\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+_WS_NOT_BLANK = WS.replace(" ", "", 1)
+_WORD = "[A-Za-z0-9_]"
+_ASCII_BOUNDARY = rf"(?:(?<={_WORD})(?!{_WORD})|(?<!{_WORD})(?={_WORD}))"
 _HAN = r"\p{IsHan}"
 
 
@@ -34,8 +38,13 @@ def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def java_pattern(pattern: str) -> str:
-    """Rewrite ``\\b`` to an ASCII word boundary and give ``\\s`` its Unicode meaning."""
-    return "(?U)" * (r"\s" in pattern) + pattern.replace(r"\b", _ASCII_BOUNDARY)
+    """Rewrite ``\\b`` to an ASCII word boundary and ``\\s`` to the white-space class.
+
+    A boundary before a word (at the start of a branch) or after one needs one look-around only.
+    """
+    pattern = re.sub(r"(^|[|(]|\?:)\\b(?=[A-Za-z0-9(])", rf"\1(?<!{_WORD})", pattern)
+    pattern = re.sub(r"(?<=[A-Za-z0-9)?])\\b(?=$|[|)])", f"(?!{_WORD})", pattern)
+    return pattern.replace(r"\b", _ASCII_BOUNDARY).replace(r"\s", WS)
 
 
 def matches(text: Column, pattern: str) -> Column:
@@ -47,12 +56,17 @@ def null_if_blank(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, rf"(?U)^{WS}+|{WS}+$", "")
+    return F.btrim(c, F.lit(_BLANKS))
+
+
+def strip_end(c: Column) -> Column:
+    return F.rtrim(c, F.lit(_BLANKS))
 
 
 def collapse(c: Column) -> Column:
     """White-space runs to one blank, ends trimmed."""
-    return F.trim(F.regexp_replace(c, rf"(?U){WS}+", " "))
+    # a single blank needs no rewriting, so only other runs are matched
+    return F.trim(F.regexp_replace(c, f"{_WS_NOT_BLANK}{WS}*| {WS}+", " "))
 
 
 def first_non_blank(*values: Column, default: str | None = None) -> Column:
@@ -153,14 +167,14 @@ def clamp(c: Column, limit: int, mark: str = "...", tidy: bool = True) -> Column
     text = strip(c)
     head = F.substring(text, 1, limit - len(mark))
     if tidy:
-        head = F.regexp_replace(head, rf"(?U){WS}+$", "")
+        head = strip_end(head)
     return F.when(F.length(text) <= limit, text).otherwise(F.concat(head, F.lit(mark)))
 
 
 def clamp_at(c: Column, limit: Column, mark: str = "...") -> Column:
     """Like :func:`clamp` with a limit per row (null: no limit) and without trimming short texts."""
     head = F.substr(c, F.lit(1), F.greatest(limit - len(mark), F.lit(0)))
-    cut = F.concat(F.regexp_replace(head, rf"(?U){WS}+$", ""), F.lit(mark))
+    cut = F.concat(strip_end(head), F.lit(mark))
     plain = F.substr(c, F.lit(1), limit)
     return (
         F.when(limit.isNull() | (F.length(c) <= limit), c)
@@ -239,7 +253,7 @@ def escape_markdown(c: Column) -> Column:
 def escape_markdown_url(c: Column) -> Column:
     c = F.replace(strip(c), F.lit("\\"), F.lit("%5C"))
     c = F.replace(F.replace(c, F.lit("<"), F.lit("%3C")), F.lit(">"), F.lit("%3E"))
-    return F.regexp_replace(c, rf"(?U){WS}", "%20")
+    return F.regexp_replace(c, WS, "%20")
 
 
 def escape_html(c: Column, backtick: bool = False) -> Column:

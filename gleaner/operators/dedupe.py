@@ -29,7 +29,7 @@ from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators.setjoin import similar_sets
-from gleaner.session import cut_lineage, shuffle_width, spread
+from gleaner.session import cut_lineage, shuffle_width
 
 # smallest title similarity that can reach the threshold with a full body match (a hair below, against rounding)
 MIN_TITLE_SIMILARITY = (fv.NEAR_DUPLICATE_THRESHOLD - fv.BODY_SHARE) / fv.TITLE_SHARE - 1e-6
@@ -38,7 +38,7 @@ BLOCK_ROWS = 64
 
 def dedupe_keys(items: DataFrame) -> DataFrame:
     """Keys of every item: URL, content hash, token sets."""
-    keys = spread(items.select("id", "arrival", "source_url", "article_title", "raw_content")).select(
+    keys = items.select(
         "id", "arrival",
         ul.canonical_url(F.col("source_url")).alias("url_key"),
         tx.content_hash(F.col("raw_content"), blank_is_null=True).alias("hash_key"),

@@ -103,7 +103,7 @@ def edition_markdown(editions: DataFrame, items: DataFrame, layout: str = "daily
         F.lit(f"\n\n{head[2]}\n\n"), F.coalesce(F.array_join(toc_lines, ""), F.lit("")), F.lit("\n"),
         F.coalesce(F.array_join(sections, ""), F.lit("")),
     )
-    markdown = F.concat(F.regexp_replace(whole, rf"(?U){tx.WS}+$", ""), F.lit("\n"))
+    markdown = F.concat(F.regexp_replace(whole, rf"{tx.WS}+$", ""), F.lit("\n"))
     return joined.select(scope, F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"), markdown.alias("markdown"))
 
 

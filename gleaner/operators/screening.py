@@ -92,16 +92,16 @@ def prefilter_apply(
 
 # --- dictionary scorer ----------------------------------------------------------------------------------------------
 def _with_hits(items: DataFrame, extra: dict[str, Callable[[Column], Column]], signals: Signals) -> DataFrame:
-    """Signal counts and flags of each item, every pattern matched once."""
+    """Labels of the matched signals and flags of each item, every pattern matched once."""
     text = F.lower(F.concat(F.coalesce("article_title", F.lit("")), F.lit("\n"), F.col("raw_content")))
     df = tx.settle(items, {"_text": text})
     t = F.col("_text")
-    counts = {"_ai": _hits(t, signals.ai), "_game": _hits(t, signals.game), "_cross": _hits(t, signals.cross)}
-    return tx.settle(df, {**counts, **{name: make(t) for name, make in extra.items()}})
+    labels = {"_ai": _labels(t, signals.ai), "_game": _labels(t, signals.game), "_cross": _labels(t, signals.cross)}
+    return tx.settle(df, {**labels, **{name: make(t) for name, make in extra.items()}})
 
 
 def _scores() -> dict[str, Column]:
-    ai, game, cross = F.col("_ai"), F.col("_game"), F.col("_cross")
+    ai, game, cross = F.size("_ai"), F.size("_game"), F.size("_cross")
     a = clamp_score(F.when(ai == 0, F.lit(12)).otherwise(25 + ai * 20 + cross * 6))
     g = clamp_score(F.when(game == 0, F.lit(20)).otherwise(30 + game * 14 + cross * 6))
     one_sided = dt.round_half_up(a * 0.35 + g * 0.25)
@@ -150,10 +150,10 @@ def classify(items: DataFrame, min_cross: int = fv.MIN_CROSS_SCORE, signals: Sig
     return df.withColumn("provider_candidate", F.size("provider_reasons") == 0).drop(*flags)
 
 
-def keyword_labels(text: Column, cross_score: Column, signals: Signals = Signals()) -> Column:
-    labels = _labels(text, [*signals.ai, *signals.game, *signals.cross])
-    extra = F.array_compact(F.array(F.when(cross_score >= 70, F.lit(fv.CROSS_LABEL))))
-    return F.slice(F.array_distinct(F.concat(labels, extra)), 1, 8)
+def keyword_labels() -> Column:
+    """Labels of the matched signals in dictionary order, the cross label, no repeats, at most eight."""
+    extra = F.array_compact(F.array(F.when(F.col("cross_relevance_score") >= 70, F.lit(fv.CROSS_LABEL))))
+    return F.slice(F.array_distinct(F.concat("_ai", "_game", "_cross", extra)), 1, 8)
 
 
 def category() -> Column:
@@ -164,7 +164,7 @@ def category() -> Column:
     )
 
 
-def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
+def describe(scored: DataFrame) -> DataFrame:
     """Adds summary, keywords, category and article texts of scored items."""
     compact = tx.collapse(F.col("raw_content"))
     df = tx.settle(scored, {"_content": compact, "_title": tx.strip(F.coalesce("article_title", F.lit("")))})
@@ -182,7 +182,7 @@ def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
     lead = F.when(article_title.isNotNull(), F.concat(article_title, F.lit("。"))).otherwise(F.lit(""))
 
     def cut(c: Column, n: int) -> Column:
-        return F.when(F.length(c) > n, F.concat(F.regexp_replace(F.substring(c, 1, n), rf"(?U){tx.WS}+$", ""), F.lit("..."))).otherwise(c)
+        return F.when(F.length(c) > n, F.concat(tx.strip_end(F.substring(c, 1, n)), F.lit("..."))).otherwise(c)
 
     note = F.concat(F.substring(content, 1, 140), F.when(F.length(content) > 140, F.lit("...")).otherwise(F.lit("")))
     return tx.settle(
@@ -190,7 +190,7 @@ def describe(scored: DataFrame, signals: Signals = Signals()) -> DataFrame:
         {
             "summary": tx.clamp(merged, 140),
             "intro_summary": F.concat(subject, ending),
-            "keywords": keyword_labels(F.col("_text"), F.col("cross_relevance_score"), signals),
+            "keywords": keyword_labels(),
             "category": category(),
             "article_body": F.when(topical, F.concat(lead, cut(content, 220))).otherwise(F.concat(F.lit(fv.BELOW_THRESHOLD_BODY), note)),
             "article_title": F.coalesce(article_title, F.when(topical, F.lit("AI x game update")).otherwise(F.lit("Game industry update"))),
@@ -203,7 +203,7 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def dictionary_scorer(min_cross: int = fv.MIN_CROSS_SCORE, signals: Signals = Signals()) -> Scorer:
-    return lambda items: describe(classify(items, min_cross, signals), signals)
+    return lambda items: describe(classify(items, min_cross, signals))
 
 
 # --- screening ------------------------------------------------------------------------------------------------------

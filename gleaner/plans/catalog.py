@@ -1,3 +1,3 @@
 """All registered queries."""
 
-from gleaner.plans import curation_queries, dedupe_queries, source_queries, text_queries  # noqa: F401
+from gleaner.plans import curation_queries, dedupe_queries, edition_queries, source_queries, text_queries  # noqa: F401

@@ -102,7 +102,7 @@ def rule_exclusion(spark, folder):
 @query("keyword_labels", f"{_SCORED} SELECT id, array_to_string(keywords, '|') AS keywords FROM scored")
 def keyword_labels(spark, folder):
     scored = sc.relevance_scores(items(spark, folder), SIGNALS)
-    return scored.select("id", joined(sc.keyword_labels(F.col("_text"), F.col("cross_relevance_score"), SIGNALS)).alias("keywords"))
+    return scored.select("id", joined(sc.keyword_labels()).alias("keywords"))
 
 
 @query("categorize", f"{_SCORED} SELECT id, category, array_to_string(ai_tags, '|') AS ai_tags, array_to_string(game_tags, '|') AS game_tags FROM scored")

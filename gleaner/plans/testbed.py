@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from gleaner import fixed_values as fv
 from gleaner.functions import dates as dt
+from gleaner.session import spread
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def items(spark: SparkSession, folder: str) -> DataFrame:

@@ -53,9 +53,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when an input has fewer partitions than the session has cores (a single small file).
+    """Use all cores when a table scan has fewer partitions than the session has cores (a single small file).
 
-    Inputs of any size already have at least that many splits and pass through unchanged.
+    Scans of any size already have at least that many splits and pass through unchanged. For plain scans only: asking
+    a plan with shuffles for its partitions would run it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

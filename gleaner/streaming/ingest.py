@@ -117,7 +117,8 @@ def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator
             out.append((key[0], row.id, best[0], replaced))
         yield pd.DataFrame(out, columns=["key", "id", "root", "replaced"])
     state.update(best)
-    state.setTimeoutDuration(fv.DEDUPE_WINDOW_HOURS * 3_600_000)
+    # event time, so that a run over the available input ends when the input does
+    state.setTimeoutTimestamp(max(best[4] // 1000, state.getCurrentWatermarkMs()) + fv.DEDUPE_WINDOW_HOURS * 3_600_000)
 
 
 def stream_canonical(items: DataFrame, key: str = "content") -> DataFrame:
@@ -127,7 +128,8 @@ def stream_canonical(items: DataFrame, key: str = "content") -> DataFrame:
         by.alias("key"), "id", "arrival", "source_type", "source_weight",
         F.unix_micros(F.col("published_at").cast("timestamp")).alias("published_us"),
         F.unix_micros(F.col("collected_at").cast("timestamp")).alias("collected_us"),
+        F.col("collected_at").cast("timestamp").alias("seen_at"),
     )
-    return rows.groupBy("key").applyInPandasWithState(
-        _follow, _ROOT_OUTPUT, _ROOT_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    return rows.withWatermark("seen_at", f"{fv.DEDUPE_WINDOW_HOURS} hours").groupBy("key").applyInPandasWithState(
+        _follow, _ROOT_OUTPUT, _ROOT_STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
