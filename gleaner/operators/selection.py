@@ -12,6 +12,7 @@ from gleaner.functions import dates as dt
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators.dedupe import duplicate_groups
+from gleaner.session import cut_lineage
 
 
 def parse_quotas(text: str) -> list[tuple[str, int]]:
@@ -228,7 +229,9 @@ def select_and_audit(items: DataFrame, generated: Column, rules: Rules = Rules()
     An item is in one edition; duplicates of items of another edition count for their own edition.
     """
     scope = scope or ["edition"]
-    judged = judged_candidates(items, generated, rules, scope)
+    # scored items and judged candidates each feed several branches; they are written once to the checkpoint folder
+    items = cut_lineage(items)
+    judged = cut_lineage(judged_candidates(items, generated, rules, scope))
     chosen = balanced_topk(judged.filter("eligible"), generated, rules, scope)
     picked = chosen.select("id", F.lit(True).alias("_picked"))
     rest = judged.join(picked, "id", "left").filter("_picked is null")

@@ -390,8 +390,8 @@ def stream_ingest(spark, folder):
     inbox, store = scratch(spark, "inbox"), scratch(spark, "store")
     cols = ["id", "arrival", "source_url", "article_title", "raw_content", "published_at", "collected_at", "source_type", "source_weight"]
     rows = items(spark, folder).select(*cols)
-    slices = 3
-    share = F.ceil(F.datediff(F.col("collected_at"), F.lit("2024-01-01")) / 11 + 1e-9).cast("int")
+    slices = 2
+    share = F.ceil(F.datediff(F.col("collected_at"), F.lit("2024-01-01")) / 16 + 1e-9).cast("int")
     for n in range(1, slices + 1):
         rows.filter(F.least(F.greatest(share, F.lit(1)), F.lit(slices)) == n).coalesce(1).write.mode("append").parquet(inbox)
     feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(inbox)
