@@ -54,37 +54,47 @@ def script_segments(editions: DataFrame, items: DataFrame) -> DataFrame:
     return framed.unionByName(body)
 
 
-def sentences(segments: DataFrame, script: str, order: list[str], text: str = "text") -> DataFrame:
+def sentences(segments: DataFrame, text: str = "text") -> DataFrame:
     """One row per sentence, ``sentence_no`` inside the segment."""
     keep = [c for c in segments.columns if c != text]
     return segments.select(*keep, F.posexplode(tx.split_sentences(F.col(text))).alias("sentence_no", "text"))
 
 
 def narration_timeline(
-    segments: DataFrame, script: str, order: list[str], duration: Callable[[Column], Column] = dt.speech_ms, split: bool = True
+    segments: DataFrame, script: str, order: str, duration: Callable[[Column], Column] = dt.speech_ms, split: bool = True, stretch: int = 4096
 ) -> DataFrame:
     """Timed segments: ``segment_no`` and ``segment_id`` inside the script, ``duration_ms, start_ms, end_ms``.
 
-    A script is one spoken edition, so a script's rows are few; different scripts are spread over the cluster.
+    ``order`` is a number that orders a script's segments. The running sum has two levels, so a very long script is not
+    one task: inside stretches of ``stretch`` order values, then over the totals of the stretches before.
     """
-    rows = sentences(segments, script, order) if split else segments.withColumn("sentence_no", F.lit(0))
-    timed = rows.withColumn("duration_ms", duration(F.col("text")))
-    place = Window.partitionBy(script).orderBy(*order, "sentence_no")
-    running = F.sum("duration_ms").over(place.rowsBetween(Window.unboundedPreceding, 0))
-    timed = timed.withColumns({"segment_no": F.row_number().over(place), "end_ms": running})
+    rows = sentences(segments) if split else segments.withColumn("sentence_no", F.lit(0))
+    timed = rows.withColumns({"duration_ms": duration(F.col("text")), "_part": F.floor(F.col(order) / stretch)})
+    totals = timed.groupBy(script, "_part").agg(F.sum("duration_ms").alias("_ms"), F.count("*").alias("_rows"))
+    before = Window.partitionBy(script).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = F.lit(0).cast("bigint")
+    offsets = totals.select(
+        script, "_part", F.coalesce(F.sum("_ms").over(before), zero).alias("_ms"), F.coalesce(F.sum("_rows").over(before), zero).alias("_rows")
+    )
+    place = Window.partitionBy(script, "_part").orderBy(order, "sentence_no")
+    timed = timed.withColumns(
+        {"_n": F.row_number().over(place), "_end": F.sum("duration_ms").over(place.rowsBetween(Window.unboundedPreceding, 0))}
+    ).join(offsets, [script, "_part"])
+    timed = timed.withColumns({"segment_no": (F.col("_n") + F.col("_rows")).cast("int"), "end_ms": F.col("_end") + F.col("_ms")})
+    number = F.col("segment_no").cast("string")
     return timed.withColumns(
         {
             "start_ms": F.col("end_ms") - F.col("duration_ms"),
-            "segment_id": F.concat(F.lit("tts-"), F.when(F.col("segment_no") < 1000, F.lpad(F.col("segment_no").cast("string"), 3, "0")).otherwise(F.col("segment_no").cast("string"))),
+            "segment_id": F.concat(F.lit("tts-"), F.lpad(number, F.greatest(F.length(number), F.lit(3)), F.lit("0"))),
         }
-    )
+    ).drop("_part", "_n", "_end", "_ms", "_rows")
 
 
 def item_spans(timeline: DataFrame, script: str, item: str) -> DataFrame:
     """First start and last end of each item, and progress through the script."""
     spans = timeline.groupBy(script, item).agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
-    total = F.max("end_ms").over(Window.partitionBy(script))
-    return spans.withColumn("total_ms", total).withColumn(
+    totals = spans.groupBy(script).agg(F.max("end_ms").alias("total_ms"))
+    return spans.join(totals, script).withColumn(
         "progress", F.when(F.col("total_ms") > 0, F.col("end_ms") / F.col("total_ms")).otherwise(F.lit(0.0))
     )
 

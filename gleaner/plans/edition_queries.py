@@ -133,7 +133,7 @@ _TIMED = f"""x AS (SELECT conv_id, turn, unnest({s.sentences('text')}) AS text,
 
 
 def timeline(spark, folder):
-    return tl.narration_timeline(table(spark, folder, "conversations").select("conv_id", "turn", "text"), "conv_id", ["turn"])
+    return tl.narration_timeline(table(spark, folder, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn", stretch=4)
 
 
 @query(
