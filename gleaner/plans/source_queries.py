@@ -33,7 +33,8 @@ def _payloads(spark, folder, per_payload=20):
 
 
 def _as_payload(df, source_id, base_url):
-    return df.withColumns({"source_id": F.lit(source_id), "base_url": F.lit(base_url), "collected_at": dt.ntz(NOW)})
+    known = F.when(F.col("payload_id").isNotNull(), F.lit(source_id))
+    return df.withColumns({"source_id": known, "base_url": F.lit(base_url), "collected_at": dt.ntz(NOW)})
 
 
 @query(
