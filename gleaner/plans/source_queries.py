@@ -247,7 +247,7 @@ def _caps(spark, folder):
     SELECT id, source_name, cast(rn AS int) AS rank_in_source FROM r WHERE rn <= CASE WHEN n%3<>0 THEN n+5 ELSE 50 END""",
 )
 def cap_per_source(spark, folder):
-    rows = items(spark, folder).join(F.broadcast(_caps(spark, folder)), "source_name")
+    rows = items(spark, folder).join(_caps(spark, folder), "source_name")
     return rg.cap_per_source(rows, [F.col("arrival")]).select("id", "source_name", "rank_in_source")
 
 
