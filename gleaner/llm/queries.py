@@ -3,6 +3,8 @@
 from gleaner.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from gleaner.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gleaner.llm.mixing import OP1_SQL, op1_mix_sources
+from gleaner.llm.packing import op4_pack
+from gleaner.llm.warc import OP2_SQL, op2_warc
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op7_exact_dedup, op9_line_dedup)}
-ORACLES = {"op1_mix_sources": OP1_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op4_pack, op7_exact_dedup, op9_line_dedup)}
+ORACLES = {"op1_mix_sources": OP1_SQL, "op2_warc": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
