@@ -5,7 +5,8 @@ from gleaner.llm.language_cnn import op8_language_cnn
 from gleaner.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gleaner.llm.mixing import OP1_SQL, op1_mix_sources
 from gleaner.llm.packing import op4_pack
+from gleaner.llm.simhash import op5_simhash
 from gleaner.llm.warc import OP2_SQL, op2_warc
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op4_pack, op7_exact_dedup, op8_language_cnn, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op4_pack, op5_simhash, op7_exact_dedup, op8_language_cnn, op9_line_dedup)}
 ORACLES = {"op1_mix_sources": OP1_SQL, "op2_warc": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
