@@ -3,6 +3,7 @@
 from gleaner.llm.class_lm import op3_class_lm
 from gleaner.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from gleaner.llm.hnsw import op6_hnsw
+from gleaner.llm.kneser_ney import op10_kneser_ney
 from gleaner.llm.language_cnn import op8_language_cnn
 from gleaner.llm.line_dedup import OP9_SQL, op9_line_dedup
 from gleaner.llm.mixing import OP1_SQL, op1_mix_sources
@@ -10,5 +11,5 @@ from gleaner.llm.packing import op4_pack
 from gleaner.llm.simhash import op5_simhash
 from gleaner.llm.warc import OP2_SQL, op2_warc
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op3_class_lm, op4_pack, op5_simhash, op6_hnsw, op7_exact_dedup, op8_language_cnn, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_warc, op3_class_lm, op4_pack, op5_simhash, op6_hnsw, op7_exact_dedup, op8_language_cnn, op9_line_dedup, op10_kneser_ney)}
 ORACLES = {"op1_mix_sources": OP1_SQL, "op2_warc": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op9_line_dedup": OP9_SQL}
