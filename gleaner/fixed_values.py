@@ -215,8 +215,8 @@ NO_BODY = "_No article body was generated._"
 EMPTY_DAY = "No AI x game topic candidates met the configured threshold."
 EMPTY_WEEK = "No AI x game topic candidates were selected during this week."
 EMPTY_DAY_PLAIN = "今天没有达到阈值的 AI x 游戏候选新闻。"
-DAILY_TITLE = "智游镜 | 每日AI游戏新闻速递 "
-WEEKLY_TITLE = "智游镜 | 每周AI游戏新闻速递 "
+DAILY_TITLE = "Daily edition "
+WEEKLY_TITLE = "Weekly edition "
 WEEKLY_REBUILT_SUFFIX = " 入选当日日报。"
 SCRIPT_EMPTY = "今天没有新闻达到 AI 游戏日报的筛选阈值。我们明天继续追踪。"
 SCRIPT_INTRO = ("大家好，今天的 AI 游戏日报精选 ", " 条值得关注的消息。")

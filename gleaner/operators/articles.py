@@ -169,22 +169,27 @@ def _fits(value: object, kind: str) -> bool:
 
 def _openings(raw: str) -> Iterator[str]:
     """Complete top-level JSON texts of a mixed answer, left to right."""
+    first = next((i for i, c in enumerate(raw) if c in "{["), len(raw))
+    opened: dict[str, list[int]] = {"}": [], "]": []}
+    closed: dict[int, int] = {}
+    for part in re.finditer(r'"(?:\\.|[^"\\])*(?:"|$)|[{}\[\]]', raw[first:], re.S):
+        mark, place = part.group(), first + part.start()
+        if mark == "{":
+            opened["}"].append(place)
+        elif mark == "[":
+            opened["]"].append(place)
+        elif opened.get(mark):
+            closed[opened[mark].pop()] = place + 1
     at = 0
-    while (start := next((i for i in range(at, len(raw)) if raw[i] in "{["), -1)) >= 0:
-        opener, closer = raw[start], {"{": "}", "[": "]"}[raw[start]]
-        depth, end = 0, -1
-        for part in re.finditer(r'"(?:\\.|[^"\\])*(?:"|$)|[{}\[\]]', raw[start:], re.S):
-            mark = part.group()
-            depth += (mark == opener) - (mark == closer)
-            if depth == 0 and mark == closer:
-                end = start + part.end()
-                break
-        if end > 0:
-            yield raw[start:end]
-        at = end if end > 0 else start + 1
-
-
-def _read_answer(raw: str, fields: dict[str, str]) -> tuple[dict | None, str | None]:
+    for start in sorted(closed):
+        if start >= at:
+            at = closed[start]
+            yield raw[start:at]
+
+
+def _read_answer(raw: str | None, fields: dict[str, str]) -> tuple[dict | None, str | None]:
+    if not isinstance(raw, str):
+        return None, "no_json"
     fence = re.fullmatch(r"```(?:json)?\s*(.*?)\s*```", raw.strip(), re.S | re.I)
     texts = [fence.group(1).strip()] if fence and fence.group(1) else list(_openings(raw.strip()))
     if not texts:
@@ -193,7 +198,7 @@ def _read_answer(raw: str, fields: dict[str, str]) -> tuple[dict | None, str | N
     for text in texts:
         try:
             value = json.loads(text)
-        except ValueError:
+        except (ValueError, RecursionError):
             continue
         options = [value, *value] if isinstance(value, list) else [value]
         for option in options:

@@ -107,19 +107,20 @@ def edition_markdown(editions: DataFrame, items: DataFrame, layout: str = "daily
     return joined.select(scope, F.coalesce("n_items", F.lit(0).cast("bigint")).alias("n_items"), markdown.alias("markdown"))
 
 
-def daily_headings(editions: DataFrame) -> DataFrame:
+def daily_headings(editions: DataFrame, title: str = fv.DAILY_TITLE) -> DataFrame:
+    """Headings start with ``title``, the publication's own name for its daily edition."""
     day = F.date_format("edition", "yyyy-MM-dd")
     return editions.select(
-        "edition", F.concat(F.lit(fv.DAILY_TITLE), F.replace(day, F.lit("-"), F.lit(""))).alias("heading"), day.alias("period")
+        "edition", F.concat(F.lit(title), F.replace(day, F.lit("-"), F.lit(""))).alias("heading"), day.alias("period")
     )
 
 
-def weekly_headings(weeks: DataFrame) -> DataFrame:
+def weekly_headings(weeks: DataFrame, title: str = fv.WEEKLY_TITLE) -> DataFrame:
     """``week`` is the Monday."""
     end = F.date_add("week", 6)
     return weeks.select(
         "week",
-        F.concat(F.lit(fv.WEEKLY_TITLE), dt.iso_week_key(F.col("week").cast("timestamp_ntz"))).alias("heading"),
+        F.concat(F.lit(title), dt.iso_week_key(F.col("week").cast("timestamp_ntz"))).alias("heading"),
         F.concat(F.date_format("week", "yyyy-MM-dd"), F.lit(" to "), F.date_format(end, "yyyy-MM-dd")).alias("period"),
     )
 

@@ -1,4 +1,4 @@
-"""Exact set-similarity self-join on Jaccard, by prefix filtering with size-split posting lists."""
+"""Exact set-similarity self-join on Jaccard, by prefix and position filters."""
 
 from __future__ import annotations
 
@@ -11,40 +11,34 @@ from gleaner.functions import text as tx
 def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> DataFrame:
     """All pairs of *distinct* sets with Jaccard >= ``threshold``: ``(left, right, similarity)``, each pair once.
 
-    ``key`` is unique per row and ``tokens`` holds no repeats. Two sets of sizes n >= m that reach the threshold share
-    at least ``o = ceil(t/(1+t) * (n+m))`` tokens, so the ``n-o+1`` rarest tokens of one and the ``m-o+1`` rarest of
-    the other have one in common. Posting lists are keyed by (token, size of the smaller set): a token that occurs in
-    very many sets is spread over the sizes, and only the rarest tokens of a set are posted at all.
+    ``key`` is unique per row and ``tokens`` holds no repeats. With tokens ordered from the rarest, two sets that reach
+    the threshold share a token among the first ``n - ceil(t * n) + 1`` of each. A set posts only those, once each and
+    without the set itself, so postings grow with the sets' sizes. Where two sets first meet, at places p and q, at most
+    ``1 + min(n - p - 1, m - q - 1)`` tokens can be common; pairs that cannot share ``t / (1 + t) * (n + m)`` are left out
+    before anything is compared. Sets are fetched for the pairs that remain.
     """
     rows = sets.select(F.col(key).alias("k"), F.col(tokens).alias("s")).filter(F.size("s") > 0)
     exploded = rows.select("k", F.explode("s").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count("*").alias("n"))
-    ranked = (
+    frequency = exploded.groupBy("token").agg(F.count("*").alias("f"))
+    # a token of one set alone meets nothing, but keeps its place in the order
+    ordered = (
         exploded.join(frequency, "token")
         .groupBy("k")
-        .agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "token"))), lambda x: x["token"]).alias("s"))
+        .agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("s"))
         .withColumn("n", F.size("s"))
     )
+    useful = F.slice("s", 1, F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1)
+    posts = ordered.select("k", "n", F.posexplode(useful).alias("p", "x")).filter("x.f > 1").select("k", "n", "p", F.col("x.token").alias("token"))
+    others = posts.select(F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), "token")
     share = threshold / (1.0 + threshold)
-
-    def prefix(tokens_col, own, other):
-        need = F.ceil(F.lit(share) * (own + other) - 1e-9).cast("int")
-        return F.slice(tokens_col, 1, F.greatest(own - need + 1, F.lit(0)))
-
-    # each set as the larger side, once for every size its partner can have
-    smallest = F.greatest(F.ceil(F.col("n") * threshold - 1e-9).cast("int"), F.lit(1))
-    probes = ranked.select("k", "s", "n", F.explode(F.sequence(smallest, F.col("n"))).alias("m"))
-    probes = probes.select("k", "s", "n", "m", F.explode(prefix(F.col("s"), F.col("n"), F.col("m"))).alias("token"))
-    # each set as the smaller side; its longest useful prefix is against a partner of its own size
-    posts = ranked.select(
-        F.col("k").alias("k2"), F.col("s").alias("s2"), F.col("n").alias("m"),
-        F.explode(prefix(F.col("s"), F.col("n"), F.col("n"))).alias("token"),
+    reach = F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
+    met = posts.join(others, "token").filter(
+        (F.col("k") > F.col("k2"))
+        & (F.least("n", "n2") >= F.greatest("n", "n2") * threshold - 1e-9)
+        & (reach >= F.ceil(F.lit(share) * (F.col("n") + F.col("n2")) - 1e-9))
     )
-    candidates = probes.join(posts, ["token", "m"]).filter(
-        (F.col("n") > F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("k") > F.col("k2")))
+    pairs = met.select("k", "k2").distinct()
+    near = pairs.join(rows, "k").join(rows.select(F.col("k").alias("k2"), F.col("s").alias("s2")), "k2")
+    return near.select(F.col("k").alias("left"), F.col("k2").alias("right"), tx.jaccard(F.col("s"), F.col("s2")).alias("similarity")).filter(
+        F.col("similarity") >= threshold
     )
-    # a pair meets once per shared prefix token; scoring before removing the repeats keeps the shuffle small
-    scored = candidates.select(
-        F.col("k").alias("left"), F.col("k2").alias("right"), tx.jaccard(F.col("s"), F.col("s2")).alias("similarity")
-    ).filter(F.col("similarity") >= threshold)
-    return scored.distinct()

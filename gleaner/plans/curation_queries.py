@@ -48,7 +48,7 @@ def joined(c):
 
 
 # --- scoring ----------------------------------------------------------------------------------------------------------
-_PRE = "lower(concat(article_title, ' ', substr(raw_content, 1, 200)))"
+_PRE = "lower(concat(article_title, ' ', raw_content))"
 _HOLDS = {name: "(" + " OR ".join(f"regexp_matches({_PRE}, {s.q(p)})" for p in patterns) + ")" for name, _, patterns in SIGNALS.prefilter}
 _PRE_SCORE = " + ".join(f"CASE WHEN {_HOLDS[n]} THEN {pts} ELSE 0 END" for n, pts, _ in SIGNALS.prefilter) + f" + CASE WHEN NOT {_HOLDS['game']} THEN -15 ELSE 0 END"
 _PRE_LIST = ", ".join(f"CASE WHEN {_HOLDS[n]} THEN '{n}' END" for n, _, _ in SIGNALS.prefilter) + f", CASE WHEN NOT {_HOLDS['game']} THEN 'off-topic-risk' END"
@@ -57,7 +57,7 @@ _PRE_LIST = ", ".join(f"CASE WHEN {_HOLDS[n]} THEN '{n}' END" for n, _, _ in SIG
 def _prefilter_input(spark, folder):
     return items(spark, folder).select(
         "id", "arrival", "published_at", F.col("source_name").alias("source_id"), F.col("article_title").alias("title"),
-        F.substring("raw_content", 1, 200).alias("excerpt"),
+        F.col("raw_content").alias("excerpt"),
     )
 
 
@@ -229,9 +229,9 @@ def claim_trace(spark, folder):
 @query(
     "validate_responses",
     """WITH r AS (SELECT doc_id, cast((doc_id*7)%110 AS int) AS v, doc_id%8 AS form FROM documents)
-    SELECT doc_id AS id, CASE WHEN form IN (5,7) OR v>100 THEN NULL ELSE v END AS value_score,
-      CASE WHEN form IN (5,7) OR v>100 THEN NULL ELSE v%2=0 END AS candidate,
-      CASE WHEN form=5 THEN 'no_json' WHEN form=7 OR v>100 THEN 'schema' END AS error FROM r""",
+    SELECT doc_id AS id, CASE WHEN doc_id%9=4 OR form IN (5,7) OR v>100 THEN NULL ELSE v END AS value_score,
+      CASE WHEN doc_id%9=4 OR form IN (5,7) OR v>100 THEN NULL ELSE v%2=0 END AS candidate,
+      CASE WHEN doc_id%9=4 OR form=5 THEN 'no_json' WHEN form=7 OR v>100 THEN 'schema' END AS error FROM r""",
 )
 def validate_responses(spark, folder):
     v = (F.col("doc_id") * 7 % 110).cast("int")
@@ -240,12 +240,13 @@ def validate_responses(spark, folder):
         F.struct(
             v.alias("newsValueScore"), F.lit(50).alias("aiRelevanceScore"), F.lit(60).alias("gameRelevanceScore"), F.lit(70).alias("crossRelevanceScore"),
             (v % 2 == 0).alias("isTopicCandidate"), none.alias("exclusionReasons"), F.array("source").alias("aiTags"),
-            F.array(F.substring("text", 1, 30)).alias("gameTags"),
+            F.array("text").alias("gameTags"),
         )
     )
     form = F.col("doc_id") % 8
     raw = (
-        F.when(form == 0, body)
+        F.when(F.col("doc_id") % 9 == 4, F.lit(None))
+        .when(form == 0, body)
         .when(form == 1, F.concat(F.lit("```json\n"), body, F.lit("\n```")))
         .when(form == 2, F.concat(F.lit("Here it is:\n"), body, F.lit("\nNote {ignored}")))
         .when(form == 3, F.concat(F.lit("["), body, F.lit("]")))

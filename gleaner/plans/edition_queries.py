@@ -413,16 +413,21 @@ def events_stream(spark, folder):
     return rows.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("stream_dedupe")
+@query("stream_dedupe", "SELECT DISTINCT user_id, event_type, props FROM events")
 def stream_dedupe(spark, folder):
     kept = stream.stream_dedupe(events_stream(spark, folder), ["user_id", "event_type", "props"])
-    return _drain(spark, kept.select("event_id", "user_id", "event_type", "props"), "dedupe")
+    return _drain(spark, kept.select("user_id", "event_type", "props"), "dedupe")
 
 
-@query("stream_window_counters")
+@query(
+    "stream_window_counters",
+    """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + interval 1 day AS window_end, event_type, count(*) AS fetched, max(ts) AS newest, min(ts) AS oldest
+    FROM events GROUP BY 1, 2, 3 HAVING date_trunc('day', ts) + interval 1 day <= (SELECT max(ts) FROM events) - interval 1 hour""",
+)
 def stream_window_counters(spark, folder):
     counted = stream.window_counters(events_stream(spark, folder), "event_type", late="1 hour")
-    return _drain(spark, counted, "windows")
+    times = ("window_start", "window_end", "newest", "oldest")
+    return _drain(spark, counted, "windows").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
 @query("stream_canonical")

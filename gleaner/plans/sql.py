@@ -8,7 +8,7 @@ from gleaner.operators.screening import Signals
 ITEMS = r"""items AS (
   SELECT cast(doc_id AS varchar) AS id, doc_id,
     ((doc_id*37)%43200)*1000000000 + doc_id AS arrival,
-    coalesce(substr(list_filter(regexp_split_to_array(text,'\r?\n+'), lambda x: trim(x) <> '')[1],1,80),'') AS article_title,
+    coalesce(list_filter(regexp_split_to_array(text,'\r?\n+'), lambda x: trim(x) <> '')[1],'') AS article_title,
     text AS raw_content, source AS source_name,
     (['ai_media','game_media','ai_game_media','official','community'])[cast(substr(source,4) AS int)%5+1] AS source_type,
     cast(30 + (cast(substr(source,4) AS int)*7)%66 AS int) AS source_weight,

@@ -22,7 +22,7 @@ def items(spark: SparkSession, folder: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("string").alias("id"),
         (minutes * 1_000_000_000 + F.col("doc_id")).alias("arrival"),
-        F.substring(F.coalesce(F.try_element_at(F.filter(F.split("text", r"\r?\n+"), lambda x: F.trim(x) != ""), F.lit(1)), F.lit("")), 1, 80).alias("article_title"),
+        F.coalesce(F.try_element_at(F.filter(F.split("text", r"\r?\n+"), lambda x: F.trim(x) != ""), F.lit(1)), F.lit("")).alias("article_title"),
         F.col("text").alias("raw_content"),
         F.col("source").alias("source_name"),
         F.element_at(F.array(*[F.lit(t) for t in ("ai_media", "game_media", "ai_game_media", "official", "community")]), source_no % 5 + 1).alias("source_type"),

@@ -53,12 +53,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores when a table scan has fewer partitions than the session has cores (a single small file).
+    """In a single-machine session, deal out a table scan that has fewer splits than the session has cores.
 
-    Scans of any size already have at least that many splits and pass through unchanged. For plain scans only: asking
-    a plan with shuffles for its partitions would run it.
+    A Parquet file of one row group cannot be split by settings. On a cluster the scan is taken as it is, and nothing is
+    planned twice. For plain scans only: asking a plan with shuffles for its partitions would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    context = df.sparkSession.sparkContext
+    if not context.master.startswith("local["):
+        return df
+    cores = context.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 

@@ -73,12 +73,16 @@ def with_source(items: DataFrame, sources: DataFrame, how: str = "left") -> Data
     ).drop("_weight")
 
 
-def cap_per_source(items: DataFrame, order: list[Column], default_cap: int = fv.MAX_ITEMS_PER_SOURCE) -> DataFrame:
-    """First rows of each source in arrival order; ``source_cap`` overrides the default. Caps are at most 1,000, so
-    the rank filter becomes a per-partition group limit before the shuffle and no task holds a whole source."""
-    limit = F.least(F.coalesce(F.col("source_cap"), F.lit(default_cap)), F.lit(1000))
-    ranked = items.withColumn("rank_in_source", F.row_number().over(Window.partitionBy("source_name").orderBy(*order)))
-    return ranked.filter((F.col("rank_in_source") <= 1000) & (F.col("rank_in_source") <= limit))
+def cap_per_source(items: DataFrame, order: list[Column], default_cap: int = fv.MAX_ITEMS_PER_SOURCE, most: int = 1000) -> DataFrame:
+    """First rows of each source in arrival order; ``source_cap`` overrides the default. No cap may be above ``most``
+    (the job fails on one; :func:`violations` reports such registry rows), so the rank filter becomes a per-partition
+    group limit before the shuffle and no task holds a whole source."""
+    if default_cap > most:
+        raise ValueError(f"default_cap {default_cap} is above most {most}")
+    given = F.coalesce(F.col("source_cap"), F.lit(default_cap))
+    limit = F.when(given <= most, given).otherwise(F.raise_error(F.concat(F.lit("source cap above the largest: "), given.cast("string"))).cast("int"))
+    ranked = items.withColumn("_cap", limit).withColumn("rank_in_source", F.row_number().over(Window.partitionBy("source_name").orderBy(*order)))
+    return ranked.filter((F.col("rank_in_source") <= most) & (F.col("rank_in_source") <= F.col("_cap"))).drop("_cap")
 
 
 def cap_total(items: DataFrame, order: list[Column], key: str, limit: int = fv.MAX_ITEMS_TOTAL) -> tuple[DataFrame, DataFrame]:

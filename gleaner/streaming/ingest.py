@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -52,13 +53,13 @@ def ingest_batch(batch: DataFrame, batch_id: int, store: str, hours: int = fv.DE
     if batch.isEmpty():
         return
     history = stored_items(spark, store, before=batch_id)
+    stored_keys = _read(spark, f"{store}/raw", RAW_SCHEMA, batch_id).select("url_key", "hash_key")
     keys = cut_lineage(dd.ingest_keys(batch))
-    fresh = dd.exact_dedupe(keys, history.select("url_key", "hash_key"))
+    fresh = dd.exact_dedupe(keys, stored_keys)
     rows = cut_lineage(batch.join(keys.select("id", "url_key", "hash_key"), "id").join(fresh, "id", "left_semi"))
-    now = rows.agg(F.max("collected_at")).first()[0]
-    if now is None:
-        return
-    since = F.lit(now - pd.Timedelta(hours=hours)).cast("timestamp_ntz")
+    # A batch without any date has no window: its rows are stored, compared with each other only.
+    now = rows.agg(F.max("collected_at")).first()[0] or datetime.max
+    since = F.lit(now - timedelta(hours=hours)).cast("timestamp_ntz")
     # only the window's day partitions are read
     window = history.filter(F.col("collected_date") >= since.cast("date"))
     found = cut_lineage(dd.windowed_near_duplicates(rows, window, since))

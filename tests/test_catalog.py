@@ -1,7 +1,4 @@
-"""Registered queries against their SQL on the smallest tables.
-
-Every query runs when ``GLEANER_ALL`` is set; otherwise the quick ones do.
-"""
+"""Every registered query against its SQL on the smallest tables."""
 
 import os
 
@@ -13,13 +10,7 @@ from gleaner.plans.registry import ORACLES, QUERIES
 
 FOLDER = os.environ.get("GLEANER_TABLES", "/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {
-    "selection_audit", "curated_editions", "run_totals", "weekly_digest", "best_dup_match", "windowed_near_dup", "stream_ingest", "sink_editions",
-    "platform_packages", "package_violations", "edition_markdown", "edition_plain_markdown", "weekly_markdown", "edition_tags", "unique_anchors", "script_segments",
-    "period_coverage", "extract_templated_items", "group_by_category", "weekly_candidates", "topic_candidates", "selected_candidates", "evidence_fallback",
-    "article_outcomes", "official_sources", "group_winner", "screen_totals", "processing_audit", "audit_log_scan", "label_agreement", "exclusion_reasons",
-}
-NAMES = sorted(QUERIES) if os.environ.get("GLEANER_ALL") else sorted(set(QUERIES) - SLOW)
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
