@@ -143,12 +143,6 @@ def jaccard(left: Column, right: Column) -> Column:
     return let(counts, lambda x: F.when(x["c"] == 0, F.lit(0.0)).otherwise(x["c"] / (x["n"] - x["c"])))
 
 
-def blended_score(title_similarity: Column, body_similarity: Column) -> Column:
-    mixed = title_similarity * fv.TITLE_SHARE + body_similarity * fv.BODY_SHARE
-    floor = F.when(title_similarity == 1.0, F.lit(fv.SAME_TITLE_SCORE)).otherwise(F.lit(0.0))
-    return F.when((title_similarity == 0.0) & (body_similarity == 0.0), F.lit(0.0)).otherwise(F.greatest(mixed, floor))
-
-
 def overlap_ratio(left: Column, right: Column) -> Column:
     """Share of left chunks present on the right, over the shorter list."""
     a = F.regexp_extract_all(left, F.lit(rf"({_HAN}{{1,2}}|[a-z0-9]+)"), 1)

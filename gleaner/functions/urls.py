@@ -174,7 +174,3 @@ def resolve(href: Column, base: Column) -> Column:
 def resolved_url(href: Column, base: Column) -> Column:
     """Canonical absolute URL of a link on a page; null when it is not http(s)."""
     return tx.let(resolve(href, base), collected_url)
-
-
-def same_origin(left: Column, right: Column) -> Column:
-    return F.coalesce(is_http_url(left) & is_http_url(right) & (origin(left) == origin(right)), F.lit(False))

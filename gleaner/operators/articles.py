@@ -9,7 +9,6 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
@@ -250,7 +249,3 @@ def validate_responses(responses: DataFrame, fields: dict[str, str] = CLASSIFICA
     slow = df.filter("not _ok").select("id", "raw").mapInPandas(read, f"id {id_type}, json string, error string")
     slow = slow.select("id", F.from_json("json", f"struct<{ddl}>").alias("value"), "error")
     return native.unionByName(slow)
-
-
-def response_schema(fields: dict[str, str]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{k}: {_DDL[kind]}" for k, kind in fields.items()))

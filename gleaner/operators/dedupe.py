@@ -285,9 +285,12 @@ def duplicate_groups(items: DataFrame, scope: list[str] | None = None) -> DataFr
     pointed = items.filter("duplicate_of is not null").select(*scope, F.col("duplicate_of").alias("id")).distinct()
     known = pointed.join(items.select(*scope, "id"), [*scope, "id"], "left_semi")
     known = known.select(*scope, F.col("id").alias("duplicate_of"), F.lit(True).alias("_known"))
-    return items.join(known, [*scope, "duplicate_of"], "left").withColumn(
+    # Nearly all rows point nowhere: they stay out of the join, where they would all meet under the null key.
+    pointing = items.filter("duplicate_of is not null").join(known, [*scope, "duplicate_of"], "left").withColumn(
         "group_root", F.when(F.col("_known"), F.col("duplicate_of")).otherwise(F.col("id"))
-    ).select(*items.columns, "group_root")
+    )
+    alone = items.filter("duplicate_of is null").withColumn("group_root", F.col("id"))
+    return pointing.select(*items.columns, "group_root").unionByName(alone)
 
 
 # --- ingest ---------------------------------------------------------------------------------------------------------
@@ -378,8 +381,11 @@ def windowed_near_duplicates(batch: DataFrame, history: DataFrame, since: Column
     )
 
 
-def recent_items(raw: DataFrame, processed: DataFrame, sources: DataFrame, after: Column | None = None) -> DataFrame:
-    """Processed rows (with their raw row's keys) and raw rows not processed yet; a processed row hides its raw row."""
+def recent_items(raw: DataFrame, processed: DataFrame, sources: DataFrame, after: Column | None = None, limit: int | None = None) -> DataFrame:
+    """Processed rows (with their raw row's keys) and raw rows not processed yet; a processed row hides its raw row.
+
+    With ``limit``, the newest rows, newest first (ties by id).
+    """
     raw_keys = raw.select(F.col("id").alias("raw_item_id"), "canonical_url", "content_hash", F.col("collected_at").alias("raw_collected_at"))
     done = processed.join(raw_keys, "raw_item_id", "left")
     if after is not None:
@@ -394,7 +400,8 @@ def recent_items(raw: DataFrame, processed: DataFrame, sources: DataFrame, after
         waiting = waiting.filter(F.col("collected_at") >= after)
     waiting = waiting.join(done.select(F.col("raw_item_id").alias("id")), "id", "left_anti")
     waiting = waiting.withColumn("raw_item_id", F.col("id")).withColumn("article_title", F.col("title")).select(*columns)
-    return done.unionByName(waiting)
+    rows = done.unionByName(waiting)
+    return rows if limit is None else rows.orderBy(F.desc("collected_at"), "id").limit(limit)
 
 
 # --- links ------------------------------------------------------------------------------------------------------------

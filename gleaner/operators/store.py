@@ -76,7 +76,7 @@ def map_duplicate_ids(raw: DataFrame, processed: DataFrame) -> DataFrame:
     return marked.join(one, marked["duplicate_of"] == one["raw_item_id"], "left").select("id", "duplicate_of", "processed_duplicate_of")
 
 
-def audit_log_scan(log: DataFrame, raw_item_id: str | None = None) -> DataFrame:
+def audit_log_scan(log: DataFrame, raw_item_id: str | Column | None = None) -> DataFrame:
     rows = log.filter(F.col("raw_item_id") == raw_item_id) if raw_item_id is not None else log
     return rows.orderBy("created_at", "raw_item_id")
 

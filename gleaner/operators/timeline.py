@@ -116,6 +116,13 @@ def spans_for_items(items: DataFrame, timeline: DataFrame, script: str, item: st
     return joined.withColumns({"start_ms": start, "end_ms": end, "progress": progress}).drop("_s", "_e", "total_ms", "n_items")
 
 
+def legacy_timeline(items: DataFrame, scope: str, order: str) -> DataFrame:
+    """One span per item, one after the other, timed by the length of its body. A scope holds one edition's selection."""
+    w = Window.partitionBy(scope).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    timed = items.withColumn("_ms", dt.article_ms(F.col("article_body"))).withColumn("end_ms", F.sum("_ms").over(w))
+    return timed.withColumn("start_ms", F.col("end_ms") - F.col("_ms")).drop("_ms")
+
+
 def srt_text(timeline: DataFrame, *scope: str) -> DataFrame:
     """Subtitle text per script (or per script and item): numbered blocks in time order."""
     line = F.struct("start_ms", "segment_no", "end_ms", "text")

@@ -175,7 +175,7 @@ def processing_audit(spark, folder):
 )
 def audit_log_scan(spark, folder):
     log = screened(spark, folder).select(F.col("id").alias("raw_item_id"), "status", F.col("collected_at").alias("created_at"))
-    wanted = items(spark, folder).agg(F.max("id")).first()[0]
+    wanted = items(spark, folder).agg(F.max("id")).scalar()
     return st.audit_log_scan(log, wanted)
 
 
@@ -218,7 +218,7 @@ def enrich_items(spark, folder):
 )
 def claim_trace(spark, folder):
     claims = table(spark, folder, "benchmark").select("item_id", F.col("text").alias("claim"))
-    n = claims.count()
+    n = claims.agg(F.count("*")).scalar()
     rows = table(spark, folder, "documents").select("doc_id", "text", (F.col("doc_id") % n).alias("item_id")).join(claims, "item_id")
     share = sl.traced_share(
         tx.claim_tokens(F.col("claim"), fv.SELECTION_STOP_WORDS), tx.without(tx.stem_tokens(F.col("text")), fv.SELECTION_STOP_WORDS)

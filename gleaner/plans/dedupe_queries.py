@@ -130,6 +130,15 @@ def recent_items(spark, folder):
     )
 
 
+@query(
+    "recent_newest",
+    f"""WITH {s.LINKED}, r AS (SELECT CASE WHEN collected_at < timestamp '{SPLIT}' THEN concat('p', id) ELSE id END AS id, collected_at FROM linked WHERE collected_at >= timestamp '{AFTER}')
+    SELECT id, collected_at FROM r ORDER BY collected_at DESC, id LIMIT 50""",
+)
+def recent_newest(spark, folder):
+    return dd.recent_items(*store_tables(spark, folder), dt.ntz(AFTER), limit=50).select("id", "collected_at")
+
+
 @query(
     "dup_groups",
     f"WITH {s.LINKED} SELECT id, duplicate_of, CASE WHEN duplicate_of IN (SELECT id FROM linked) THEN duplicate_of ELSE id END AS group_root FROM linked",

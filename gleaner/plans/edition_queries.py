@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -26,10 +26,7 @@ joined = cq.joined
 
 def scratch(spark, name):
     """A fresh folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        return "file:" + tempfile.mkdtemp(prefix=name + "-", dir=base[len("file:") :])
-    return f"{base}/{name}-{spark.sparkContext.applicationId}-{spark.range(1).select(F.expr('uuid()')).first()[0]}"
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 # --- roll-ups -----------------------------------------------------------------------------------------------------------
@@ -111,8 +108,7 @@ def source_audit(spark, folder):
     failures = it.filter((F.col("doc_id") % 50 == 3) & (F.substring("source_name", 4, 10).cast("int") % 3 == 1)).select(
         "source_name", F.lit("fetch failed").alias("error")
     )
-    end = it.agg(F.max("published_at")).first()[0]
-    end_col = F.lit(end).cast("timestamp_ntz")
+    end_col = it.agg(F.max("published_at")).scalar()
     audit = ro.source_audit(registry(spark, folder), it, failures, dt.shift_hours(end_col, -24), end_col, ["rss", "web_page", "json_api", "manual_markdown"])
     return audit.drop("collection_strategy").withColumn("samples", joined(F.transform("samples", lambda x: x["title"])))
 
@@ -154,6 +150,32 @@ def item_spans(spark, folder):
     return spans.select("conv_id", "turn", "start_ms", "end_ms", F.round("progress", 9).alias("progress"))
 
 
+@query(
+    "legacy_timeline",
+    f"""{cq._TOP}, l AS (SELECT edition, id, article_title, rank, greatest(3000, length(article_body) * 45) AS ms FROM top)
+    SELECT edition, id, article_title, cast(sum(ms) OVER w - ms AS bigint) AS start_ms, cast(sum(ms) OVER w AS bigint) AS end_ms FROM l WINDOW w AS (PARTITION BY edition ORDER BY rank)""",
+)
+def legacy_timeline(spark, folder):
+    return tl.legacy_timeline(cq.top(spark, folder), "edition", "rank").select("edition", "id", "article_title", "start_ms", "end_ms")
+
+
+@query(
+    "spans_by_position",
+    f"""WITH {_TIMED}, said AS (SELECT * FROM timed WHERE turn % 3 <> 1),
+    sp AS (SELECT conv_id, turn, min(end_ms-duration_ms) AS s, max(end_ms) AS e FROM said GROUP BY 1, 2),
+    t AS (SELECT conv_id, max(end_ms) AS total FROM said GROUP BY 1), n AS (SELECT *, count(*) OVER (PARTITION BY conv_id) AS n_items FROM (SELECT DISTINCT conv_id, turn FROM conversations)),
+    j AS (SELECT n.conv_id, n.turn, n_items, total, coalesce(sp.s, p.end_ms-p.duration_ms, 0) AS start_ms, coalesce(sp.e, p.end_ms, sp.s, p.end_ms-p.duration_ms, 0) AS end_ms
+      FROM n LEFT JOIN sp ON sp.conv_id = n.conv_id AND sp.turn = n.turn LEFT JOIN said p ON p.conv_id = n.conv_id AND p.segment_no = n.turn LEFT JOIN t ON t.conv_id = n.conv_id)
+    SELECT conv_id, turn, start_ms, end_ms, round(CASE WHEN total > 0 THEN end_ms::double / total ELSE turn::double / greatest(n_items, 1) END, 9) AS progress FROM j""",
+)
+def spans_by_position(spark, folder):
+    """Turns nobody speaks about (every third) take the span of the segment at their own place."""
+    said = timeline(spark, folder).filter("turn % 3 <> 1")
+    turns = table(spark, folder, "conversations").select("conv_id", "turn").distinct()
+    spans = tl.spans_for_items(turns.withColumn("place", F.col("turn")), said, "conv_id", "turn", "place")
+    return spans.select("conv_id", "turn", "start_ms", "end_ms", F.round("progress", 9).alias("progress"))
+
+
 @query(
     "srt_text",
     f"""WITH {_TIMED} SELECT conv_id, string_agg(concat(segment_no, chr(10), {s.srt_time('(end_ms-duration_ms)')}, ' --> ', {s.srt_time('end_ms')}, chr(10), text, chr(10)), chr(10) ORDER BY segment_no) AS srt

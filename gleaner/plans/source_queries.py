@@ -260,3 +260,8 @@ def cap_per_source(spark, folder):
 )
 def cap_total(spark, folder):
     return rg.cap_total(items(spark, folder).select("id", "source_name", "arrival"), [F.col("arrival")], "id")[1]
+
+
+@query("cap_total_rows", f"WITH {s.ITEMS} SELECT id, source_name FROM items ORDER BY arrival LIMIT 500")
+def cap_total_rows(spark, folder):
+    return rg.cap_total(items(spark, folder).select("id", "source_name", "arrival"), [F.col("arrival")], "id")[0].select("id", "source_name")

@@ -8,11 +8,6 @@ from pyspark.sql import functions as F
 from gleaner import fixed_values as fv
 from gleaner.functions import urls as ul
 
-SOURCE_SCHEMA = (
-    "id string, name string, url string, source_group string, source_type string, priority string, source_weight int, "
-    "suggested_frequency string, collection_strategy string, max_items_per_window int, notes string"
-)
-
 
 def corrected_names(sources: DataFrame) -> DataFrame:
     """Registry with the display names that replace a source's own name."""

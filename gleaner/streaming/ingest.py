@@ -68,7 +68,7 @@ def ingest_batch(batch: DataFrame, batch_id: int, store: str, hours: int = fv.DE
     )
     target = new.select(*[c.split(" ")[0] for c in RAW_SCHEMA.split(", ")])
     writer = target.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("batch_id", "collected_date").parquet(f"{store}/raw")
+    writer.partitionBy("collected_date", "batch_id").parquet(f"{store}/raw")
     demoted = found.filter("not is_new").select("id", "duplicate_of", F.lit(batch_id).cast("bigint").alias("batch_id"))
     demoted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{store}/marks")
 
