@@ -452,7 +452,13 @@ def stream_window_counters(spark, folder):
     return _drain(spark, counted, "windows").withColumns({c: F.col(c).cast("timestamp_ntz") for c in times})
 
 
-@query("stream_canonical")
+@query(
+    "stream_canonical",
+    f"""WITH {s.ITEMS}, k AS (SELECT sha256({s.norm('raw_content')}) AS key, id, arrival,
+      min({{'a': CASE WHEN source_type='official' THEN 0 ELSE 1 END, 'b': published_at, 'c': -source_weight, 'd': collected_at, 'e': arrival, 'id': id}}) OVER (PARTITION BY sha256({s.norm('raw_content')}) ORDER BY arrival ROWS UNBOUNDED PRECEDING).id AS root FROM items),
+    l AS (SELECT *, lag(root) OVER (PARTITION BY key ORDER BY arrival) AS before FROM k)
+    SELECT key, id, root, CASE WHEN before <> root THEN before END AS replaced FROM l""",
+)
 def stream_canonical(spark, folder):
     inbox = scratch(spark, "inbox")
     items(spark, folder).drop("doc_id").write.mode("append").parquet(inbox)

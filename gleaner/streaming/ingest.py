@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,34 +97,43 @@ def window_counters(events: DataFrame, source: str, ts: str = "ts", hours: int =
     ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), source, "fetched", "newest", "oldest")
 
 
+NO_DATE = 2**62
 _ROOT_STATE = "root string, official int, published_us bigint, weight int, collected_us bigint"
 _ROOT_OUTPUT = "key string, id string, root string, replaced string"
 
 
 def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Running preferred item of one key; emits each row's root as known when it came, and the root it replaced."""
+    """Running preferred item of one key, over its narrow rows of a micro-batch in arrival order; emits each row's root as
+    known when it came, and the root it replaced. A missing date is later than any other."""
     if state.hasTimedOut:
         state.remove()
         return
-    best = tuple(state.get) if state.exists else None
-    for batch in batches:
-        out = []
-        for row in batch.sort_values("arrival").itertuples(index=False):
-            mine = (row.id, int(row.source_type == "official"), int(row.published_us), int(row.source_weight), int(row.collected_us))
-            replaced = None
-            if best is None:
-                best = mine
-            elif (-mine[1], mine[2], -mine[3], mine[4]) < (-best[1], best[2], -best[3], best[4]):
-                replaced, best = best[0], mine
-            out.append((key[0], row.id, best[0], replaced))
-        yield pd.DataFrame(out, columns=["key", "id", "root", "replaced"])
-    state.update(best)
+    rows = pd.concat(list(batches)).sort_values("arrival", kind="stable")
+    mine = pd.DataFrame(
+        {
+            "id": rows["id"].to_numpy(), "official": (rows["source_type"] == "official").to_numpy().astype(int), "published_us": rows["published_us"].fillna(NO_DATE).to_numpy("int64"),
+            "weight": rows["source_weight"].fillna(0).to_numpy("int64"), "collected_us": rows["collected_us"].fillna(NO_DATE).to_numpy("int64"),
+        }
+    )
+    held = pd.concat([pd.DataFrame([tuple(state.get)], columns=mine.columns), mine], ignore_index=True) if state.exists else mine
+    order = np.lexsort((np.arange(len(held)), held["collected_us"], -held["weight"], held["published_us"], -held["official"]))
+    rank = np.empty(len(held), dtype=np.int64)
+    rank[order] = np.arange(len(held))
+    best = order[np.minimum.accumulate(rank)]
+    before = np.concatenate([[-1], best[:-1]])
+    ids = held["id"].to_numpy()
+    replaced = np.where((before >= 0) & (before != best), ids[before], None)
+    new = slice(len(held) - len(mine), None)
+    yield pd.DataFrame({"key": key[0], "id": ids[new], "root": ids[best][new], "replaced": replaced[new]})
+    top = held.iloc[int(best[-1])]
+    state.update((str(top["id"]), *(int(top[c]) for c in held.columns[1:])))
     # event time, so that a run over the available input ends when the input does
-    state.setTimeoutTimestamp(max(best[4] // 1000, state.getCurrentWatermarkMs()) + fv.DEDUPE_WINDOW_HOURS * 3_600_000)
+    seen = 0 if top["collected_us"] == NO_DATE else int(top["collected_us"]) // 1000
+    state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + fv.DEDUPE_WINDOW_HOURS * 3_600_000)
 
 
 def stream_canonical(items: DataFrame, key: str = "content") -> DataFrame:
-    """Running root per exact key (content or URL). A key's rows arrive in Arrow chunks; its state is one row."""
+    """Running root per exact key (content or URL); a key's state is one row."""
     by = tx.content_hash(F.col("raw_content")) if key == "content" else ul.canonical_url(F.col("source_url"))
     rows = items.select(
         by.alias("key"), "id", "arrival", "source_type", "source_weight",
