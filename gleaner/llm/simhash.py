@@ -10,6 +10,10 @@ Pairs are verified where they meet, and only a spanning forest of the links leav
 cut into blocks: blocks are linked inside, every row is compared with one pivot, and then only rows outside the bucket's largest
 component are compared with the rest, block by block.
 
+With a ``similarity``, links are verified a second time: rows that have a link are listed once more with a second, wider fingerprint
+of other hashes, and two are linked only if that one differs by no more bits than expected at this Jaccard similarity of their
+shingles. The radius then decides what is found, the wide fingerprint what is right.
+
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of fewer words than a shingle is one
 shingle; a null id takes part, its component is named by the smallest id that is not null (null if there is none); repeated rows share
 a component; an empty table gives an empty result.
@@ -18,6 +22,7 @@ a component; an empty table gives an empty result.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +40,10 @@ SMALL_RUN = 48
 #: Cost of comparing a candidate, in costs of moving one probe.
 COMPARE = 0.03
 HASHES = 1 << 17
+#: 64-bit words of the wide fingerprint.
+WIDE = ["w1", "w2", "w3", "w4"]
+#: A byte's bits, each in a byte of its own.
+SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 
 
 def shingle_hashes(text: bytes, k: int = SHINGLE, seed: int = SEED) -> list[int]:
@@ -51,26 +60,39 @@ def shingle_hashes(text: bytes, k: int = SHINGLE, seed: int = SEED) -> list[int]
     return [digest(joined[i : j - 1], seed) for i, j in zip(starts, ends[k - 1 :], strict=True)]
 
 
-def fold_bits(hashes: list[list[int]]) -> np.ndarray:
+def rehashed(flat: np.ndarray, word: int) -> np.ndarray:
+    """Other hashes of the same shingles, for a word of the wide fingerprint; word 0 keeps them."""
+    if not word:
+        return flat
+    x = (flat ^ (flat >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15 + 2 * word)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+def fold_bits(hashes: list[list[int]], word: int = 0) -> np.ndarray:
     """Fingerprints (as signed 64-bit numbers) of several texts' hashes."""
     sizes = np.array([len(h) for h in hashes], dtype=np.int64)
     found = np.zeros(len(hashes), dtype=np.int64)
     full = np.flatnonzero(sizes)
     if len(full):
-        flat = np.fromiter(itertools.chain.from_iterable(hashes), dtype=np.uint64, count=int(sizes.sum()))
+        flat = rehashed(np.fromiter(itertools.chain.from_iterable(hashes), dtype=np.uint64, count=int(sizes.sum())), word)
         ends = np.cumsum(sizes[full])
         counts = np.zeros((len(full), 64), dtype=np.int64)
-        for at in range(0, len(flat), HASHES):  # a very long text never has all its bits unpacked at once
-            bits = np.unpackbits(flat[at : at + HASHES].view(np.uint8).reshape(-1, 8), axis=1)
-            first, last = np.searchsorted(ends, at, side="right"), np.searchsorted(ends, at + len(bits) - 1, side="right")
-            starts = np.maximum(np.concatenate([[0], ends])[first : last + 1] - at, 0)
-            counts[first : last + 1] += np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
+        # Stretches of one text of at most 255 hashes, whose bits are counted in bytes.
+        cuts = np.unique(np.concatenate([[0], ends[:-1], np.arange(0, len(flat), 255), np.arange(0, len(flat), HASHES)]))
+        owner = np.searchsorted(ends, cuts, side="right")
+        for at in range(0, len(flat), HASHES):  # a very long text never has all its bits spread at once
+            low, high = np.searchsorted(cuts, [at, at + HASHES])
+            lanes = np.add.reduceat(SPREAD[flat[at : at + HASHES].view(np.uint8).reshape(-1, 8)], cuts[low:high] - at, axis=0).view(np.uint8)
+            texts, first = np.unique(owner[low:high], return_index=True)
+            counts[texts] += np.add.reduceat(lanes, first, axis=0, dtype=np.int64)
         found[full] = np.packbits(counts * 2 > sizes[full][:, None], axis=1).view(np.int64).ravel()
     return found
 
 
-def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text", mark: bool = False) -> DataFrame:
-    """doc_id and fp of every row; ``mark`` adds a hash of the text."""
+def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text", mark: bool = False, wide: bool = False) -> DataFrame:
+    """doc_id and fp of every row; ``mark`` adds a hash of the text, ``wide`` the words of the wide fingerprint."""
+    words = range(1 + len(WIDE) if wide else 1)
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(whole_text(text_column)).alias("mark"), F.col(text_column).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,13 +102,14 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_column:
                 held.append(shingle_hashes((text.as_py() or "").encode("utf-8", "surrogatepass"), k, seed))
                 n += len(held[-1])
                 if n >= HASHES:
-                    found.append(fold_bits(held))
+                    found.append([fold_bits(held, w) for w in words])
                     held, n = [], 0
-            found.append(fold_bits(held))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(found))], ["doc_id", "mark", "fp"])
+            found.append([fold_bits(held, w) for w in words])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x) for x in np.concatenate(found, axis=1))], names)
 
-    out = rows.mapInArrow(run, "doc_id long, mark long, fp long")
-    return out if mark else out.select("doc_id", "fp")
+    names = ["doc_id", "mark", "fp", *(WIDE if wide else [])]
+    out = rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return out if mark else out.drop("mark")
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -175,14 +198,14 @@ def _signed(x: int) -> int:
 def postings(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """part, key (the fingerprint's bits in the part, or a value near it), fp, home (its own value). Probes go to larger values only:
     of two differing values the smaller one's fingerprint finds the larger one's."""
-    found = []
+    found, carried = [], [c for c in WIDE if c in nodes.columns]
     for g, (part, threshold) in enumerate(plan):
         own = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in part))))
         flips = [_signed(sum(1 << b for b in c)) for d in range(1, threshold + 1) for c in itertools.combinations(part, d)]
-        rows = nodes.select(F.lit(g).cast("byte").alias("part"), own.alias("key"), "fp", F.lit(True).alias("home"))
+        rows = nodes.select(F.lit(g).cast("byte").alias("part"), own.alias("key"), "fp", F.lit(True).alias("home"), *carried)
         if flips:
-            flipped = nodes.select(F.lit(g).cast("byte").alias("part"), "fp", own.alias("own"), F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip"))
-            flipped = flipped.select("part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"), "fp", F.lit(False).alias("home"), "own").where("key > own")
+            flipped = nodes.select(F.lit(g).cast("byte").alias("part"), "fp", *carried, own.alias("own"), F.explode(F.array(*[F.lit(x) for x in flips])).alias("flip"))
+            flipped = flipped.select("part", F.col("own").bitwiseXOR(F.col("flip")).alias("key"), "fp", F.lit(False).alias("home"), *carried, "own").where("key > own")
             rows = rows.unionByName(flipped.drop("own"))
         found.append(rows)
     whole = found[0]
@@ -191,16 +214,31 @@ def postings(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     return whole
 
 
-def _forest(fps: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def most_apart(similarity: float) -> int:
+    """Bits by which wide fingerprints differ at a Jaccard similarity: the share of angle / pi, with cosine 2 s / (1 + s)."""
+    return round(64 * len(WIDE) * math.acos(2 * similarity / (1 + similarity)) / math.pi)
+
+
+def _near(x: np.ndarray, y: np.ndarray, radius: int, apart: int) -> np.ndarray:
+    """Which rows are linked; columns are the fingerprint and, if carried, the words of the wide one."""
+    near = np.bitwise_count((x[..., 0] ^ y[..., 0]).view(np.uint64)) <= radius
+    if y.shape[1] > 1 and near.any():
+        at = np.flatnonzero(near)
+        x = x if x.ndim == 1 else x[at]
+        near[at] = np.bitwise_count((x[..., 1:] ^ y[at, 1:]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= apart
+    return near
+
+
+def _forest(fps: np.ndarray, radius: int, apart: int) -> list[tuple[int, int]]:
     """Links that connect what is connected among fps: each found row leaves the set that is still looked through."""
-    rest, links = np.unique(fps), []
+    rest, links = fps[np.unique(fps[:, 0], return_index=True)[1]], []
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             x = front.pop()
-            near = np.bitwise_count((rest ^ x).view(np.uint64)) <= radius
+            near = _near(x, rest, radius, apart)
             if near.any():
-                links += [(int(x), int(y)) for y in rest[near]]
+                links += [(int(x[0]), int(y)) for y in rest[near, 0]]
                 front += list(rest[near])
                 rest = rest[~near]
     return links
@@ -230,60 +268,64 @@ def _links(pairs: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["a", "b"])
 
 
-def links_in_buckets(rows: DataFrame, keys: list[str], radius: int) -> DataFrame:
-    """Spanning links (a, b) inside buckets; rows are keys, home and fp, and a pair of two probes needs no look."""
-    k = len(keys)
+def links_in_buckets(rows: DataFrame, keys: list[str], radius: int, apart: int = 0) -> DataFrame:
+    """Spanning links (a, b) inside buckets; rows are keys, home and fp (with the wide words), and a pair of two probes needs no look."""
+    k, carried = len(keys), [c for c in WIDE if c in rows.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _runs(batches, k):
-            home, fp = columns[k].astype(bool), columns[k + 1]
+            home, fp = columns[k].astype(bool), np.stack(columns[k + 1 :], axis=1)
             new = np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns[:k]], axis=0)])
             starts = np.flatnonzero(new)
             sizes = np.diff(np.append(starts, len(fp)))
-            found = [np.array(_forest(fp[s : s + z], radius), dtype=np.int64).reshape(-1, 2) for s, z in zip(starts, sizes, strict=True) if z > SMALL_RUN]
+            found = [np.array(_forest(fp[s : s + z], radius, apart), dtype=np.int64).reshape(-1, 2) for s, z in zip(starts, sizes, strict=True) if z > SMALL_RUN]
             left = np.repeat(np.where(sizes > SMALL_RUN, 0, sizes), sizes) - (np.arange(len(fp)) - np.repeat(starts, sizes)) - 1
             at = np.flatnonzero(home & (left > 0))  # homes come first, so a probe has only probes behind it
             lag = 1
             while len(at):
                 a, b = fp[at], fp[at + lag]
-                near = np.bitwise_count((a ^ b).view(np.uint64)) <= radius
-                found.append(np.stack([a[near], b[near]], axis=1))
+                near = _near(a, b, radius, apart)
+                found.append(np.stack([a[near, 0], b[near, 0]], axis=1))
                 lag += 1
                 at = at[left[at] >= lag]
             yield _links(found)
 
-    part = rows.select(*keys, "home", "fp").repartition(*keys).sortWithinPartitions(*keys, F.desc("home"))
+    part = rows.select(*keys, "home", "fp", *carried).repartition(*keys).sortWithinPartitions(*keys, F.desc("home"))
     return part.mapInArrow(run, "a long, b long")
 
 
-def links_between(rows: DataFrame, keys: list[str], radius: int) -> DataFrame:
+def links_between(rows: DataFrame, keys: list[str], radius: int, apart: int = 0) -> DataFrame:
     """Links between the rows with ``minor`` and all rows of a bucket, at most one per row and minor."""
-    k = len(keys)
+    k, carried = len(keys), [c for c in WIDE if c in rows.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _runs(batches, k, 1 << 14):
-            minor, fp = columns[k].astype(bool), columns[k + 1]
+            minor, fp = columns[k].astype(bool), np.stack(columns[k + 1 :], axis=1)
             starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns[:k]], axis=0)]))
             found = []
             for s, e in zip(starts, np.append(starts[1:], len(fp)), strict=True):
-                few, all_rows = np.unique(fp[s:e][minor[s:e]]), np.unique(fp[s:e][~minor[s:e]])
+                few, all_rows = (x[np.unique(x[:, 0], return_index=True)[1]] for x in (fp[s:e][minor[s:e]], fp[s:e][~minor[s:e]]))
                 for x in few:
-                    near = all_rows[np.bitwise_count((all_rows ^ x).view(np.uint64)) <= radius]
-                    found.append(np.stack([np.full(len(near), x), near], axis=1))
+                    near = all_rows[_near(x, all_rows, radius, apart), 0]
+                    found.append(np.stack([np.full(len(near), x[0]), near], axis=1))
             yield _links(found)
 
-    part = rows.select(*keys, "minor", "fp").repartition(*keys).sortWithinPartitions(*keys)
+    part = rows.select(*keys, "minor", "fp", *carried).repartition(*keys).sortWithinPartitions(*keys)
     return part.mapInArrow(run, "a long, b long")
 
 
-def hot_links(hot: DataFrame, sizes: DataFrame, radius: int) -> DataFrame:
-    """Links inside the buckets of more than BUCKET rows (part, key, home, fp; sizes: part, key, n)."""
-    bucket = ["part", "key"]
+def hot_links(hot: DataFrame, sizes: DataFrame, radius: int, apart: int = 0) -> DataFrame:
+    """Links inside the buckets of more than BUCKET rows (part, key, home, fp, wide words if any; sizes: part, key, n)."""
+    bucket, carried = ["part", "key"], [c for c in WIDE if c in hot.columns]
     rows = settle(hot.join(sizes, bucket).withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")), "hot-rows")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    inside = links_in_buckets(rows, [*bucket, "block"], radius)
-    pivots = settle(rows.groupBy(*bucket).agg(F.min("fp").alias("pivot")), "pivots")
-    star = rows.join(pivots, bucket).where(F.bit_count(F.col("fp").bitwiseXOR(F.col("pivot"))) <= radius).select(F.col("fp").alias("a"), F.col("pivot").alias("b"))
+    inside = links_in_buckets(rows, [*bucket, "block"], radius, apart)
+    pivots = settle(rows.groupBy(*bucket).agg(F.min(F.struct("fp", *carried)).alias("pivot")), "pivots")
+    differ = {c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"pivot.{c}"))) for c in ["fp", *carried]}
+    star = rows.join(pivots, bucket).where(differ["fp"] <= radius)
+    if carried:
+        star = star.where(sum((differ[c] for c in carried), F.lit(0)) <= apart)
+    star = star.select(F.col("fp").alias("a"), F.col("pivot.fp").alias("b"))
     links = settle(inside.unionByName(star).where("a <> b").distinct(), "hot-links")
     labels = components(links).toDF("fp", "label")
     rows = settle(rows.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "hot-labelled")
@@ -291,40 +333,57 @@ def hot_links(hot: DataFrame, sizes: DataFrame, radius: int) -> DataFrame:
     largest = settle(groups.groupBy(*bucket).agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("all")).where("top.size < all"), "hot-mixed")
     mixed = rows.join(largest, bucket).withColumn("minor", F.col("label") != F.col("top.label"))
     mixed = mixed.withColumn("chunks", F.ceil((F.col("all") - F.col("top.size")) / BUCKET).cast("int"))
-    dealt = mixed.select(*bucket, F.col("block").cast("long").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("minor"), "fp")
+    dealt = mixed.select(*bucket, F.col("block").cast("long").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("minor"), "fp", *carried)
     few = mixed.where("minor").select(
         *bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), F.pmod(F.xxhash64(F.lit(1), "fp"), F.col("chunks")).cast("int").alias("chunk"),
-        F.lit(True).alias("minor"), "fp",
+        F.lit(True).alias("minor"), "fp", *carried,
     )
-    return links.unionByName(links_between(dealt.unionByName(few), [*bucket, "block", "chunk"], radius))
+    return links.unionByName(links_between(dealt.unionByName(few), [*bucket, "block", "chunk"], radius, apart))
 
 
-def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(node, label) for every distinct fingerprint that has a link."""
+def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
+    """(node, label) for every distinct fingerprint that has a link; with a ``similarity``, nodes carry the wide words."""
     n, together = bit_statistics(nodes)
-    rows = settle(postings(nodes, allocate(n, together, radius)), "postings")
+    plan = allocate(n, together, radius)
+    links = all_links(nodes.select("fp"), plan, radius)
+    if similarity is not None:
+        linked = settle(links.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "linked")
+        links = all_links(settle(nodes.select("fp", *WIDE).join(linked, "fp", "left_semi"), "wide-nodes"), plan, radius, most_apart(similarity))
+    return components(links)
+
+
+def all_links(nodes: DataFrame, plan: list[tuple[list[int], int]], radius: int, apart: int = 0) -> DataFrame:
+    """Links (a, b) that connect what is connected among the nodes."""
+    rows = settle(postings(nodes, plan), "postings")
     sizes = settle(rows.groupBy("part", "key").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET), "hot-buckets")
     if sizes.isEmpty():
-        return components(links_in_buckets(rows, ["part", "key"], radius))
-    cold = links_in_buckets(rows.join(sizes, ["part", "key"], "left_anti"), ["part", "key"], radius)
-    return components(cold.unionByName(hot_links(rows.join(sizes, ["part", "key"], "left_semi"), sizes, radius)))
+        return links_in_buckets(rows, ["part", "key"], radius, apart)
+    cold = links_in_buckets(rows.join(sizes, ["part", "key"], "left_anti"), ["part", "key"], radius, apart)
+    return cold.unionByName(hot_links(rows.join(sizes, ["part", "key"], "left_semi"), sizes, radius, apart))
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", similarity: float | None = None,
+) -> DataFrame:
     """doc_id, mark (hash of the text), fp, component_id (smallest id reachable over links) and component (smallest fingerprint), per row."""
-    prints = settle(fingerprints(docs, k, SEED, id_column, text_column, mark=True), "fingerprints")
-    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
-    labels = linked_fingerprints(nodes, radius).toDF("fp", "component")
+    wide = [] if similarity is None else WIDE
+    prints = settle(fingerprints(docs, k, SEED, id_column, text_column, mark=True, wide=bool(wide)), "fingerprints")
+    # Texts of one fingerprint are one node and have nearly the same wide one.
+    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *([F.min(F.struct(*wide)).alias("wide")] if wide else []))
+    nodes = settle(nodes.select("fp", "least", *(f"wide.{c}" for c in wide)), "nodes")
+    labels = linked_fingerprints(nodes, radius, similarity).toDF("fp", "component")
     nodes = settle(nodes.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
     named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
     nodes = settle(nodes.join(settle(named, "named"), "component").select("fp", "component", "component_id"), "classes")
-    return prints.join(nodes, "fp")  # one fingerprint may hold a third of the rows: two plain scans, which adaptive execution splits
+    return prints.drop(*wide).join(nodes, "fp")  # one fingerprint may hold a third of the rows: two plain scans, which adaptive execution splits
 
 
-def keep_one(docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", similarity: float | None = None,
+) -> DataFrame:
     """The rows of ``docs`` with one of each component: the smallest id (of rows repeating an id, one)."""
     key, mark, place = fresh(docs.columns, "__key"), fresh(docs.columns, "__mark"), fresh(docs.columns, "__place")
-    classes = near_duplicates(docs, k, radius, id_column, text_column)
+    classes = near_duplicates(docs, k, radius, id_column, text_column, similarity)
     stay = classes.groupBy("component").agg(F.min(F.struct(id_key("doc_id").alias("key"), "mark")).alias("first"))
     stay = stay.select(F.col("first.key").alias(key), F.col("first.mark").alias(mark))
     rows = docs.withColumns({key: id_key(F.col(id_column).cast("bigint")), mark: F.xxhash64(whole_text(text_column))})
