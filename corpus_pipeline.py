@@ -26,7 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.keep_one(docs, k=5)  # five-word shingles here; op5's contract has four
+    # Five-word shingles at a similarity of 0.8 here; op5's contract has four words and four bits.
+    return simhash.keep_one(docs, k=5, radius=7, similarity=0.8)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
