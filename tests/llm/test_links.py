@@ -93,6 +93,38 @@ def test_links_against_all_pairs(spark, monkeypatch, seed, bucket, run):
     assert [got.get(x, x) for x in prints] == [prints[i] for i in want]
 
 
+@pytest.mark.parametrize(("bucket", "run"), [(4096, 3), (12, 4)])
+def test_verified_links_against_all_pairs(spark, monkeypatch, bucket, run):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    monkeypatch.setattr(simhash, "SMALL_RUN", run)
+    rng = random.Random(5)
+    prints = sorted({simhash._signed(x) for x in clustered(3, 300)})
+    base = [[rng.getrandbits(64) for _ in simhash.WIDE] for _ in range(3)]
+    wide = [[simhash._signed(w ^ (rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64))) for w in rng.choice(base)] for _ in prints]
+    apart = [[sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True)) for b in wide] for a in wide]
+    most = simhash.most_apart(0.7)
+    near = [(i, j) for i in range(len(prints)) for j in range(i) if ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= 4]
+    links = [(i, j) for i, j in near if apart[i][j] <= most]
+    assert 0 < len(links) < len(near)
+    want = roots(len(prints), links)
+    nodes = spark.createDataFrame([(x, *w) for x, w in zip(prints, wide, strict=True)], ", ".join(f"{c} long" for c in ["fp", *simhash.WIDE]))
+    got = {r["node"]: r["label"] for r in simhash.linked_fingerprints(nodes, similarity=0.7).collect()}
+    assert [got.get(x, x) for x in prints] == [prints[i] for i in want]
+
+
+def test_similar_texts_stay_once(spark):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    texts = [[rng.choice(words) for _ in range(600)] for _ in range(12)]
+    near = [[*t[:300], "other", *t[301:]] for t in texts[:6]]  # five shingles of 596 differ
+    half = [[*t[:300], *[rng.choice(words) for _ in range(300)]] for t in texts[6:]]
+    rows = [(i, " ".join(t), "x") for i, t in enumerate(texts + near + half)] + [(90, None, "x"), (91, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, w1 string")
+    kept = simhash.keep_one(df, k=5, radius=7, similarity=0.8)
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(12), *range(18, 24), 90]
+
+
 @pytest.mark.parametrize("plan", [[(list(range(20)), 2), (list(range(20, 42)), 0), (list(range(42, 64)), 0)]])
 def test_every_allocation_finds_the_same(spark, monkeypatch, plan):
     prints = sorted({simhash._signed(x) for x in clustered(7, 60)})
