@@ -139,6 +139,10 @@ def test_quality_on_labels(spark):
     assert kept[1] > 0.97 and kept[0] < 0.4
 
 
+def test_sample_is_not_shrunk(spark):
+    assert kneser_ney.classify.__defaults__[1] == kneser_ney.TRAIN_DOCS == 6000
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, 1, 0) for i in (1, 1, 5, 6, 8, 9, 77, None)] + [(10, 0, None), (4, None, 0)], "doc_id long, quality int, toxic int")
     rows = kneser_ney.classify(odd_docs, labels).collect()
