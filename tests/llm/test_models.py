@@ -143,6 +143,15 @@ def test_sample_is_not_shrunk(spark):
     assert kneser_ney.classify.__defaults__[1] == kneser_ney.TRAIN_DOCS == 6000
 
 
+def test_rare_language_has_its_own_threshold(spark):
+    rows = [("en", 100.0 + i % 40) for i in range(400)] + [("fr", 900.0 + 10 * i) for i in range(5)] + [(None, 5000.0)]
+    limits, overall = kneser_ney.thresholds(spark.createDataFrame(rows, "lang string, perplexity double"))
+    found = {r["of"]: r["own"] for r in limits.collect()}
+    assert set(found) == {"en", "fr", None} and 130 < found["en"] < 150
+    assert found["fr"] > 940 and found[None] >= 5000  # clean documents of a rare language stay, whatever the frequent one's perplexity is
+    assert found["fr"] < 2000 and spark.range(1).select(overall).first()[0] < 1000
+
+
 def test_quality_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, 1, 0) for i in (1, 1, 5, 6, 8, 9, 77, None)] + [(10, 0, None), (4, None, 0)], "doc_id long, quality int, toxic int")
     rows = kneser_ney.classify(odd_docs, labels).collect()
