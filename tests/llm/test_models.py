@@ -133,6 +133,24 @@ def test_perplexity_against_a_plain_model(spark, seed, hot):
     assert np.allclose([got[i] for i in range(len(want))], want, rtol=1e-9)
 
 
+def test_all_words_of_the_sample_count(spark):
+    rng = random.Random(4)
+    alphabet = [f"w{i}" for i in range(40_000)] + ["長" * 60 + str(i) for i in range(9)]  # more than 16 bits hold, and longer than 64 bytes
+    train = [" ".join(rng.sample(alphabet, 900)) for _ in range(45)] + [" ".join(alphabet[-9:])] * 2
+    rest = [" ".join(alphabet[-9:]), " ".join(alphabet[-18:]), "new " * 9]
+    docs = spark.createDataFrame(list(enumerate(rest)), "doc_id long, text string")
+    got = {r["doc_id"]: r["perplexity"] for r in kneser_ney.perplexities(docs, *kneser_ney.fit(spark.createDataFrame([(t,) for t in train], "text string")), ["doc_id"], hot=1000).collect()}
+    want = kneser_ney_by_hand([t.split() for t in train], [t.split() for t in rest], 10**9)
+    assert np.allclose([got[i] for i in range(3)], want, rtol=1e-9) and got[0] < got[1] < got[2]
+
+
+def test_keys_are_those_of_spark(spark):
+    x = np.array([0, 0, -5, 2**62, 1, 7], dtype=np.int64)
+    rows = spark.createDataFrame([tuple(map(int, x[i : i + 3])) for i in range(4)], "a long, b long, c long")
+    got = rows.select(kneser_ney.gram_key("a").alias("i"), kneser_ney.gram_key("a", "b").alias("j"), kneser_ney.gram_key("a", "b", "c").alias("k")).collect()
+    assert [tuple(r) for r in got] == list(zip(*(k[:4].tolist() for k in kneser_ney.gram_keys(x)), strict=True))
+
+
 def test_quality_on_labels(spark):
     rows = kneser_ney.op10_kneser_ney(spark, "/root/testdata/sf0.1").join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id")
     kept = {r["quality"]: r["k"] for r in rows.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
