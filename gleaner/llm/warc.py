@@ -107,19 +107,22 @@ class RangeReader:
 
 
 def header_at(data: bytes) -> bool | None:
-    """Whether a record's member begins ``data``: decodes its first bytes. None: it decodes so far, more bytes are needed."""
+    """Whether a record's member begins ``data``: decodes its header, of any length. None: it decodes so far, more bytes are needed."""
     if data[:3] != MAGIC or len(data) < 4 or data[3] & 0xE0:
         return False
     unzip = zlib.decompressobj(31)
+    text, blank = bytearray(), -1
     try:
-        text = unzip.decompress(data, 1 << 16)
+        while blank < 0 and not unzip.eof and (more := unzip.decompress(unzip.unconsumed_tail if text else data, 1 << 16)):
+            text += more
+            if not b"WARC/".startswith(text[:5]):
+                return False
+            blank = text.find(b"\r\n\r\n", max(0, len(text) - len(more) - 3))
     except zlib.error:
         return False
-    if not b"WARC/".startswith(text[:5]) or unzip.eof and not text:
-        return False
-    if b"\r\n\r\n" in text:
-        return b"\r\nContent-Length:" in text[: text.index(b"\r\n\r\n")]
-    return False if unzip.eof or len(text) >= 1 << 16 else None
+    if blank >= 0:
+        return b"\r\nContent-Length:" in text[:blank]
+    return False if unzip.eof else None
 
 
 def next_member(file: RangeReader, at: int, end: int) -> int | None:
@@ -129,7 +132,7 @@ def next_member(file: RangeReader, at: int, end: int) -> int | None:
         found = data.find(MAGIC)
         while found >= 0:
             need = 2048
-            while (good := header_at(file.at(at + found, need))) is None and need < 1 << 20 and at + found + need < file.size:
+            while (good := header_at(file.at(at + found, need))) is None and at + found + need < file.size:
                 need *= 4
             if good:
                 return at + found

@@ -41,6 +41,17 @@ def test_round_trip_over_any_ranges(spark):
             assert (kind, refers, payload) == ("revisit", first[body], b"")
 
 
+def test_header_of_any_length(spark):
+    rng = random.Random(2)
+    urls = [" " * 200_000, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789/", k=200_000)), "".join(rng.choices("abcdefghijklmnopqrstuvwxyz/", k=3_000_000)), "short"]
+    path = scratch(spark, "warc-long")
+    warc.write_archives(pages(spark, [(i, u, f"page {i}") for i, u in enumerate(urls)]).coalesce(1), path)
+    for size in (1 << 24, 50_000):
+        got = warc.read_archives(spark, path, size).collect()
+        assert {r["page_id"]: r["target_uri"] for r in got} == {i: u.replace(" ", "%20") for i, u in enumerate(urls)}
+        assert len(got) == len(urls) and all(r["error"] is None for r in got)
+
+
 def test_archives_are_plain_gzip(spark, tmp_path):
     warc.write_archives(pages(spark, [(1, "a", "x"), (2, "b", "y")]).coalesce(1), f"file://{tmp_path}/w")
     text = b"".join(gzip.decompress(p.read_bytes()) for p in (tmp_path / "w").glob("part-*"))
