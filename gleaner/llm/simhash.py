@@ -10,9 +10,11 @@ Pairs are verified where they meet, and only a spanning forest of the links leav
 cut into blocks: blocks are linked inside, every row is compared with one pivot, and then only rows outside the bucket's largest
 component are compared with the rest, block by block.
 
-With a ``similarity``, links are verified a second time: rows that have a link are listed once more with a second, wider fingerprint
-of other hashes, and two are linked only if that one differs by no more bits than expected at this Jaccard similarity of their
-shingles. The radius then decides what is found, the wide fingerprint what is right.
+With a ``similarity``, a node is a distinct set of shingles (with its fingerprint), and links are verified. Nodes whose fingerprint has
+a link or is shared are listed once more with a second, wider fingerprint of their distinct shingles, which keeps back pairs that are
+clearly further apart (``SLACK`` standard deviations). Every spanning link is then confirmed by the exact Jaccard similarity of the two
+shingle sets. Where one fails, the pairs of its component that confirmed links have not joined are all looked at, so that a failed link
+never hides a right one. The radius decides what is found, the exact similarity what is right.
 
 Defined cases: a null or blank text has fingerprint zero and is linked like any other; a text of fewer words than a shingle is one
 shingle; a null id takes part, its component is named by the smallest id that is not null (null if there is none); repeated rows share
@@ -42,6 +44,8 @@ COMPARE = 0.03
 HASHES = 1 << 17
 #: 64-bit words of the wide fingerprint.
 WIDE = ["w1", "w2", "w3", "w4"]
+#: Standard deviations of the wide fingerprint beyond what is expected at the similarity.
+SLACK = 3
 #: A byte's bits, each in a byte of its own.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
 
@@ -91,10 +95,19 @@ def fold_bits(hashes: list[list[int]], word: int = 0) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text", mark: bool = False, wide: bool = False) -> DataFrame:
-    """doc_id and fp of every row; ``mark`` adds a hash of the text, ``wide`` the words of the wide fingerprint."""
-    words = range(1 + len(WIDE) if wide else 1)
+    """doc_id and fp of every row; ``mark`` adds a hash of the text, ``wide`` the words of the wide fingerprint, in which each distinct
+    shingle counts once, and ``node``, a hash of the set of shingles and fp."""
     rows = docs.select(F.col(id_column).cast("bigint").alias("doc_id"), F.xxhash64(whole_text(text_column)).alias("mark"), F.col(text_column).alias("text"))
 
+    def folded(held: list[list[int]]) -> list[np.ndarray]:
+        prints = fold_bits(held)
+        if not wide:
+            return [prints]
+        sets = [distinct(h) for h in held]
+        node = np.array([xxhash.xxh64_intdigest(x.tobytes(), int(fp) & (2**64 - 1)) for x, fp in zip(sets, prints, strict=True)], dtype=np.uint64)
+        lists = [x.tolist() for x in sets]
+        return [prints, *(fold_bits(lists, w) for w in range(1, 1 + len(WIDE))), node.view(np.int64)]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, held, n = [], [], 0
@@ -102,16 +115,49 @@ def fingerprints(docs: DataFrame, k: int = SHINGLE, seed: int = SEED, id_column:
                 held.append(shingle_hashes((text.as_py() or "").encode("utf-8", "surrogatepass"), k, seed))
                 n += len(held[-1])
                 if n >= HASHES:
-                    found.append([fold_bits(held, w) for w in words])
+                    found.append(folded(held))
                     held, n = [], 0
-            found.append([fold_bits(held, w) for w in words])
+            found.append(folded(held))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x) for x in np.concatenate(found, axis=1))], names)
 
-    names = ["doc_id", "mark", "fp", *(WIDE if wide else [])]
+    names = ["doc_id", "mark", "fp", *([*WIDE, "node"] if wide else [])]
     out = rows.mapInArrow(run, ", ".join(f"{c} long" for c in names))
     return out if mark else out.drop("mark")
 
 
+def distinct(hashes: list[int]) -> np.ndarray:
+    return np.unique(np.array(hashes, dtype=np.uint64))
+
+
+def shingle_sets(rows: DataFrame, k: int, seed: int = SEED) -> DataFrame:
+    """(node, shingles): the distinct shingles of each row (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                sets = [distinct(shingle_hashes((t.as_py() or "").encode("utf-8", "surrogatepass"), k, seed)).view(np.int64) for t in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return rows.select("node", "text").mapInArrow(run, "node long, shingles array<long>")
+
+
+def similar_links(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b, right): whether the exact Jaccard similarity of the two shingle sets is at least ``similarity``."""
+    met = links.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
+    met = met.withColumn("common", F.size(F.array_intersect("x", "y")))
+    return met.select("a", "b", (F.col("common") >= F.lit(similarity) * (F.size("x") + F.size("y") - F.col("common"))).alias("right"))
+
+
+def _carried(rows: DataFrame) -> list[str]:
+    return [c for c in [*WIDE, "node"] if c in rows.columns]
+
+
+def _names(x: np.ndarray) -> np.ndarray:
+    """What rows are linked by: the node, if it is carried, or else the fingerprint."""
+    return x[..., 1 + len(WIDE)] if x.shape[-1] > 1 + len(WIDE) else x[..., 0]
+
+
 def _bits(fps: np.ndarray) -> np.ndarray:
     return np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
 
@@ -198,7 +244,7 @@ def _signed(x: int) -> int:
 def postings(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     """part, key (the fingerprint's bits in the part, or a value near it), fp, home (its own value). Probes go to larger values only:
     of two differing values the smaller one's fingerprint finds the larger one's."""
-    found, carried = [], [c for c in WIDE if c in nodes.columns]
+    found, carried = [], _carried(nodes)
     for g, (part, threshold) in enumerate(plan):
         own = F.col("fp").bitwiseAND(F.lit(_signed(sum(1 << b for b in part))))
         flips = [_signed(sum(1 << b for b in c)) for d in range(1, threshold + 1) for c in itertools.combinations(part, d)]
@@ -219,26 +265,33 @@ def most_apart(similarity: float) -> int:
     return round(64 * len(WIDE) * math.acos(2 * similarity / (1 + similarity)) / math.pi)
 
 
+def surely_apart(similarity: float) -> int:
+    """Bits by which wide fingerprints of this similarity hardly ever differ."""
+    n, p = 64 * len(WIDE), math.acos(2 * similarity / (1 + similarity)) / math.pi
+    return math.ceil(n * p + SLACK * math.sqrt(n * p * (1 - p)))
+
+
 def _near(x: np.ndarray, y: np.ndarray, radius: int, apart: int) -> np.ndarray:
     """Which rows are linked; columns are the fingerprint and, if carried, the words of the wide one."""
     near = np.bitwise_count((x[..., 0] ^ y[..., 0]).view(np.uint64)) <= radius
     if y.shape[1] > 1 and near.any():
         at = np.flatnonzero(near)
         x = x if x.ndim == 1 else x[at]
-        near[at] = np.bitwise_count((x[..., 1:] ^ y[at, 1:]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= apart
+        wide = slice(1, 1 + len(WIDE))
+        near[at] = np.bitwise_count((x[..., wide] ^ y[at, wide]).view(np.uint64)).sum(axis=1, dtype=np.int64) <= apart
     return near
 
 
 def _forest(fps: np.ndarray, radius: int, apart: int) -> list[tuple[int, int]]:
     """Links that connect what is connected among fps: each found row leaves the set that is still looked through."""
-    rest, links = fps[np.unique(fps[:, 0], return_index=True)[1]], []
+    rest, links = fps[np.unique(_names(fps), return_index=True)[1]], []
     while len(rest):
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             x = front.pop()
             near = _near(x, rest, radius, apart)
             if near.any():
-                links += [(int(x[0]), int(y)) for y in rest[near, 0]]
+                links += [(int(_names(x)), int(y)) for y in _names(rest[near])]
                 front += list(rest[near])
                 rest = rest[~near]
     return links
@@ -270,7 +323,7 @@ def _links(pairs: list[np.ndarray]) -> pa.RecordBatch:
 
 def links_in_buckets(rows: DataFrame, keys: list[str], radius: int, apart: int = 0) -> DataFrame:
     """Spanning links (a, b) inside buckets; rows are keys, home and fp (with the wide words), and a pair of two probes needs no look."""
-    k, carried = len(keys), [c for c in WIDE if c in rows.columns]
+    k, carried = len(keys), _carried(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _runs(batches, k):
@@ -285,7 +338,7 @@ def links_in_buckets(rows: DataFrame, keys: list[str], radius: int, apart: int =
             while len(at):
                 a, b = fp[at], fp[at + lag]
                 near = _near(a, b, radius, apart)
-                found.append(np.stack([a[near, 0], b[near, 0]], axis=1))
+                found.append(np.stack([_names(a[near]), _names(b[near])], axis=1))
                 lag += 1
                 at = at[left[at] >= lag]
             yield _links(found)
@@ -296,7 +349,7 @@ def links_in_buckets(rows: DataFrame, keys: list[str], radius: int, apart: int =
 
 def links_between(rows: DataFrame, keys: list[str], radius: int, apart: int = 0) -> DataFrame:
     """Links between the rows with ``minor`` and all rows of a bucket, at most one per row and minor."""
-    k, carried = len(keys), [c for c in WIDE if c in rows.columns]
+    k, carried = len(keys), _carried(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in _runs(batches, k, 1 << 14):
@@ -304,10 +357,10 @@ def links_between(rows: DataFrame, keys: list[str], radius: int, apart: int = 0)
             starts = np.flatnonzero(np.concatenate([[True], np.any([c[1:] != c[:-1] for c in columns[:k]], axis=0)]))
             found = []
             for s, e in zip(starts, np.append(starts[1:], len(fp)), strict=True):
-                few, all_rows = (x[np.unique(x[:, 0], return_index=True)[1]] for x in (fp[s:e][minor[s:e]], fp[s:e][~minor[s:e]]))
+                few, all_rows = (x[np.unique(_names(x), return_index=True)[1]] for x in (fp[s:e][minor[s:e]], fp[s:e][~minor[s:e]]))
                 for x in few:
-                    near = all_rows[_near(x, all_rows, radius, apart), 0]
-                    found.append(np.stack([np.full(len(near), x[0]), near], axis=1))
+                    near = _names(all_rows[_near(x, all_rows, radius, apart)])
+                    found.append(np.stack([np.full(len(near), _names(x)), near], axis=1))
             yield _links(found)
 
     part = rows.select(*keys, "minor", "fp", *carried).repartition(*keys).sortWithinPartitions(*keys)
@@ -316,26 +369,27 @@ def links_between(rows: DataFrame, keys: list[str], radius: int, apart: int = 0)
 
 def hot_links(hot: DataFrame, sizes: DataFrame, radius: int, apart: int = 0) -> DataFrame:
     """Links inside the buckets of more than BUCKET rows (part, key, home, fp, wide words if any; sizes: part, key, n)."""
-    bucket, carried = ["part", "key"], [c for c in WIDE if c in hot.columns]
+    bucket, carried = ["part", "key"], _carried(hot)
+    own, wide = "node" if "node" in carried else "fp", [c for c in carried if c in WIDE]
     rows = settle(hot.join(sizes, bucket).withColumn("blocks", F.ceil(F.col("n") / BUCKET).cast("int")), "hot-rows")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64(own), F.col("blocks")))
     inside = links_in_buckets(rows, [*bucket, "block"], radius, apart)
     pivots = settle(rows.groupBy(*bucket).agg(F.min(F.struct("fp", *carried)).alias("pivot")), "pivots")
-    differ = {c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"pivot.{c}"))) for c in ["fp", *carried]}
+    differ = {c: F.bit_count(F.col(c).bitwiseXOR(F.col(f"pivot.{c}"))) for c in ["fp", *wide]}
     star = rows.join(pivots, bucket).where(differ["fp"] <= radius)
-    if carried:
-        star = star.where(sum((differ[c] for c in carried), F.lit(0)) <= apart)
-    star = star.select(F.col("fp").alias("a"), F.col("pivot.fp").alias("b"))
+    if wide:
+        star = star.where(sum((differ[c] for c in wide), F.lit(0)) <= apart)
+    star = star.select(F.col(own).alias("a"), F.col(f"pivot.{own}").alias("b"))
     links = settle(inside.unionByName(star).where("a <> b").distinct(), "hot-links")
-    labels = components(links).toDF("fp", "label")
-    rows = settle(rows.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "hot-labelled")
+    labels = components(links).toDF(own, "label")
+    rows = settle(rows.join(labels, own, "left").withColumn("label", F.coalesce("label", own)), "hot-labelled")
     groups = settle(rows.groupBy(*bucket, "label").agg(F.count("*").alias("size")), "hot-groups")
     largest = settle(groups.groupBy(*bucket).agg(F.max(F.struct("size", "label")).alias("top"), F.sum("size").alias("all")).where("top.size < all"), "hot-mixed")
     mixed = rows.join(largest, bucket).withColumn("minor", F.col("label") != F.col("top.label"))
     mixed = mixed.withColumn("chunks", F.ceil((F.col("all") - F.col("top.size")) / BUCKET).cast("int"))
     dealt = mixed.select(*bucket, F.col("block").cast("long").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(False).alias("minor"), "fp", *carried)
     few = mixed.where("minor").select(
-        *bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), F.pmod(F.xxhash64(F.lit(1), "fp"), F.col("chunks")).cast("int").alias("chunk"),
+        *bucket, F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks").cast("long") - 1)).alias("block"), F.pmod(F.xxhash64(F.lit(1), own), F.col("chunks")).cast("int").alias("chunk"),
         F.lit(True).alias("minor"), "fp", *carried,
     )
     return links.unionByName(links_between(dealt.unionByName(few), [*bucket, "block", "chunk"], radius, apart))
@@ -352,6 +406,40 @@ def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS, similarity: floa
     return components(links)
 
 
+def linked_sets(nodes: DataFrame, texts: DataFrame, k: int, radius: int, similarity: float) -> DataFrame:
+    """(node, label) for every node (node, fp, wide words, key, mark) with a link of at least ``similarity``; texts: key, mark, text."""
+    prints = settle(nodes.groupBy("fp").agg(F.count("*").alias("n")), "prints")
+    n, together = bit_statistics(prints)
+    plan = allocate(n, together, radius)
+    linked = all_links(prints.select("fp"), plan, radius).select(F.explode(F.array("a", "b")).alias("fp"))
+    linked = settle(linked.unionByName(prints.where("n > 1").select("fp")).distinct(), "linked")
+    nodes = settle(nodes.join(linked, "fp", "left_semi"), "wide-nodes")
+    apart, wide = surely_apart(similarity), nodes.select("fp", *WIDE, "node")
+    links = settle(all_links(wide, plan, radius, apart).where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    ends = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    # One row may repeat id and text: its set is the same.
+    sets = texts.join(nodes.join(ends, "node", "left_semi").select("key", "mark", "node"), ["key", "mark"])
+    sets = settle(shingle_sets(sets, k).dropDuplicates(["node"]), "shingle-sets")
+    checked = settle(similar_links(links, sets, similarity), "checked-links")
+    right = checked.where("right").select("a", "b")
+    if checked.where("not right").isEmpty():
+        return components(right)
+    groups = settle(components(links), "candidate-groups").toDF("node", "group")
+    open_groups = checked.where("not right").join(groups, F.col("a") == F.col("node")).select("group").distinct()
+    joined = settle(components(right), "confirmed").toDF("node", "label")
+    unsettled = groups.join(open_groups, "group", "left_semi").join(joined, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    unsettled = settle(wide.join(unsettled, "node"), "unsettled")
+    rows = settle(postings(unsettled.select("fp", *WIDE, "node"), plan).join(unsettled.select("node", "group", "label"), "node"), "unsettled-postings")
+    x, y = (rows.select(*(F.col(c).alias(f"{c}_{side}") if c not in ("part", "key", "group") else F.col(c) for c in rows.columns)) for side in "xy")
+    differ = {c: F.bit_count(F.col(f"{c}_x").bitwiseXOR(F.col(f"{c}_y"))) for c in ["fp", *WIDE]}
+    more = x.join(y, ["part", "key", "group"]).where(
+        (F.col("node_x") < F.col("node_y")) & (F.col("label_x") != F.col("label_y")) & (F.col("home_x") | F.col("home_y"))
+        & (differ["fp"] <= radius) & (sum((differ[c] for c in WIDE), F.lit(0)) <= apart)
+    )
+    more = more.select(F.col("node_x").alias("a"), F.col("node_y").alias("b")).distinct().join(checked.select("a", "b"), ["a", "b"], "left_anti")
+    return components(right.unionByName(similar_links(settle(more, "more-candidates"), sets, similarity).where("right").select("a", "b")))
+
+
 def all_links(nodes: DataFrame, plan: list[tuple[list[int], int]], radius: int, apart: int = 0) -> DataFrame:
     """Links (a, b) that connect what is connected among the nodes."""
     rows = settle(postings(nodes, plan), "postings")
@@ -365,17 +453,30 @@ def all_links(nodes: DataFrame, plan: list[tuple[list[int], int]], radius: int,
 def near_duplicates(
     docs: DataFrame, k: int = SHINGLE, radius: int = RADIUS, id_column: str = "doc_id", text_column: str = "text", similarity: float | None = None,
 ) -> DataFrame:
-    """doc_id, mark (hash of the text), fp, component_id (smallest id reachable over links) and component (smallest fingerprint), per row."""
-    wide = [] if similarity is None else WIDE
-    prints = settle(fingerprints(docs, k, SEED, id_column, text_column, mark=True, wide=bool(wide)), "fingerprints")
-    # Texts of one fingerprint are one node and have nearly the same wide one.
-    nodes = prints.groupBy("fp").agg(F.min("doc_id").alias("least"), *([F.min(F.struct(*wide)).alias("wide")] if wide else []))
-    nodes = settle(nodes.select("fp", "least", *(f"wide.{c}" for c in wide)), "nodes")
-    labels = linked_fingerprints(nodes, radius, similarity).toDF("fp", "component")
-    nodes = settle(nodes.join(labels, "fp", "left").withColumn("component", F.coalesce("component", "fp")), "labelled")
+    """doc_id, mark (hash of the text), fp, component_id (smallest id reachable over links) and component (smallest fingerprint, or node with a similarity), per row."""
+    if similarity is not None:
+        return _near_sets(docs, k, radius, id_column, text_column, similarity)
+    prints = settle(fingerprints(docs, k, SEED, id_column, text_column, mark=True), "fingerprints")
+    nodes = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    labels = linked_fingerprints(nodes, radius).toDF("fp", "component")
+    return prints.join(_named(nodes, labels, "fp"), "fp")  # one fingerprint may hold a third of the rows: two plain scans, which adaptive execution splits
+
+
+def _named(nodes: DataFrame, labels: DataFrame, own: str) -> DataFrame:
+    """``own``, component and component_id of all nodes (``own``, least)."""
+    nodes = settle(nodes.join(labels, own, "left").withColumn("component", F.coalesce("component", own)), "labelled")
     named = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    nodes = settle(nodes.join(settle(named, "named"), "component").select("fp", "component", "component_id"), "classes")
-    return prints.drop(*wide).join(nodes, "fp")  # one fingerprint may hold a third of the rows: two plain scans, which adaptive execution splits
+    return settle(nodes.join(settle(named, "named"), "component").select(own, "component", "component_id"), "classes")
+
+
+def _near_sets(docs: DataFrame, k: int, radius: int, id_column: str, text_column: str, similarity: float) -> DataFrame:
+    prints = settle(fingerprints(docs, k, SEED, id_column, text_column, mark=True, wide=True), "fingerprints")
+    first = F.min(F.struct(id_key("doc_id").alias("key"), "mark")).alias("first")
+    nodes = prints.groupBy("node", "fp", *WIDE).agg(F.min("doc_id").alias("least"), first)
+    nodes = settle(nodes.select("node", "fp", *WIDE, "least", "first.key", "first.mark"), "nodes")
+    texts = docs.select(id_key(F.col(id_column).cast("bigint")).alias("key"), F.xxhash64(whole_text(text_column)).alias("mark"), F.col(text_column).alias("text"))
+    labels = linked_sets(nodes.drop("least"), texts, k, radius, similarity).toDF("node", "component")
+    return prints.drop(*WIDE).join(_named(nodes.select("node", "least"), labels, "node"), "node").select("fp", "doc_id", "mark", "component", "component_id")
 
 
 def keep_one(

@@ -125,6 +125,54 @@ def test_similar_texts_stay_once(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [*range(12), *range(18, 24), 90]
 
 
+def jaccard(a, b, k):
+    a, b = (set(simhash.shingle_hashes(t.encode(), k)) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def test_repeated_passages_are_not_near_copies(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(9000)]
+    passage = [rng.choice(words) for _ in range(60)]
+    texts = [" ".join(passage * 50 + [rng.choice(words) for _ in range(300)]) for _ in range(4)]
+    assert jaccard(texts[0], texts[1], 5) < 0.2
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert simhash.keep_one(df, k=5, radius=7, similarity=0.8).count() == 4
+
+
+def test_texts_of_one_fingerprint_are_verified(spark, monkeypatch):
+    fold = simhash.fold_bits
+    monkeypatch.setattr(simhash, "fold_bits", lambda hashes, word=0: fold(hashes, word) if word else np.zeros(len(hashes), dtype=np.int64))
+    docs = spark.createDataFrame([(i, " ".join(f"{i}x{j}" for j in range(200))) for i in range(3)] + [(3, " ".join(f"1x{j}" for j in range(199)))], "doc_id long, text string")
+    prints = simhash.fingerprints(docs, 5, mark=True, wide=True).toArrow()
+    monkeypatch.undo()
+    nodes = spark.createDataFrame(prints).withColumns({"fp": F.lit(0).cast("long"), "key": F.col("doc_id")})
+    texts = docs.select(F.col("doc_id").alias("key"), F.xxhash64("text").alias("mark"), "text")
+    node = {r["doc_id"]: r["node"] for r in nodes.collect()}
+    got = {r["node"]: r["label"] for r in simhash.linked_sets(nodes, texts, 5, 7, 0.8).collect()}
+    assert set(got) == {node[1], node[3]} and len(set(got.values())) == 1
+
+
+@pytest.mark.parametrize("bucket", [4096, 8])
+def test_failed_links_hide_no_right_ones(spark, monkeypatch, bucket):
+    monkeypatch.setattr(simhash, "BUCKET", bucket)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    texts = []
+    for _ in range(40):  # many similarities around 0.8
+        t = list(base)
+        for _ in range(rng.randrange(0, 14)):
+            t[rng.randrange(300)] = f"v{rng.randrange(10**6)}"
+        texts.append(" ".join(t))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    fps = simhash.fold_bits([simhash.shingle_hashes(t.encode(), 5) for t in texts])
+    near = [(i, j) for i in range(40) for j in range(i) if (int(fps[i] ^ fps[j]) & (2**64 - 1)).bit_count() <= 7]
+    right = [(i, j) for i, j in near if jaccard(texts[i], texts[j], 5) >= 0.8]
+    assert 0 < len(right) < len(near)
+    want = roots(40, right)
+    assert {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(df, k=5, radius=7, similarity=0.8).collect()} == dict(enumerate(want))
+
+
 @pytest.mark.parametrize("plan", [[(list(range(20)), 2), (list(range(20, 42)), 0), (list(range(42, 64)), 0)]])
 def test_every_allocation_finds_the_same(spark, monkeypatch, plan):
     prints = sorted({simhash._signed(x) for x in clustered(7, 60)})
