@@ -317,13 +317,15 @@ def exact_dedupe(batch_keys: DataFrame, history_keys: DataFrame | None = None) -
     """Ids of the rows to insert, as if rows came one by one and a row is skipped when its URL or its content is known.
 
     A skipped row is not inserted and so cannot cause later skips. Rounds: keep every undecided row that is the
-    earliest of both its groups, drop undecided rows sharing a key with a kept row, until none is undecided.
+    earliest of both its groups, drop undecided rows sharing a key with a kept row, until none is undecided. A null key is
+    no key: its row is alone under it.
     """
     pending = batch_keys.select("id", "arrival", "url_key", "hash_key")
     if history_keys is not None:
         pending = pending.join(history_keys.select("url_key"), "url_key", "left_anti")
         pending = pending.join(history_keys.select("hash_key"), "hash_key", "left_anti")
-    pending = cut_lineage(pending.select("id", "arrival", "url_key", "hash_key"))
+    own = {key: F.when(F.col(key).isNull(), F.concat(F.lit("none "), "id")).otherwise(F.concat(F.lit("key "), key)) for key in ("url_key", "hash_key")}
+    pending = cut_lineage(pending.select("id", "arrival", *[value.alias(key) for key, value in own.items()]))
     kept = None
     while not pending.isEmpty():
         state = pending

@@ -83,6 +83,7 @@ def audit_log_scan(log: DataFrame, raw_item_id: str | Column | None = None) -> D
 
 # --- sinks ------------------------------------------------------------------------------------------------------------
 def append_log(rows: DataFrame, path: str, *partition_by: str) -> None:
+    """Add rows to a log; a reader sees all of one call's rows in a file or none."""
     rows.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 

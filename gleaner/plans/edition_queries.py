@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from datetime import date
 
 from pyspark.sql import functions as F
 
@@ -12,6 +14,8 @@ from gleaner.operators import editions as ed
 from gleaner.operators import rollup as ro
 from gleaner.operators import store as st
 from gleaner.operators import timeline as tl
+from gleaner.operators.item_store import ItemStore
+from gleaner.operators.ledger import Ledger, absolute, read_or_empty
 from gleaner.plans import curation_queries as cq
 from gleaner.plans import sql as s
 from gleaner.plans.dedupe_queries import SPLIT, linked
@@ -406,19 +410,78 @@ def sink_editions(spark, folder):
 
 
 # --- incremental forms ----------------------------------------------------------------------------------------------------------------
-@query("stream_ingest")
+INGEST_COLUMNS = ["id", "arrival", "source_url", "article_title", "raw_content", "published_at", "collected_at", "source_type", "source_weight"]
+INGEST_DAYS, INGEST_SLICES, INGEST_HOURS = 8, 4, 6
+# hours since the first collection are in the arrival, which every CTE has
+_SLICE = f"least((({{0}}.arrival // 1000000000) + 60) // {1440 * INGEST_DAYS}, {INGEST_SLICES - 1})"
+#: Rows are kept as by one pass over all slices; every slice is longer than the window, so near matches stay inside a slice (tests/test_ingest.py
+#: has windows that reach back).
+_INGESTED = f"""WITH RECURSIVE {s.ITEMS}, k AS MATERIALIZED (SELECT id, dense_rank() OVER (ORDER BY url_key) AS url_key, dense_rank() OVER (ORDER BY sha256({s.norm('raw_content')})) AS hash_key,
+      row_number() OVER (ORDER BY arrival) AS n FROM items),
+    step AS (SELECT cast(0 AS bigint) AS n, cast([] AS bigint[]) AS urls, cast([] AS bigint[]) AS hashes, cast(NULL AS varchar) AS kept
+      UNION ALL SELECT k.n, CASE WHEN seen THEN urls ELSE list_append(urls, url_key) END, CASE WHEN seen THEN hashes ELSE list_append(hashes, hash_key) END,
+        CASE WHEN NOT seen THEN id END
+      FROM (SELECT k.*, step.urls, step.hashes, list_contains(step.urls, k.url_key) OR list_contains(step.hashes, k.hash_key) AS seen FROM step JOIN k ON k.n = step.n + 1) k),
+    rows AS MATERIALIZED (SELECT items.*, {_SLICE.format('items')} AS batch_id FROM items WHERE id IN (SELECT kept FROM step WHERE kept IS NOT NULL)),
+    toks AS MATERIALIZED (SELECT id, arrival, id AS url_key, id AS hash_key, {s.tokens(s.norm_title('article_title'))} AS tset, {s.tokens('raw_content')} AS bset FROM rows),
+    {s.best_match(f"{_SLICE.format('a')} = {_SLICE.format('b')}")},
+    root AS (SELECT id, id AS root FROM rows WHERE id NOT IN (SELECT id FROM best) UNION ALL SELECT b.id, r.root FROM best b JOIN root r ON b.parent=r.id),
+    tagged AS (SELECT rows.*, root.root, best.score FROM rows JOIN root ON root.id=rows.id LEFT JOIN best ON best.id=rows.id),
+    win AS (SELECT root, id AS winner FROM (SELECT root, id, row_number() OVER (PARTITION BY root ORDER BY {s.PREFERENCE}) AS rn FROM tagged) WHERE rn=1)"""
+
+
+def ingest_slices(spark, folder):
+    """Items in slices of eight days of collection: (number, rows)."""
+    rows = items(spark, folder).select(*INGEST_COLUMNS)
+    number = F.least(F.floor(F.datediff("collected_at", F.lit("2024-01-01")) / INGEST_DAYS), F.lit(INGEST_SLICES - 1))
+    return [rows.filter(number == n) for n in range(INGEST_SLICES)]
+
+
+@query(
+    "stream_ingest",
+    f"""{_INGESTED} SELECT tagged.id, source_url, collected_at, CASE WHEN winner<>tagged.id THEN winner END AS duplicate_of, round(score, 6) AS duplicate_score, batch_id
+    FROM tagged JOIN win ON win.root=tagged.root""",
+)
 def stream_ingest(spark, folder):
-    """Documents arrive as files split by collection time; every file is one micro-batch."""
-    inbox, store = scratch(spark, "inbox"), scratch(spark, "store")
-    cols = ["id", "arrival", "source_url", "article_title", "raw_content", "published_at", "collected_at", "source_type", "source_weight"]
-    rows = items(spark, folder).select(*cols)
-    slices = 2
-    share = F.ceil(F.datediff(F.col("collected_at"), F.lit("2024-01-01")) / 16 + 1e-9).cast("int")
-    for n in range(1, slices + 1):
-        rows.filter(F.least(F.greatest(share, F.lit(1)), F.lit(slices)) == n).coalesce(1).write.mode("append").parquet(inbox)
-    feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(inbox)
-    stream.start_ingest(feed, store, scratch(spark, "progress")).awaitTermination()
-    return stream.stored_items(spark, store).select("id", "source_url", "collected_at", "duplicate_of", "duplicate_score", "batch_id")
+    """Documents arrive slice by slice; the stream is started again for each and goes on where it ended. Closed days are rewritten once."""
+    inbox, store, progress = scratch(spark, "inbox"), scratch(spark, "store"), scratch(spark, "progress")
+    for n, rows in enumerate(ingest_slices(spark, folder)):
+        rows.write.mode("append").parquet(inbox)
+        feed = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1_000_000).parquet(inbox)
+        stream.start_ingest(feed, store, progress, INGEST_HOURS).awaitTermination()
+        if n == 2:
+            ItemStore(spark, store).compact(date(2024, 1, 20), folders=1)
+    found = stream.stored_items(spark, store).select("id", "source_url", "collected_at", "duplicate_of", "duplicate_score", "batch_id")
+    return found.withColumn("duplicate_score", F.round("duplicate_score", 6))
+
+
+@query(
+    "run_ledger",
+    f"""WITH {s.ITEMS}, n AS (SELECT {_SLICE.format('items')} AS slice, count(*) AS n FROM items GROUP BY 1)
+    SELECT concat('load-', slice) AS id, CASE WHEN slice=3 THEN 'failed' ELSE 'completed' END AS status, CASE WHEN slice=1 THEN 2 ELSE 1 END AS attempts, CASE WHEN slice IN (1, 3) THEN 1 ELSE 0 END AS failures,
+      CASE WHEN slice=3 THEN 'ValueError: the source broke off' END AS error, CASE WHEN slice=3 THEN 0 ELSE coalesce(n, 0) END AS visible
+    FROM (SELECT unnest(range({INGEST_SLICES})) AS slice) LEFT JOIN n USING (slice)""",
+)
+def run_ledger(spark, folder):
+    """Loads that write and then record; the second fails after writing and is repeated, the last fails and is not."""
+    store = scratch(spark, "ledger")
+    ledger = Ledger(spark, f"{store}/runs")
+
+    def load(n, rows, breaks):
+        with contextlib.suppress(ValueError), ledger.run(f"load-{n}", {"slice": n}) as run:
+            rows.select("id", F.lit(n).alias("slice")).write.parquet(f"{store}/raw/{run.attempt}")
+            run.adds.append(f"raw/{run.attempt}")
+            if breaks:
+                raise ValueError("the source broke off")
+
+    for n, rows in enumerate(ingest_slices(spark, folder)):
+        load(n, rows, breaks=n in (1, 3))
+        if n == 1:
+            load(n, rows, breaks=False)
+    loaded = read_or_empty(spark, absolute(store, ledger.state().below("raw")), "id string, slice int")
+    seen = loaded.groupBy(F.concat(F.lit("load-"), F.col("slice").cast("string")).alias("id")).agg(F.count("*").alias("visible"))
+    runs = ledger.runs().join(seen, "id", "left")
+    return runs.select("id", "status", F.col("attempts").cast("int").alias("attempts"), F.col("failures").cast("int").alias("failures"), "error", F.coalesce("visible", F.lit(0)).cast("bigint").alias("visible"))
 
 
 def _drain(spark, frame, name, mode="append"):

@@ -15,63 +15,46 @@ from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators import dedupe as dd
+from gleaner.operators.item_store import ItemStore
 from gleaner.session import cut_lineage
 
-RAW_SCHEMA = (
-    "id string, arrival bigint, source_url string, article_title string, raw_content string, published_at timestamp_ntz, "
-    "collected_at timestamp_ntz, source_type string, source_weight int, url_key string, hash_key string, "
-    "duplicate_of string, duplicate_score double, batch_id bigint, collected_date date"
-)
-MARK_SCHEMA = "id string, duplicate_of string, batch_id bigint"
-
-
-def _read(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
-    """A store table, or an empty one before the first write; ``before`` hides a batch that is being written again."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    exists = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-    df = spark.read.schema(schema).parquet(path) if exists else spark.createDataFrame([], schema)
-    return df if before is None else df.filter(F.col("batch_id") < before)
-
-
-def stored_items(spark: SparkSession, store: str, before: int | None = None) -> DataFrame:
-    """Inserted rows with their current ``duplicate_of``: the newest mark wins over the one written at insert."""
-    raw = _read(spark, f"{store}/raw", RAW_SCHEMA, before)
-    marks = _read(spark, f"{store}/marks", MARK_SCHEMA, before)
-    newest = marks.groupBy("id").agg(F.max_by(F.struct("duplicate_of"), "batch_id").alias("m"))
-    return raw.join(newest, "id", "left").withColumn(
-        "duplicate_of", F.when(F.col("m").isNotNull(), F.col("m.duplicate_of")).otherwise(F.col("duplicate_of"))
-    ).drop("m")
+def stored_items(spark: SparkSession, store: str) -> DataFrame:
+    """Inserted rows with their current ``duplicate_of``, of finished runs only."""
+    return ItemStore(spark, store).items()
 
 
 def ingest_batch(batch: DataFrame, batch_id: int, store: str, hours: int = fv.DEDUPE_WINDOW_HOURS) -> None:
     """Exact dedupe against everything stored, near-duplicate marks against the last hours, append.
 
-    Writing a batch again overwrites its own partitions only, so a retried batch leaves the same store.
+    One run of the store's ledger: rows, marks and keys appear together when it is done. A batch that is done already is left alone, one
+    that failed is done anew. Items without a URL or without content have no such key and are always new under it.
     """
     spark = batch.sparkSession
+    shop = ItemStore(spark, store)
+    state = shop.ledger.state()
+    run_id = f"batch-{batch_id}"
+    if run_id in state.done:
+        return
     batch = cut_lineage(batch)
     if batch.isEmpty():
         return
-    history = stored_items(spark, store, before=batch_id)
-    stored_keys = _read(spark, f"{store}/raw", RAW_SCHEMA, batch_id).select("url_key", "hash_key")
-    keys = cut_lineage(dd.ingest_keys(batch))
-    fresh = dd.exact_dedupe(keys, stored_keys)
-    rows = cut_lineage(batch.join(keys.select("id", "url_key", "hash_key"), "id").join(fresh, "id", "left_semi"))
-    # A batch without any date has no window: its rows are stored, compared with each other only.
-    now = rows.agg(F.max("collected_at")).first()[0] or datetime.max
-    since = F.lit(now - timedelta(hours=hours)).cast("timestamp_ntz")
-    # only the window's day partitions are read
-    window = history.filter(F.col("collected_date") >= since.cast("date"))
-    found = cut_lineage(dd.windowed_near_duplicates(rows, window, since))
-    new = rows.join(found.filter("is_new").select("id", "duplicate_of", "duplicate_score"), "id", "left").withColumns(
-        {"batch_id": F.lit(batch_id).cast("bigint"), "collected_date": F.to_date("collected_at")}
-    )
-    target = new.select(*[c.split(" ")[0] for c in RAW_SCHEMA.split(", ")])
-    writer = target.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("collected_date", "batch_id").parquet(f"{store}/raw")
-    demoted = found.filter("not is_new").select("id", "duplicate_of", F.lit(batch_id).cast("bigint").alias("batch_id"))
-    demoted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{store}/marks")
+    with shop.ledger.run(run_id, {"hours": hours}) as run:
+        keys = cut_lineage(dd.ingest_keys(batch))
+        known = shop.keys.seen(keys, [*state.hidden, run.attempt])
+        fresh = dd.exact_dedupe(keys.join(known, "id", "left_anti"))
+        rows = cut_lineage(batch.join(keys.select("id", "url_key", "hash_key"), "id").join(fresh, "id", "left_semi"))
+        # A batch without any date has no window: its rows are stored, compared with each other only.
+        now = rows.agg(F.max("collected_at")).first()[0] or datetime.max
+        since = now - timedelta(hours=hours)
+        window = shop.items(state, since.date())
+        found = cut_lineage(dd.windowed_near_duplicates(rows, window, F.lit(since).cast("timestamp_ntz")))
+        new = rows.join(found.filter("is_new").select("id", "duplicate_of", "duplicate_score"), "id", "left").withColumns(
+            {"batch_id": F.lit(batch_id).cast("bigint"), "collected_date": F.to_date("collected_at")}
+        )
+        shop.write_raw(new, run)
+        shop.write_marks(found.filter("not is_new").select("id", "duplicate_of", F.lit(batch_id).cast("bigint").alias("batch_id")), run)
+        shop.keys.append(rows.select("id", "url_key", "hash_key"), run.attempt)
+        run.result.update(fetched=batch.count(), inserted=rows.count())
 
 
 def start_ingest(items: DataFrame, store: str, checkpoint: str, hours: int = fv.DEDUPE_WINDOW_HOURS):
