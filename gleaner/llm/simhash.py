@@ -42,6 +42,8 @@ SMALL_RUN = 48
 #: Cost of comparing a candidate, in costs of moving one probe.
 COMPARE = 0.03
 HASHES = 1 << 17
+#: Values that a fingerprint may probe in one part.
+MOST_PROBES = 4096
 #: 64-bit words of the wide fingerprint.
 WIDE = ["w1", "w2", "w3", "w4"]
 #: Standard deviations of the wide fingerprint beyond what is expected at the similarity.
@@ -200,7 +202,11 @@ def correlated_parts(n: int, together: np.ndarray, m: int) -> list[list[int]]:
 
 
 def allocate(n: int, together: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
-    """Parts with their thresholds (parts with threshold -1 are left out), at the least expected cost over 1 to radius + 1 parts."""
+    """Parts with their thresholds (parts with threshold -1 are left out), at the least expected cost over 1 to radius + 1 parts.
+
+    Of equal costs (an empty table has no others) more parts win, which probe less. A part that would probe more than ``MOST_PROBES``
+    values a row is never chosen; radius + 1 parts with threshold 0 always remain.
+    """
     p = np.diag(together) / max(1, n)
     differ = 2 * p * (1 - p)
     best, chosen = np.inf, []
@@ -215,7 +221,8 @@ def allocate(n: int, together: np.ndarray, radius: int = RADIUS) -> list[tuple[l
                 at_most[0] *= 1 - differ[b]
             at_most = np.cumsum(at_most)
             balls = np.cumsum([1.0] + [_choose(len(part), d) / 2 for d in range(1, radius + 1)])
-            costs.append([0.0] + [n * balls[u - 1] + COMPARE * n * n / 2 * at_most[min(u - 1, len(part))] for u in range(1, radius + 2)])
+            balls[balls > MOST_PROBES] = np.inf
+            costs.append([0.0] + [(n * balls[u - 1] if balls[u - 1] < np.inf else np.inf) + COMPARE * n * n / 2 * at_most[min(u - 1, len(part))] for u in range(1, radius + 2)])
         total, picks = np.full((m + 1, radius + 2), np.inf), {}
         total[0, 0] = 0.0
         for g in range(m):
@@ -223,7 +230,7 @@ def allocate(n: int, together: np.ndarray, radius: int = RADIUS) -> list[tuple[l
                 for u in range(radius + 2 - used):
                     if (c := total[g, used] + costs[g][u]) < total[g + 1, used + u]:
                         total[g + 1, used + u], picks[g + 1, used + u] = c, u
-        if total[m, radius + 1] < best:
+        if total[m, radius + 1] < np.inf and total[m, radius + 1] <= best:
             best, used, chosen = total[m, radius + 1], radius + 1, []
             for g in range(m, 0, -1):
                 u = picks[g, used]
@@ -260,13 +267,9 @@ def postings(nodes: DataFrame, plan: list[tuple[list[int], int]]) -> DataFrame:
     return whole
 
 
-def most_apart(similarity: float) -> int:
-    """Bits by which wide fingerprints differ at a Jaccard similarity: the share of angle / pi, with cosine 2 s / (1 + s)."""
-    return round(64 * len(WIDE) * math.acos(2 * similarity / (1 + similarity)) / math.pi)
-
-
 def surely_apart(similarity: float) -> int:
-    """Bits by which wide fingerprints of this similarity hardly ever differ."""
+    """Bits by which wide fingerprints of this similarity hardly ever differ: those expected are the share of angle / pi, with cosine
+    2 s / (1 + s)."""
     n, p = 64 * len(WIDE), math.acos(2 * similarity / (1 + similarity)) / math.pi
     return math.ceil(n * p + SLACK * math.sqrt(n * p * (1 - p)))
 
@@ -395,15 +398,10 @@ def hot_links(hot: DataFrame, sizes: DataFrame, radius: int, apart: int = 0) ->
     return links.unionByName(links_between(dealt.unionByName(few), [*bucket, "block", "chunk"], radius, apart))
 
 
-def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS, similarity: float | None = None) -> DataFrame:
-    """(node, label) for every distinct fingerprint that has a link; with a ``similarity``, nodes carry the wide words."""
+def linked_fingerprints(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(node, label) for every distinct fingerprint that has a link."""
     n, together = bit_statistics(nodes)
-    plan = allocate(n, together, radius)
-    links = all_links(nodes.select("fp"), plan, radius)
-    if similarity is not None:
-        linked = settle(links.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), "linked")
-        links = all_links(settle(nodes.select("fp", *WIDE).join(linked, "fp", "left_semi"), "wide-nodes"), plan, radius, most_apart(similarity))
-    return components(links)
+    return components(all_links(nodes.select("fp"), allocate(n, together, radius), radius))
 
 
 def linked_sets(nodes: DataFrame, texts: DataFrame, k: int, radius: int, similarity: float) -> DataFrame:

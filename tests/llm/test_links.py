@@ -93,23 +93,34 @@ def test_links_against_all_pairs(spark, monkeypatch, seed, bucket, run):
     assert [got.get(x, x) for x in prints] == [prints[i] for i in want]
 
 
-@pytest.mark.parametrize(("bucket", "run"), [(4096, 3), (12, 4)])
-def test_verified_links_against_all_pairs(spark, monkeypatch, bucket, run):
-    monkeypatch.setattr(simhash, "BUCKET", bucket)
-    monkeypatch.setattr(simhash, "SMALL_RUN", run)
+def test_plans_without_nodes_or_with_costs_alike_probe_little():
+    for radius in (4, 7):
+        plan = simhash.allocate(0, np.zeros((64, 64)), radius)
+        assert len(plan) == radius + 1 and {t for _, t in plan} == {0} and sorted(b for p, _ in plan for b in p) == list(range(64))
+    few = simhash.allocate(1, np.zeros((64, 64)), 7)
+    assert sum(t + 1 for _, t in few) == 8 and all(sum(simhash._choose(len(p), d) for d in range(1, t + 1)) <= 2 * simhash.MOST_PROBES for p, t in few)
+
+
+def test_verified_links_against_all_pairs(spark):
+    """Texts around the similarity: what is linked, over fingerprints within the radius, equals all pairs."""
     rng = random.Random(5)
-    prints = sorted({simhash._signed(x) for x in clustered(3, 300)})
-    base = [[rng.getrandbits(64) for _ in simhash.WIDE] for _ in range(3)]
-    wide = [[simhash._signed(w ^ (rng.getrandbits(64) & rng.getrandbits(64) & rng.getrandbits(64))) for w in rng.choice(base)] for _ in prints]
-    apart = [[sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(a, b, strict=True)) for b in wide] for a in wide]
-    most = simhash.most_apart(0.7)
-    near = [(i, j) for i in range(len(prints)) for j in range(i) if ((prints[i] ^ prints[j]) & (2**64 - 1)).bit_count() <= 4]
-    links = [(i, j) for i, j in near if apart[i][j] <= most]
-    assert 0 < len(links) < len(near)
-    want = roots(len(prints), links)
-    nodes = spark.createDataFrame([(x, *w) for x, w in zip(prints, wide, strict=True)], ", ".join(f"{c} long" for c in ["fp", *simhash.WIDE]))
-    got = {r["node"]: r["label"] for r in simhash.linked_fingerprints(nodes, similarity=0.7).collect()}
-    assert [got.get(x, x) for x in prints] == [prints[i] for i in want]
+    words = [f"w{i}" for i in range(5000)]
+    texts = []
+    for _ in range(8):
+        base = [rng.choice(words) for _ in range(rng.choice([60, 200, 400]))]
+        for _ in range(14):
+            changed = list(base)
+            for _ in range(rng.choice([0, 1, 2, 3, 5, 8])):
+                changed[rng.randrange(len(base))] = rng.choice(words)
+            texts.append(" ".join(changed))
+    prints = [int(x) & (2**64 - 1) for x in simhash.fold_bits([simhash.shingle_hashes(t.encode(), 5) for t in texts])]
+    close = [(i, j) for i in range(len(texts)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= 7]
+    links = [(i, j) for i, j in close if jaccard(texts[i], texts[j], 5) >= 0.8]
+    assert 0 < len(links) < len(close)
+    want = roots(len(texts), links)
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_duplicates(rows, k=5, radius=7, similarity=0.8).collect()}
+    assert [got[i] for i in range(len(texts))] == want
 
 
 def test_similar_texts_stay_once(spark):
