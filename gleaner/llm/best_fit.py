@@ -12,8 +12,7 @@ Equal sequences are planned together, as a run of numbers with a count, so a pla
 each change of a run. A piece's rank among those of its length (its place in its block of rows, after the blocks before) then names its
 sequence and offset. No task or driver holds the pieces of a length.
 
-Words repeat, so the ids of white-space separated chunks are remembered (``KNOWN`` at a time, a cache and no limit); chunks never
-share a token, because this kind of tokenizer drops white space before it splits.
+Words repeat, so their ids are remembered (``KNOWN`` at a time, a cache and no limit); words never share a token.
 
 Defined cases: a null text counts as empty and is one piece of one id; a null id stays null; repeated rows are packed once each; a
 document that fills pieces exactly has no short piece; an empty table gives an empty result; columns other than id and text are not read.
@@ -22,7 +21,9 @@ document that fills pieces exactly has no short piece; an empty table gives an e
 from __future__ import annotations
 
 import bisect
+import json
 import re
+import struct
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -39,51 +40,70 @@ from gleaner.llm.common import documents, settle
 CAPACITY = 4096
 END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks whose ids a worker remembers, how long they may be, and how many are encoded or how much text is split at once.
-KNOWN, KNOWN_CHARS, ENCODED_AT_ONCE, TEXT_AT_ONCE = 400_000, 40, 20_000, 1_000_000
-#: Stands between chunks that are encoded together; on its own it is one token.
-MARK = "\x01"
+#: Words whose ids a worker remembers, how long they may be, and how many characters are split at once.
+KNOWN, KNOWN_CHARS, TEXT_AT_ONCE = 1_000_000, 40, 1_000_000
 BLANKS = re.compile("[ \t\n\r]+")
+# --- fixed values of this kind of tokenizer
+SPLITTING = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    None,
+]
+#: Characters on which the splitting above is plain: blanks, ASCII without what begins a special token, and letters of Latin-1.
+PLAIN = re.compile("[ \t\n\r!-;=-~À-ÖØ-öø-ÿ]*")
+WORDS = re.compile("[a-zß-öø-ÿ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^ \t\n\ra-z0-9ß-öø-ÿ]+")
+#: Byte-level tokenizers write a byte as its character if it is visible, or as the next character from 256 on.
+VISIBLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
 PLAN = ["length", "first", "copies", "bins", "base", "offset"]
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit bytes, the same as the tokenizer gives for the whole text."""
+    """Ids of texts as little-endian 32-bit bytes, the same as the tokenizer gives for the whole text.
+
+    A tokenizer of the kind of ``word_bpe_49k.json`` splits at white space and between kinds of characters before it looks anything up.
+    Where a text has only ``PLAIN`` characters, on which that is certain, it is split here and each distinct word is looked up once.
+    Chunks between blanks that have others go to the tokenizer as they are. With another kind of tokenizer whole texts do.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.ids(MARK)
+        kind = json.loads(self.tokenizer.to_str())
+        self.splits = [kind["normalizer"], kind["pre_tokenizer"], kind["post_processor"]] == SPLITTING
         self.known: dict[str, bytes] = {}
-        if len(self.mark) != 4:
-            raise ValueError("the tokenizer has no token of its own for the mark between chunks")
 
     def ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
-    def _together(self, chunks: list[str]) -> list[bytes]:
-        ids = self.ids(f" {MARK} ".join(chunks))
-        at = 4 * np.flatnonzero(np.frombuffer(ids, dtype="<u4") == np.frombuffer(self.mark, dtype="<u4")[0])
-        return [ids[i:j] for i, j in zip([0, *(at + 4).tolist()], [*at.tolist(), len(ids)], strict=True)]
+    def word_ids(self, word: str) -> bytes:
+        found = self.tokenizer.model.tokenize(word.encode().decode("latin-1").translate(BYTE_LETTERS))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
 
-    def chunk_ids(self, chunks: set[str]) -> dict[str, bytes]:
-        """Ids of every chunk; short ones are remembered."""
-        if len(self.known) > KNOWN:
-            self.known = {}
-        new = [c for c in chunks if c not in self.known]
-        # A chunk with the mark, or with what may be a special token, is encoded alone.
-        alone = [c for c in new if MARK in c or "<|" in c]
-        found = {c: self.ids(c) for c in alone}
-        rest = [c for c in new if c not in found]
-        for at in range(0, len(rest), ENCODED_AT_ONCE):
-            part = rest[at : at + ENCODED_AT_ONCE]
-            found.update(zip(part, self._together(part), strict=True))
-        self.known.update((c, i) for c, i in found.items() if len(c) <= KNOWN_CHARS)
-        return {c: found[c] if c in found else self.known[c] for c in chunks}
+    def units(self, text: str) -> list[str]:
+        if not self.splits:
+            return [text]
+        if PLAIN.fullmatch(text):
+            return WORDS.findall(text.lower())
+        return [u for c in BLANKS.split(text) for u in (WORDS.findall(c.lower()) if PLAIN.fullmatch(c) else [c])]
 
     def texts_ids(self, texts: list[str]) -> list[bytes]:
-        split = [BLANKS.split(t) for t in texts]
-        ids = self.chunk_ids({c for s in split for c in s})
-        return [b"".join(map(ids.__getitem__, s)) for s in split]
+        if len(self.known) > KNOWN:
+            self.known = {}
+        split = [self.units(t) for t in texts]
+        for unit in set().union(*split).difference(self.known):
+            self.known[unit] = self.word_ids(unit) if self.splits and PLAIN.fullmatch(unit) else self.ids(unit)
+        coded = [b"".join(map(self.known.__getitem__, s)) for s in split]
+        for s in split:
+            for unit in s:
+                if len(unit) > KNOWN_CHARS:
+                    self.known.pop(unit, None)
+        return coded
 
 
 _ENCODERS: dict[str, Encoder] = {}
