@@ -5,9 +5,10 @@ rarest in the vocabulary on; its prefix is the first three (one edit spoils two
 bigrams that do not overlap and are rarest together, the pivots. One edit spoils one pivot at most, so of two near words, the one whose
 prefix ends earlier in the order has a pivot that the other holds in its prefix, at a position that the edit can have moved by one.
 
-Position limits say more at one edit: it lies wholly before or wholly behind the surviving bigram, so the words agree from their start to
-the bigram's end, or from the bigram to their end. Pivots and prefixes are therefore matched by bigram, side, position counted
-from that side and everything on that side, and by lengths that differ by one at most. Every match is verified by its edit distance.
+Position limits say more at one edit: it lies behind the first pivot, and the words agree from their start to that pivot's end, or before
+the second one, and they agree from there to their end (or both). Pivots and prefixes are therefore matched by bigram, side, position
+counted from that side and everything on that side, and by lengths that differ by one at most. Every match is verified by its edit
+distance.
 
 Bigrams come from 90 letters (26 and 64), so their table has 8,100 rows at most and goes to every task. Words are counted
 inside the tasks first; from then on only the distinct words move.
@@ -83,14 +84,14 @@ def gram_counts(words: DataFrame) -> dict[str, int]:
     return {r["gram"]: r["n"] for r in found}
 
 
-def prefix_grams(word: str, rank: dict[str, int]) -> tuple[list[int], int]:
-    """Positions of the prefix, bigrams that repeat its last one included, and the rank at which it ends."""
+def prefix_grams(word: str, rank: dict[str, int]) -> tuple[list[int], list[int], int]:
+    """Positions of the prefix; the same with repeats of its last bigram; the rank at which it ends."""
     places = ((rank[word[i : i + 2]], i) for i in range(len(word) - 1))
     first = heapq.nsmallest(PREFIX, places)
     end = first[-1][0]
     last = word[first[-1][1] :][:2]
     tied = [i for i in range(len(word) - 1) if word.startswith(last, i)][:TIED]
-    return sorted({i for r, i in first if r < end} | set(tied)), end
+    return sorted(i for _, i in first), sorted({i for r, i in first if r < end} | set(tied)), end
 
 
 def pivots(word: str, places: list[int], counts: dict[str, int]) -> list[int]:
@@ -123,13 +124,13 @@ def postings(words: DataFrame) -> tuple[DataFrame, DataFrame]:
         for batch in batches:
             out = []
             for word in batch.column(0).to_pylist():
-                places, ends = prefix_grams(word, rank)
-                chosen = set(pivots(word, places, counts))
+                prefix, places, ends = prefix_grams(word, rank)
+                first, second = pivots(word, prefix, counts)
                 for i in places:
                     for behind in (False, True):
                         row = (word[i : i + 2], behind, *_side_key(word, i, behind))
                         out.append((*row, len(word), word, ends, False))
-                        if i in chosen:
+                        if i == (second if behind else first):
                             out += [(*row, n, word, ends, True) for n in range(len(word) - 1, len(word) + 2)]
             columns = zip(*out, strict=True) if out else [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)

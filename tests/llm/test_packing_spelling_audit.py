@@ -173,6 +173,7 @@ def test_variants_of_dense_words(spark):
     """Few letters, so that words have many near ones, repeated bigrams and ties; chains of forms; a very long word."""
     r = random.Random(3)
     words = ["".join(r.choice("abé") for _ in range(r.randint(5, 9))) for _ in range(250)]
+    words += ["".join(r.choice("ab") for _ in range(r.randint(9, 14))) for _ in range(250)]
     words += ["a" * n for n in range(5, 14)] + ["ab" * n for n in range(3, 8)] + ["x" * 3000, "x" * 3001, "x" * 2999 + "y"]
     chain = [("abcdefgh", 5), ("abcdefghi", 25), ("abcdefghij", 125), ("abcdefghijk", 625), ("abcdefghijkl", 3125)]
     rows = [(i, " ".join(w for w in words for _ in range(r.choice([1, 3, 5, 9, 30])))) for i in range(4)]
@@ -189,7 +190,8 @@ def test_pivots_are_the_rarest_disjoint_pair():
         word = "".join(r.choice("abcd") for _ in range(r.randint(6, 12)))
         counts = {a + b: r.randint(1, 9) for a in "abcd" for b in "abcd"}
         rank = {g: i for i, (g, _) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0])))}
-        places, _ = spelling.prefix_grams(word, rank)
+        places, indexed, _ = spelling.prefix_grams(word, rank)
+        assert len(places) == 3 and set(places) <= set(indexed)
         i, j = spelling.pivots(word, places, counts)
         cost = lambda a, b: counts[word[a : a + 2]] + counts[word[b : b + 2]]
         assert j - i >= 2 and cost(i, j) == min(cost(a, b) for a, b in itertools.combinations(places, 2) if b - a >= 2)
