@@ -44,6 +44,7 @@ def failure_masks(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id",
     )
     least, most = F.min("doc_id"), F.max("doc_id")
     shared = marks.groupBy("digest").agg(least.alias("first"), most.alias("last")).where("first < last").select("digest", "first")
+    shared = settle(shared, "filter-shared")  # one digest may hold a third of the rows: two plain scans, which adaptive execution splits
     known = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("bigint").alias("doc_id")).agg(
         F.max(F.coalesce(F.col("quality") == 1, F.lit(False))).alias("good"), F.max(F.coalesce(F.col("toxic") == 1, F.lit(False))).alias("toxic")
     )
