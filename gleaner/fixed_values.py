@@ -167,6 +167,8 @@ PREFILTER_OFF_TOPIC = ("off-topic-risk", -15)  # applied when the "game" rule do
 
 # --- reasons -----------------------------------------------------------------------------------------------------
 REASON_LOW_INFORMATION = "low-information item"
+LOW_INFORMATION_CHARS = 160
+LOW_INFORMATION_SENTENCES = 3
 REASON_TUTORIAL = "generic tutorial"
 REASON_GOSSIP = "pure entertainment gossip"
 REASON_REPOST = "low-information repost"

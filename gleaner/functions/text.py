@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,15 +41,63 @@ def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 def java_pattern(pattern: str) -> str:
     """Rewrite ``\\b`` to an ASCII word boundary and ``\\s`` to the white-space class.
 
-    A boundary before a word (at the start of a branch) or after one needs one look-around only.
+    A boundary before a word (at the start of a branch) or after one needs one look-around only. A single word looks behind
+    after it is found, so that the search goes by its letters.
     """
+    word = re.fullmatch(r"\\b([A-Za-z0-9_]+)\\b", pattern)
+    if word:
+        return f"{word[1]}(?<!{_WORD}{word[1]})(?!{_WORD})"
     pattern = re.sub(r"(^|[|(]|\?:)\\b(?=[A-Za-z0-9(])", rf"\1(?<!{_WORD})", pattern)
     pattern = re.sub(r"(?<=[A-Za-z0-9)?])\\b(?=$|[|)])", f"(?!{_WORD})", pattern)
     return pattern.replace(r"\b", _ASCII_BOUNDARY).replace(r"\s", WS)
 
 
+def _needed(branch: str) -> tuple[str, bool] | None:
+    """The longest literal without which a branch cannot match, and whether it is the whole branch; None: not a plain branch."""
+    runs, whole, i = [""], True, 0
+    while i < len(branch):
+        c, after = branch[i], branch[i + 1 : i + 2]
+        if c in "[](){}^$.*+?":
+            return None
+        if c == "\\":
+            if after not in ("b", "s"):
+                return None
+            whole, i = False, i + 2
+            runs.append("")
+            if branch[i : i + 1] in ("+", "*", "?"):
+                i += 1
+            continue
+        if after and after in "?*+{":
+            if after == "{":
+                return None
+            runs[-1] += c if after == "+" else ""
+            runs.append("")
+            whole, i = False, i + 2
+            continue
+        runs[-1] += c
+        i += 1
+    longest = max(runs, key=len)
+    return (longest, whole) if longest else None
+
+
+def literals(pattern: str) -> tuple[list[str], bool] | None:
+    """For an alternation of words: one literal that each branch needs, and whether finding any of them is a match."""
+    wrapped = re.fullmatch(r"(\\b)?\((?:\?:)?([^()]*)\)(\\b)?", pattern)
+    found = [_needed(b) for b in (wrapped[2] if wrapped else pattern).split("|")]
+    if None in found:
+        return None
+    bounded = bool(wrapped and (wrapped[1] or wrapped[3]))
+    return [f[0] for f in found], not bounded and all(f[1] for f in found)
+
+
 def matches(text: Column, pattern: str) -> Column:
-    return text.rlike(java_pattern(pattern))
+    """Whether the pattern is found. Texts without any literal that it needs are told apart by byte comparison, without a
+    regular expression; most patterns of a dictionary are in few texts."""
+    plain = literals(pattern)
+    if plain is None:
+        return text.rlike(java_pattern(pattern))
+    held = reduce(lambda a, b: a | b, [text.contains(word) for word in plain[0]])
+    return held if plain[1] else held & text.rlike(java_pattern(pattern))
 
 
 def null_if_blank(c: Column) -> Column:
@@ -225,9 +274,16 @@ def split_sentences(c: Column) -> Column:
 
 
 def is_low_information(c: Column) -> Column:
-    compact = collapse(c)
-    parts = F.filter(F.split(compact, r"[。！？.!?]\s*|\n+"), lambda p: strip(p) != "")
-    return (F.length(compact) < 160) | (F.size(parts) < 3)
+    """Fewer than 160 characters once white space is collapsed, or fewer than three sentences that are not blank.
+
+    Two anchored patterns that end as soon as they have counted enough, so a long text is neither rewritten nor split.
+    """
+    marks = "。！？.!?"
+    blanks, inner = WS[1:-1], f"{WS}++(?=[^{WS[1:-1]}])"
+    long_enough = f"^{WS}*+(?:[^{blanks}]|{inner}){{{fv.LOW_INFORMATION_CHARS}}}"
+    part = f"[^{marks}{blanks}]"
+    sentences = f"^[{marks}{blanks}]*+(?:{part}[^{marks}]*+[{marks}][{marks}{blanks}]*+){{{fv.LOW_INFORMATION_SENTENCES - 1}}}{part}"
+    return ~(c.rlike(long_enough) & c.rlike(sentences))
 
 
 def slugify(c: Column) -> Column:

@@ -230,19 +230,23 @@ def exclusion_reasons(
     weight = F.col("source_weight")
     low_ai = F.col("ai_relevance_score") < min_ai
     low_game = F.col("game_relevance_score") < min_game
-    rules = [
-        (F.col("duplicate_of").isNotNull(), fv.REASON_DUPLICATE),
-        (low_ai, fv.REASON_NON_AI),
-        (low_game, fv.REASON_NO_GAME),
-        (low_ai & low_game, fv.REASON_UNRELATED),
-        (tx.matches(text, signals.screen_tutorial) & (F.col("news_value_score") < 70), fv.REASON_TUTORIAL),
-        (tx.matches(text, signals.screen_gossip), fv.REASON_GOSSIP),
-        (tx.matches(text, signals.screen_repost) | (F.length(tx.strip(F.col("raw_content"))) < 50), fv.REASON_REPOST),
-        (source_weight_adjust(F.col("cross_relevance_score"), weight) < min_cross, fv.REASON_CROSS_BELOW),
-        (source_weight_adjust(F.col("news_value_score"), weight) < min_value, fv.REASON_VALUE_BELOW),
-    ]
+
+    def held(t: Column) -> Column:
+        rules = [
+            (F.col("duplicate_of").isNotNull(), fv.REASON_DUPLICATE),
+            (low_ai, fv.REASON_NON_AI),
+            (low_game, fv.REASON_NO_GAME),
+            (low_ai & low_game, fv.REASON_UNRELATED),
+            (tx.matches(t, signals.screen_tutorial) & (F.col("news_value_score") < 70), fv.REASON_TUTORIAL),
+            (tx.matches(t, signals.screen_gossip), fv.REASON_GOSSIP),
+            (tx.matches(t, signals.screen_repost) | (F.length(tx.strip(F.col("raw_content"))) < 50), fv.REASON_REPOST),
+            (source_weight_adjust(F.col("cross_relevance_score"), weight) < min_cross, fv.REASON_CROSS_BELOW),
+            (source_weight_adjust(F.col("news_value_score"), weight) < min_value, fv.REASON_VALUE_BELOW),
+        ]
+        return F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, r in rules]))
+
     provider = F.filter(F.transform("provider_reasons", normalize_reason), lambda r: r.isNotNull())
-    return F.array_distinct(F.concat(provider, F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, r in rules]))))
+    return F.array_distinct(F.concat(provider, tx.let(text, held)))
 
 
 def screen_items(raw: DataFrame, scorer: Scorer | None = None, processed_ids: DataFrame | None = None, **thresholds) -> DataFrame:
