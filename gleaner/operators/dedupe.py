@@ -11,10 +11,11 @@ How near matches are found without comparing everything with everything:
   earlier item link to the earliest such item (score 1, nothing can beat it). So a group of copies costs one lookup
   per copy, however large it is, and only one representative per (title set, body set) takes part in the search.
 * A score of 0.66 needs a title similarity of at least 0.31/0.65, so candidate titles come from a prefix join on
-  distinct title sets.
-* Representatives of one title are spread by hash over blocks of about 64. A searcher meets a block, not a row, and
-  leaves with the block's best; (title, block) is the shuffle key, so a title that holds a third of all rows is spread
-  over as many tasks as it has blocks.
+  distinct title sets. Under another title it also needs a body similarity, so title tokens of many titles (templates) are
+  met only together with a body token.
+* A title of up to 1,000 representatives is met as a whole. In larger ones, the body similarity that the score needs at that title
+  similarity gives a second prefix join, on (title, body token) with ids and places only; sets are fetched for the pairs that
+  may count. A title that holds a third of all rows is spread over its tokens.
 * For marking duplicates only the *group* an item ends in matters. Inside one title every item reaches the score
   floor, so as long as no member of that title links elsewhere all its members share one group and the search
   inside the title is skipped.
@@ -28,28 +29,35 @@ from pyspark.sql import functions as F
 from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
-from gleaner.operators.setjoin import similar_sets
-from gleaner.session import cut_lineage, shuffle_width
+from gleaner.operators.setjoin import may_reach, ordered_tokens, prefix_length, similar_sets
+from gleaner.session import cut_lineage, written
 
 # smallest title similarity that can reach the threshold with a full body match (a hair below, against rounding)
 MIN_TITLE_SIMILARITY = (fv.NEAR_DUPLICATE_THRESHOLD - fv.BODY_SHARE) / fv.TITLE_SHARE - 1e-6
-BLOCK_ROWS = 64
+# representatives of a title up to which they are met as a whole; more are searched by body tokens
+BLOCK_ROWS = 1000
+# representatives in one row of such a title; a searcher meets them block by block, so that a title is spread over tasks
+SPREAD_ROWS = 64
 
 
 def dedupe_keys(items: DataFrame) -> DataFrame:
     """Keys of every item: URL, content hash, token sets."""
-    keys = items.select(
-        "id", "arrival",
-        ul.canonical_url(F.col("source_url")).alias("url_key"),
-        tx.content_hash(F.col("raw_content"), blank_is_null=True).alias("hash_key"),
-        F.array_sort(tx.token_set(tx.normalize_title(F.coalesce("article_title", F.lit(""))))).alias("title_set"),
-        F.array_sort(tx.token_set(F.col("raw_content"))).alias("body_set"),
+    rows = items.select("id", "arrival", ul.canonical_url(F.col("source_url")).alias("url_key"), "article_title", "raw_content")
+    # Each costly step once: texts normalised, then split, then joined to keys. White space and case make no tokens.
+    rows = tx.settle(rows, {"_title": tx.normalize_title(F.coalesce("article_title", F.lit(""))), "_text": tx.normalize_text(F.col("raw_content"))})
+    rows = tx.settle(
+        rows.drop("article_title", "raw_content"),
+        {
+            "hash_key": F.when(F.col("_text") != "", F.sha2("_text", 256)),
+            "title_set": F.sort_array(tx.token_set(F.col("_title"))), "body_set": F.sort_array(tx.token_set(F.col("_text"))),
+        },
     )
-    return keys.withColumns(
+    return tx.settle(
+        rows.drop("_title", "_text"),
         {
             "title_key": F.when(F.size("title_set") > 0, F.array_join("title_set", " ")),
             "body_key": F.sha2(F.array_join("body_set", " "), 256),
-        }
+        },
     )
 
 
@@ -81,44 +89,106 @@ def exact_parents(keys: DataFrame) -> DataFrame:
     ).drop("url_key_first", "hash_key_first")
 
 
-def _search(searchers: DataFrame, partners: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Best candidate per searcher: ``id, best`` with ``best = (-score, arrival, id)``.
+def needed_body(similarity: Column, floor: Column) -> Column:
+    """The body similarity from which a candidate of this title similarity counts (a hair below, against rounding)."""
+    same = (fv.SAME_TITLE_SCORE - fv.TITLE_SHARE) / fv.BODY_SHARE
+    return F.when(similarity == 1.0, F.lit(same)).otherwise((floor - similarity * fv.TITLE_SHARE) / fv.BODY_SHARE) - 1e-6
+
+
+def _rate(similarity: Column, common: Column, sizes: Column, arrival: Column, item: Column) -> Column:
+    body = common / F.greatest(sizes - common, F.lit(1))
+    mixed = similarity * fv.TITLE_SHARE + body * fv.BODY_SHARE
+    score = F.when(similarity == 1.0, F.greatest(mixed, F.lit(fv.SAME_TITLE_SCORE))).otherwise(mixed)
+    return F.struct((-score).alias("neg"), arrival.alias("arrival"), item.alias("id"))
 
-    ``searchers``: id, arrival, body_set, title_key, floor. ``partners``: title_key, partner, similarity, n_blocks.
-    """
-    met = (
-        searchers.join(partners, "title_key")
-        .filter(F.col("similarity") * fv.TITLE_SHARE + fv.BODY_SHARE >= F.col("floor"))
-        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .repartition(shuffle_width(searchers), "partner", "block")
-        .join(blocks, ["partner", "block"])
-    )
 
+def _best(rated: DataFrame) -> DataFrame:
+    return rated.filter(F.col("best.neg") <= -fv.NEAR_DUPLICATE_THRESHOLD).groupBy("id").agg(F.min("best").alias("best"))
+
+
+def _blocks() -> Column:
+    return F.ceil(F.col("n_reps") / SPREAD_ROWS).cast("int")
+
+
+def _search_small(met: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Best candidates in titles of at most ``BLOCK_ROWS`` representatives.
+
+    ``met``: id, arrival, body_set, floor, partner, similarity, n_reps. ``blocks``: partner, block, members.
+    """
     similarity, floor = F.col("similarity"), F.col("floor")
-    same = similarity == 1.0
 
     def compare(m: Column) -> Column:
         """Common tokens, counted only where the two sizes leave the score a chance to matter."""
         small, large = F.least(F.size(m["body_set"]), F.size("body_set")), F.greatest(F.size(m["body_set"]), F.size("body_set"))
-        reach = similarity * fv.TITLE_SHARE + small / F.greatest(large, F.lit(1)) * fv.BODY_SHARE
-        needed = F.when(same, F.lit(fv.SAME_TITLE_SCORE)).otherwise(floor)
-        common = F.when(reach >= needed, F.size(F.array_intersect(m["body_set"], F.col("body_set"))))
+        within = small / F.greatest(large, F.lit(1)) >= needed_body(similarity, floor)
+        common = F.when(within, F.size(F.array_intersect(m["body_set"], F.col("body_set")))).otherwise(F.lit(0))
         return F.struct(m["arrival"].alias("arrival"), m["id"].alias("id"), (small + large).alias("sizes"), common.alias("common"))
 
-    def rate(x: Column) -> Column:
-        body = F.coalesce(x["common"], F.lit(0)) / F.greatest(x["sizes"] - F.coalesce(x["common"], F.lit(0)), F.lit(1))
-        mixed = similarity * fv.TITLE_SHARE + body * fv.BODY_SHARE
-        score = F.when(same, F.greatest(mixed, F.lit(fv.SAME_TITLE_SCORE))).otherwise(mixed)
-        return F.struct((-score).alias("neg"), x["arrival"].alias("arrival"), x["id"].alias("id"))
-
     compared = F.transform(F.filter("members", lambda m: m["arrival"] < F.col("arrival")), compare)
-    candidates = F.transform(compared, rate)
-    return (
-        met.select("id", F.array_min(candidates).alias("best"))
-        .filter(F.col("best.neg") <= -fv.NEAR_DUPLICATE_THRESHOLD)
-        .groupBy("id")
-        .agg(F.min("best").alias("best"))
+    candidates = F.transform(compared, lambda x: _rate(similarity, x["common"], x["sizes"], x["arrival"], x["id"]))
+    # few bytes, much work: a plain shuffle would be merged into one task
+    met = met.withColumn("block", F.explode(F.sequence(F.lit(0), _blocks() - 1)))
+    met = met.repartition(int(met.sparkSession.conf.get("spark.sql.shuffle.partitions")), "partner", "block")
+    return _best(met.join(blocks, ["partner", "block"]).select("id", F.array_min(candidates).alias("best")))
+
+
+def body_candidates(met: DataFrame, reps: DataFrame) -> DataFrame:
+    """Pairs (id, other) worth comparing in titles of many representatives: they share a body token early enough for what the score needs.
+
+    ``met`` as above; ``reps``: partner, id, arrival, body_set. Both post ids and places only. Bodies of their own words meet nothing,
+    however many a title has.
+    """
+    frequency = reps.select(F.explode("body_set").alias("token")).groupBy("token").agg(F.count("*").alias("f"))
+    needed = needed_body(F.col("similarity"), F.col("floor"))
+    lowest = met.groupBy("partner").agg(F.min(needed).alias("least"))
+    held = ordered_tokens(reps.select(F.col("id").alias("k"), F.col("body_set").alias("s")), frequency)
+    held = held.join(reps.select(F.col("id").alias("k"), "partner", F.col("arrival").alias("other_arrival")), "k").join(lowest, "partner")
+    held = held.filter(F.col("p") < prefix_length(F.col("n"), F.col("least"))).select("partner", "token", F.col("k").alias("other"), "other_arrival", F.col("n").alias("m"), F.col("p").alias("q"))
+    asked = ordered_tokens(met.select(F.col("id").alias("k"), F.col("body_set").alias("s")).dropDuplicates(["k"]), frequency)
+    asked = asked.join(met.select(F.col("id").alias("k"), "arrival", "partner", "similarity", "floor", needed.alias("needed")), "k")
+    asked = asked.filter(F.col("p") < prefix_length(F.col("n"), F.col("needed")))
+    found = asked.join(held, ["partner", "token"]).filter(
+        (F.col("other_arrival") < F.col("arrival")) & may_reach(F.col("n"), F.col("p"), F.col("m"), F.col("q"), F.col("needed"))
     )
+    return found.select(F.col("k").alias("id"), "other", "other_arrival", "similarity").distinct()
+
+
+def _search_large(met: DataFrame, reps: DataFrame) -> DataFrame:
+    """Best candidates in titles of more representatives; sets are fetched for the pairs that may count."""
+    pairs = body_candidates(met, reps)
+    sets = pairs.join(met.select("id", "body_set").dropDuplicates(["id"]), "id").join(reps.select(F.col("id").alias("other"), F.col("body_set").alias("other_set")), "other")
+    common = F.size(F.array_intersect("body_set", "other_set"))
+    rated = _rate(F.col("similarity"), common, F.size("body_set") + F.size("other_set"), F.col("other_arrival"), F.col("other"))
+    return _best(sets.select("id", rated.alias("best")))
+
+
+def _search(searchers: DataFrame, partners: DataFrame, reps: DataFrame) -> DataFrame:
+    """Best candidate per searcher: ``id, best`` with ``best = (-score, arrival, id)``.
+
+    ``searchers``: id, arrival, body_set, title_key, floor. ``partners``: title_key, partner, similarity, n_reps.
+    """
+    met = searchers.join(partners, "title_key").filter(needed_body(F.col("similarity"), F.col("floor")) <= 1.0)
+    small, large = F.col("n_reps") <= BLOCK_ROWS, F.col("n_reps") > BLOCK_ROWS
+    members = F.collect_list(F.struct("arrival", "id", "body_set")).alias("members")
+    block = F.pmod(F.xxhash64("id"), _blocks()).cast("int").alias("block")
+    best = _search_small(met.filter(small), reps.filter(small).groupBy("partner", block).agg(members))
+    if reps.filter(large).isEmpty():
+        return best
+    return best.unionByName(_search_large(met.filter(large), reps.filter(large))).groupBy("id").agg(F.min("best").alias("best"))
+
+
+def title_bodies(templated: DataFrame, titles: DataFrame, reps: DataFrame) -> DataFrame:
+    """``k, token`` for the titles ``k``: body tokens of which one must be shared with a match under another title.
+
+    Another title of n tokens has a similarity of n / (n + 1) at most, which leaves the body a least similarity.
+    """
+    templated = templated.join(titles.select(F.col("title_key").alias("k"), F.size("title_set").alias("n_title")), "k").withColumnRenamed("k", "partner")
+    rows = reps.join(templated, "partner")
+    frequency = rows.select(F.explode("body_set").alias("token")).groupBy("token").agg(F.count("*").alias("f"))
+    least = needed_body(F.col("n_title") / (F.col("n_title") + 1), F.lit(fv.NEAR_DUPLICATE_THRESHOLD))
+    tokens = ordered_tokens(rows.select(F.col("id").alias("k"), F.col("body_set").alias("s")), frequency).filter("f > 1")
+    tokens = tokens.join(rows.select(F.col("id").alias("k"), "partner", least.alias("least")), "k")
+    return tokens.filter(F.col("p") < prefix_length(F.col("n"), F.col("least"))).select(F.col("partner").alias("k"), "token").distinct()
 
 
 def best_matches(keys: DataFrame, only: Column | None = None, groups_only: bool = False) -> DataFrame:
@@ -144,12 +214,11 @@ def best_matches(keys: DataFrame, only: Column | None = None, groups_only: bool
             F.min(F.struct("arrival", "id")).alias("title_first"),
         )
         .join(signatures.groupBy("title_key").agg(F.count("*").alias("n_reps")), "title_key")
-        .withColumn("n_blocks", F.ceil(F.col("n_reps") / BLOCK_ROWS).cast("int"))
     )
     titles = cut_lineage(titles)
-    linked = linked.join(titles.select("title_key", "title_first", "n_blocks"), "title_key", "left")
+    linked = linked.join(titles.select("title_key", "title_first", "n_reps"), "title_key", "left")
     # one materialisation serves the searches and the final assembly below
-    linked = cut_lineage(
+    linked = written(
         linked.withColumns(
             {
                 "is_first": F.col("title_first.id") == F.col("id"),
@@ -164,20 +233,13 @@ def best_matches(keys: DataFrame, only: Column | None = None, groups_only: bool
         "id", "arrival", "body_set", "title_key", "is_first",
         F.when(F.col("is_first"), F.lit(fv.NEAR_DUPLICATE_THRESHOLD)).otherwise(F.lit(fv.SAME_TITLE_SCORE)).alias("floor"),
     )
-    blocks = (
-        linked.filter("is_rep")
-        .groupBy(
-            F.col("title_key").alias("partner"),
-            F.expr("pmod(xxhash64(id), n_blocks)").cast("int").alias("block"),
-        )
-        .agg(F.collect_list(F.struct("arrival", "id", "body_set")).alias("members"))
-    )
-    pairs = similar_sets(titles, "title_key", "title_set", MIN_TITLE_SIMILARITY)
+    reps = linked.filter("is_rep").select(F.col("title_key").alias("partner"), "id", "arrival", "body_set", "n_reps")
+    pairs = similar_sets(titles, "title_key", "title_set", MIN_TITLE_SIMILARITY, lambda templated: title_bodies(templated, titles, reps))
     both = pairs.select(F.col("left").alias("title_key"), F.col("right").alias("partner"), "similarity").unionByName(
         pairs.select(F.col("right").alias("title_key"), F.col("left").alias("partner"), "similarity")
     )
-    sizes = titles.select(F.col("title_key").alias("partner"), "n_blocks")
-    outside = cut_lineage(_search(searchers, both.join(sizes, "partner"), blocks))
+    sizes = titles.select(F.col("title_key").alias("partner"), "n_reps")
+    outside = cut_lineage(_search(searchers, cut_lineage(both.join(sizes, "partner")), reps))
 
     inside_searchers = searchers.filter(~F.col("is_first"))
     if groups_only:
@@ -190,8 +252,8 @@ def best_matches(keys: DataFrame, only: Column | None = None, groups_only: bool
             .agg(F.min("arrival").alias("leaves_at"))
         )
         inside_searchers = inside_searchers.join(leaving, "title_key").filter(F.col("arrival") >= F.col("leaves_at")).drop("leaves_at")
-    own = titles.select("title_key", F.col("title_key").alias("partner"), F.lit(1.0).alias("similarity"), "n_blocks")
-    inside = _search(inside_searchers, own, blocks)
+    own = titles.select("title_key", F.col("title_key").alias("partner"), F.lit(1.0).alias("similarity"), "n_reps")
+    inside = _search(inside_searchers, own, reps)
     best = outside.unionByName(inside).groupBy("id").agg(F.min("best").alias("best"))
 
     found = linked.join(best, "id", "left")
@@ -201,8 +263,7 @@ def best_matches(keys: DataFrame, only: Column | None = None, groups_only: bool
     )
     near = (
         F.when(copies, F.struct(F.lit(-1.0).alias("neg"), F.col("sig_first.arrival").alias("arrival"), F.col("sig_first.id").alias("id")))
-        .when(F.col("best").isNotNull(), F.col("best"))
-        .otherwise(floor_first)
+        .otherwise(F.least("best", floor_first))
     )
     exact = F.col("wanted") & F.col("exact_first").isNotNull()
     return found.withColumn("near", F.when(F.col("wanted"), near)).select(
@@ -259,12 +320,14 @@ def mark_duplicates(items: DataFrame) -> DataFrame:
     has one, the whole group points there. Unparsable dates order last. An optional ``selected`` becomes false on
     every duplicate.
     """
-    keys = cut_lineage(dedupe_keys(items))
+    keys = written(dedupe_keys(items))
     links = best_matches(keys, groups_only=True).select("id", "parent")
     grouped = cut_lineage(roots(cut_lineage(links)))
     prior = "duplicate_of" in items.columns
-    base = items.withColumnRenamed("duplicate_of", "_prior") if prior else items.withColumn("_prior", F.lit(None).cast("string"))
-    members = base.join(grouped, "id")
+    earlier = (F.col("duplicate_of") if prior else F.lit(None).cast("string")).alias("_prior")
+    # groups are settled on narrow rows; texts move once, for the join at the end
+    narrow = items.select("id", "source_type", "published_at", "source_weight", "collected_at", "arrival", earlier)
+    members = narrow.join(grouped, "id")
     chosen = members.groupBy("root").agg(
         F.min_by("id", F.struct(*preference())).alias("_canonical"),
         F.max(F.when(F.col("id") == F.col("root"), F.when(F.col("_prior") != F.col("id"), F.col("_prior")))).alias("_outside"),
@@ -272,7 +335,8 @@ def mark_duplicates(items: DataFrame) -> DataFrame:
     )
     chosen = chosen.filter("_n > 1 or _outside is not null").drop("_n")
     target = F.coalesce("_outside", "_canonical")
-    marked = members.join(chosen, "root", "left").withColumn("duplicate_of", F.when(target != F.col("id"), target))
+    marks = members.select("id", "root").join(chosen, "root").filter(target != F.col("id")).select("id", target.alias("duplicate_of"))
+    marked = items.drop("duplicate_of").join(marks, "id", "left")
     if "selected" in items.columns:
         marked = marked.withColumn("selected", F.col("selected") & F.col("duplicate_of").isNull())
     columns = items.columns if prior else [*items.columns, "duplicate_of"]
@@ -362,7 +426,7 @@ def windowed_near_duplicates(batch: DataFrame, history: DataFrame, since: Column
     )
     both = cut_lineage(both.withColumn("arrival", F.struct("turn", "arrival")))
     keys = dedupe_keys(both).withColumns({"url_key": F.lit(None).cast("string"), "hash_key": F.lit(None).cast("string")})
-    links = cut_lineage(best_matches(cut_lineage(keys), only=F.col("arrival.turn") == 1))
+    links = cut_lineage(best_matches(written(keys), only=F.col("arrival.turn") == 1))
     grouped = roots(links.select("id", "parent"))
     tagged = both.join(grouped, "id").join(links.select("id", "score", "parent"), "id")
     # a history row stands for the root it already points to

@@ -2,13 +2,44 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.functions import text as tx
+from gleaner.session import cut_lineage
+
+
+#: A token that more sets have among their rarest ones is frequent.
+FREQUENT = 1000
+
+
+def ordered_tokens(rows: DataFrame, frequency: DataFrame) -> DataFrame:
+    """``k, n, p, token`` of rows ``k, s``: places from the rarest token on, for tokens that ``frequency`` (token, f) knows.
+
+    Unknown ones keep their places in front, but meet nothing.
+    """
+    ordered = (
+        rows.select("k", F.explode("s").alias("token")).join(frequency, "token", "left").groupBy("k")
+        .agg(F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "token"))).alias("s"))
+    )
+    return ordered.select("k", F.size("s").alias("n"), F.posexplode("s").alias("p", "x")).filter("x.f > 0").select("k", "n", "p", F.col("x.token").alias("token"), F.col("x.f").alias("f"))
 
 
-def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> DataFrame:
+def prefix_length(n: Column, threshold: Column | float) -> Column:
+    """Of two sets that reach the threshold, each has a common token among so many of its rarest."""
+    return n - F.ceil(n * threshold - 1e-9).cast("int") + 1
+
+
+def may_reach(n: Column, p: Column, m: Column, q: Column, threshold: Column | float) -> Column:
+    """Whether sets of n and m tokens that meet at places p and q can still reach the threshold."""
+    share = F.lit(threshold) if isinstance(threshold, float) else threshold
+    overlap = F.ceil(share / (share + 1.0) * (n + m) - 1e-9)
+    return (F.least(n, m) >= F.greatest(n, m) * share - 1e-9) & (F.least(n - p, m - q) >= overlap)
+
+
+def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float, split: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """All pairs of *distinct* sets with Jaccard >= ``threshold``: ``(left, right, similarity)``, each pair once.
 
     ``key`` is unique per row and ``tokens`` holds no repeats. With tokens ordered from the rarest, two sets that reach
@@ -16,27 +47,22 @@ def similar_sets(sets: DataFrame, key: str, tokens: str, threshold: float) -> Da
     without the set itself, so postings grow with the sets' sizes. Where two sets first meet, at places p and q, at most
     ``1 + min(n - p - 1, m - q - 1)`` tokens can be common; pairs that cannot share ``t / (1 + t) * (n + m)`` are left out
     before anything is compared. Sets are fetched for the pairs that remain.
+
+    ``split`` names something else that two sets must share to matter: it gets the keys ``k`` of sets that post a token of more than
+    ``FREQUENT`` sets and gives ``k, token``. Such tokens are then met only together with one of those, so sets from one template do
+    not all meet; pairs that share none may be missing.
     """
     rows = sets.select(F.col(key).alias("k"), F.col(tokens).alias("s")).filter(F.size("s") > 0)
-    exploded = rows.select("k", F.explode("s").alias("token"))
-    frequency = exploded.groupBy("token").agg(F.count("*").alias("f"))
+    frequency = rows.select(F.explode("s").alias("token")).groupBy("token").agg(F.count("*").alias("f"))
     # a token of one set alone meets nothing, but keeps its place in the order
-    ordered = (
-        exploded.join(frequency, "token")
-        .groupBy("k")
-        .agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("s"))
-        .withColumn("n", F.size("s"))
-    )
-    useful = F.slice("s", 1, F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1)
-    posts = ordered.select("k", "n", F.posexplode(useful).alias("p", "x")).filter("x.f > 1").select("k", "n", "p", F.col("x.token").alias("token"))
-    others = posts.select(F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), "token")
-    share = threshold / (1.0 + threshold)
-    reach = F.least(F.col("n") - F.col("p"), F.col("n2") - F.col("p2"))
-    met = posts.join(others, "token").filter(
-        (F.col("k") > F.col("k2"))
-        & (F.least("n", "n2") >= F.greatest("n", "n2") * threshold - 1e-9)
-        & (reach >= F.ceil(F.lit(share) * (F.col("n") + F.col("n2")) - 1e-9))
-    )
+    posts = ordered_tokens(rows, frequency).filter((F.col("p") < prefix_length(F.col("n"), threshold)) & (F.col("f") > 1))
+    posts, on = cut_lineage(posts), ["token"]
+    frequent = posts.filter(F.col("f") > FREQUENT)
+    if split is not None and not frequent.isEmpty():
+        also = split(frequent.select("k").distinct()).select("k", F.col("token").alias("also"))
+        posts, on = posts.filter(F.col("f") <= FREQUENT).withColumn("also", F.lit("")).unionByName(frequent.join(also, "k")), ["token", "also"]
+    others = posts.select(F.col("k").alias("k2"), F.col("n").alias("n2"), F.col("p").alias("p2"), *on)
+    met = posts.join(others, on).filter((F.col("k") > F.col("k2")) & may_reach(F.col("n"), F.col("p"), F.col("n2"), F.col("p2"), threshold))
     pairs = met.select("k", "k2").distinct()
     near = pairs.join(rows, "k").join(rows.select(F.col("k").alias("k2"), F.col("s").alias("s2")), "k2")
     return near.select(F.col("k").alias("left"), F.col("k2").alias("right"), tx.jaccard(F.col("s"), F.col("s2")).alias("similarity")).filter(

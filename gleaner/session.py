@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,6 +53,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Like :func:`cut_lineage` for wide tables of which later steps read a few columns each: Parquet in the same shared folder."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """In a single-machine session, deal out a table scan that has fewer splits than the session has cores.
 
@@ -63,8 +71,3 @@ def spread(df: DataFrame) -> DataFrame:
         return df
     cores = context.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def shuffle_width(df: DataFrame) -> int:
-    """The session's shuffle partition count, for stages whose work is far larger than their bytes."""
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

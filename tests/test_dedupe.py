@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gleaner.operators import dedupe as dd
+from gleaner.operators import setjoin as sj
 from gleaner.session import cut_lineage
 
 START = dtm.datetime(2026, 5, 1)
@@ -105,14 +106,18 @@ def frame(spark, rows):
 
 
 @pytest.mark.parametrize("seed,outside", [(1, False), (2, True), (3, True)])
-def test_marks_equal_the_sequential_loop(spark, seed, outside):
+def test_marks_equal_the_sequential_loop(spark, monkeypatch, seed, outside):
+    if seed > 1:
+        monkeypatch.setattr(dd, "BLOCK_ROWS", 2)
+        monkeypatch.setattr(sj, "FREQUENT", 5)
     rows = random_items(seed, outside=outside)
     marked = dd.mark_duplicates(frame(spark, rows).repartition(3))
     assert {r["id"]: r["duplicate_of"] for r in marked.collect()} == sequential_marks(rows)
 
 
 def test_best_match_is_the_best_of_all_earlier_items(spark, monkeypatch):
-    monkeypatch.setattr(dd, "BLOCK_ROWS", 3)  # several blocks per title
+    monkeypatch.setattr(dd, "BLOCK_ROWS", 3)  # larger titles are searched by body tokens
+    monkeypatch.setattr(sj, "FREQUENT", 6)  # and title tokens of more sets together with a body token
     rows = random_items(4)
     found = dd.best_matches(cut_lineage(dd.dedupe_keys(frame(spark, rows)))).collect()
     got = {r["id"]: (r["parent"], round(r["score"], 9)) for r in found if r["parent"]}
@@ -131,6 +136,30 @@ def test_hot_title_with_a_third_of_the_rows(spark):
     assert {r["id"]: r["duplicate_of"] for r in dd.mark_duplicates(frame(spark, rows)).collect()} == sequential_marks(rows)
 
 
+@pytest.mark.parametrize("shape", ["one title", "one template"])
+def test_comparisons_grow_with_the_rows(spark, monkeypatch, shape):
+    """Bodies of their own words under one title, or under titles from one template: what is compared does not grow with the square."""
+    monkeypatch.setattr(dd, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(sj, "FREQUENT", 64)
+    made = []
+    real = dd.body_candidates
+    monkeypatch.setattr(dd, "body_candidates", lambda met, reps: made.append(real(met, reps).count()) or real(met, reps))
+    joined = sj.similar_sets
+    monkeypatch.setattr(dd, "similar_sets", lambda *a: made.append(joined(*a).count()) or joined(*a))
+    counts = {}
+    for n in (400, 800):
+        rows = []
+        for i in range(n):
+            body = " ".join(f"w{i * 20 + j}x" for j in range(20)) + " the report of today"
+            title = "daily market report" if shape == "one title" else f"daily market report number{i}"
+            rows.append({**random_items(1, n=1)[0], "id": f"i{i:04d}", "arrival": i, "source_url": f"https://e.com/{i}", "article_title": title, "raw_content": body, "duplicate_of": None})
+        made.clear()
+        found = {r["id"]: (r["parent"], r["score"]) for r in dd.best_matches(cut_lineage(dd.dedupe_keys(frame(spark, rows)))).collect() if r["parent"]}
+        counts[n] = sum(made)
+        assert set(found.values()) <= {("i0000", 0.78)} and len(found) == (n - 1 if shape == "one title" else 0)
+    assert counts[800] <= 2.5 * max(counts[400], 50)
+
+
 def test_exact_dedupe_is_greedy_in_arrival_order(spark):
     rows = random_items(6, n=120)
     for r in rows:
