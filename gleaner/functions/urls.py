@@ -109,7 +109,7 @@ def _clean_query(query: Column, dropped: Sequence[str], dropped_prefix: str | No
         return ok & ~name.startswith(dropped_prefix) if dropped_prefix else ok
 
     encoded = F.transform(
-        F.array_sort(F.filter(pairs, keep)),
+        F.sort_array(F.filter(pairs, keep)),
         lambda p: F.concat(F.url_encode(p["name"]), F.lit("="), F.url_encode(p["value"])),
     )
     return F.when(query == "", F.lit("")).otherwise(F.array_join(encoded, "&"))

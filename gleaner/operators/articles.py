@@ -26,7 +26,7 @@ def group_by_category(selected: DataFrame, scope: list[str], place: str = "rank"
     groups = selected.groupBy(*scope, category_or_default().alias("category")).agg(
         F.min(place).alias("category_place"),
         F.count("*").alias("n_items"),
-        F.transform(F.array_sort(F.collect_list(F.struct(place, "id"))), lambda x: x["id"]).alias("item_ids"),
+        F.transform(F.sort_array(F.collect_list(F.struct(place, "id"))), lambda x: x["id"]).alias("item_ids"),
     )
     return groups
 

@@ -82,8 +82,8 @@ def edition_markdown(editions: DataFrame, items: DataFrame, layout: str = "daily
     )
     gathered = rows.groupBy(scope).agg(
         F.count("*").alias("n_items"),
-        F.array_sort(F.collect_list(F.struct("rank", "bullet"))).alias("_bullets"),
-        F.array_sort(F.collect_list(F.struct("place", "rank", "cat", "cat_line", "cat_head", "toc", "block"))).alias("_rows"),
+        F.sort_array(F.collect_list(F.struct("rank", "bullet"))).alias("_bullets"),
+        F.sort_array(F.collect_list(F.struct("place", "rank", "cat", "cat_line", "cat_head", "toc", "block"))).alias("_rows"),
     )
     joined = editions.join(gathered, scope, "left")
 
@@ -133,7 +133,7 @@ def edition_tags(items: DataFrame, scope: str = "edition") -> DataFrame:
     firsts = rows.filter(~F.col("tag").isin(*fv.BASE_TAGS)).groupBy(scope, "tag").agg(F.min(F.struct("rank", "pos")).alias("place"))
     ranked = firsts.withColumn("_n", F.row_number().over(Window.partitionBy(scope).orderBy("place")))
     extra = ranked.filter(F.col("_n") <= fv.MAX_TAGS - len(fv.BASE_TAGS)).groupBy(scope).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("_n", "tag"))), lambda x: x["tag"]).alias("_extra")
+        F.transform(F.sort_array(F.collect_list(F.struct("_n", "tag"))), lambda x: x["tag"]).alias("_extra")
     )
     base = F.array(*[F.lit(t) for t in fv.BASE_TAGS])
     return items.select(scope).distinct().join(extra, scope, "left").select(
@@ -149,7 +149,7 @@ def edition_links(items: DataFrame, scope: str = "edition") -> DataFrame:
     label = F.coalesce(tx.null_if_blank(F.col("link.label")), F.col("link.url"))
     return firsts.groupBy(scope).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("place", label.alias("label"), F.col("link.url").alias("url")))),
+            F.sort_array(F.collect_list(F.struct("place", label.alias("label"), F.col("link.url").alias("url")))),
             lambda x: F.struct(x["label"].alias("label"), x["url"].alias("url")),
         ).alias("links")
     )
@@ -173,7 +173,7 @@ def platform_packages(items: DataFrame, paths: DataFrame, scope: str = "edition"
     """One package per edition and platform. ``paths``: scope, markdown_path, video_path, subtitle_path."""
     said = tx.first_non_blank(F.col("intro_summary"), F.col("summary"), default=fv.NO_SUMMARY)
     stories = items.groupBy(scope).agg(
-        F.array_sort(F.collect_list(F.struct("rank", F.concat("article_title", F.lit(" - "), said).alias("line")))).alias("_stories"),
+        F.sort_array(F.collect_list(F.struct("rank", F.concat("article_title", F.lit(" - "), said).alias("line")))).alias("_stories"),
         F.min_by(tx.strip(F.col("article_title")), "rank").alias("_first"),
     )
     df = paths.join(stories, scope, "left").join(edition_tags(items, scope), scope, "left").join(edition_links(items, scope), scope, "left")

@@ -114,7 +114,7 @@ def window_stats(items: DataFrame, key: str, start: Column, end: Column, samples
     first = items.withColumn("_n", F.row_number().over(Window.partitionBy(key).orderBy("arrival"))).filter(F.col("_n") <= samples)
     taken = first.groupBy(key).agg(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("_n", "title", "url", "published_at"))),
+            F.sort_array(F.collect_list(F.struct("_n", "title", "url", "published_at"))),
             lambda x: F.struct(x["title"].alias("title"), x["url"].alias("url"), x["published_at"].alias("published_at")),
         ).alias("samples")
     )

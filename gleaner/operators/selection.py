@@ -27,6 +27,17 @@ def parse_quotas(text: str) -> list[tuple[str, int]]:
     return list(quotas.items())
 
 
+def quota_rows(rows: DataFrame, key: str, rules: str) -> DataFrame:
+    """The same reading for a column of rule texts (one per edition, say): ``key, name, quota, place`` (from 0)."""
+    chunks = F.transform(F.split(rules, ","), lambda x, i: F.struct(i.alias("at"), F.split(x, "=").alias("halves")))
+    read = rows.select(key, F.inline(F.filter(chunks, lambda x: F.size(x["halves"]) > 1))).select(
+        key, "at", F.trim(F.get("halves", F.lit(0))).alias("name"), F.expr("try_cast(nullif(regexp_extract(trim(get(halves, 1)), '^[0-9]+', 0), '') AS bigint)").alias("quota")
+    )
+    # a repeated name keeps its first place and takes its last count
+    found = read.filter("name <> '' AND quota > 0").groupBy(key, "name").agg(F.min("at").alias("first"), F.max_by("quota", "at").alias("quota"))
+    return found.select(key, "name", "quota", (F.row_number().over(Window.partitionBy(key).orderBy("first")) - 1).alias("place"))
+
+
 @dataclass(frozen=True)
 class Rules:
     count: int = fv.DAILY_ITEM_COUNT
@@ -145,7 +156,7 @@ def group_links(grouped: DataFrame, winners: DataFrame, scope: list[str]) -> Dat
     ).filter(ul.is_http_url(F.col("url")))
     firsts = rows.groupBy(*scope, "winner_id", "url").agg(F.min(F.struct("other", "arrival", "pos")).alias("place"))
     return firsts.groupBy(*scope, "winner_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("place", "url"))), lambda x: x["url"]).alias("alternatives")
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "url"))), lambda x: x["url"]).alias("alternatives")
     )
 
 

@@ -88,8 +88,12 @@ def append_log(rows: DataFrame, path: str, *partition_by: str) -> None:
 
 
 def write_editions(rows: DataFrame, path: str, scope: str = "edition", fmt: str = "json") -> None:
-    """One folder per edition; writing an edition again replaces only that edition."""
-    writer = rows.repartition(scope).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope)
+    """One folder per edition; writing an edition again replaces only that edition.
+
+    Rows are dealt by edition, and adaptive execution then evens the tasks out by size: small editions share one, and an edition
+    that holds most rows is written by many.
+    """
+    writer = rows.hint("rebalance", scope).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope)
     writer.format(fmt).save(path)
 
 

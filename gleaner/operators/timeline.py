@@ -123,15 +123,32 @@ def legacy_timeline(items: DataFrame, scope: str, order: str) -> DataFrame:
     return timed.withColumn("start_ms", F.col("end_ms") - F.col("_ms")).drop("_ms")
 
 
+def srt_blocks(timeline: DataFrame, *scope: str, stretch: int = 4096) -> DataFrame:
+    """Numbered subtitle blocks per script (or per script and item), one row each: ``scope, number, block``.
+
+    Segments of a scope are numbered in time order, as in :func:`narration_timeline` stretch by stretch, so a script of any length is
+    many small windows.
+    """
+    rows = timeline.withColumn("_part", F.floor(F.col("segment_no") / stretch))
+    totals = rows.groupBy(*scope, "_part").agg(F.count("*").alias("_rows"))
+    before = Window.partitionBy(*scope).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*scope, "_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_earlier"))
+    place = F.row_number().over(Window.partitionBy(*scope, "_part").orderBy("start_ms", "segment_no"))
+    numbered = rows.withColumn("_place", place).join(offsets, [*scope, "_part"]).withColumn("number", F.col("_place") + F.col("_earlier"))
+    times = F.concat(dt.srt_time(F.col("start_ms")), F.lit(" --> "), dt.srt_time(F.col("end_ms")))
+    return numbered.select(*scope, "number", F.concat_ws("\n", F.col("number").cast("string"), times, "text", F.lit("")).alias("block"))
+
+
+def write_srt(blocks: DataFrame, path: str, scope: str, parts: int | None = None) -> None:
+    """One folder per script. Its files, in the order of their names, are the subtitle text: blocks are dealt by ranges of
+    (script, number) and written in order, so a long script is many files and no task or row holds it whole."""
+    keys = [F.col(scope), F.col("number")]
+    dealt = blocks.repartitionByRange(parts, *keys) if parts else blocks.repartitionByRange(*keys)
+    ordered = dealt.sortWithinPartitions(*keys).select(scope, "block")
+    ordered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(scope).text(path)
+
+
 def srt_text(timeline: DataFrame, *scope: str) -> DataFrame:
-    """Subtitle text per script (or per script and item): numbered blocks in time order."""
-    line = F.struct("start_ms", "segment_no", "end_ms", "text")
-    gathered = timeline.groupBy(*scope).agg(F.array_sort(F.collect_list(line)).alias("_lines"))
-    block = F.transform(
-        "_lines",
-        lambda x, i: F.concat(
-            (i + 1).cast("string"), F.lit("\n"), dt.srt_time(x["start_ms"]), F.lit(" --> "), dt.srt_time(x["end_ms"]),
-            F.lit("\n"), x["text"], F.lit("\n"),
-        ),
-    )
-    return gathered.select(*scope, F.array_join(block, "\n").alias("srt"))
+    """Subtitle text in one row per script (or per script and item), for scripts that fit a row; :func:`write_srt` has no such bound."""
+    gathered = srt_blocks(timeline, *scope).groupBy(*scope).agg(F.sort_array(F.collect_list(F.struct("number", "block"))).alias("_blocks"))
+    return gathered.select(*scope, F.array_join(F.transform("_blocks", lambda x: x["block"]), "\n").alias("srt"))

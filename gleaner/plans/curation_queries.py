@@ -8,6 +8,7 @@ from gleaner import fixed_values as fv
 from gleaner.functions import dates as dt
 from gleaner.functions import text as tx
 from gleaner.operators import articles as ar
+from gleaner.operators import collection as cl
 from gleaner.operators import dedupe as dd
 from gleaner.operators import screening as sc
 from gleaner.operators import selection as sl
@@ -15,6 +16,7 @@ from gleaner.operators import store as st
 from gleaner.plans import sql as s
 from gleaner.plans.dedupe_queries import SPLIT, linked, store_tables
 from gleaner.plans.registry import query
+from gleaner.plans.source_queries import _caps
 from gleaner.plans.testbed import items, table
 
 # The reference-domain words do not occur in the corpus; these patterns do, and have the same kinds: bounded words,
@@ -81,6 +83,37 @@ def prefilter_apply(spark, folder):
     return kept.select("id", "source_id", "rank_in_source")
 
 
+LOW_TRUST, TOTAL = ["src3", "src7", "src11"], 300
+_COLLECTED = f"""WITH {s.ITEMS}, f AS (SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY arrival) AS pos, cast(substr(source_name,4) AS int) AS n FROM items),
+    capped AS (SELECT *, source_name IN ('src3','src7','src11') AS flagged FROM f WHERE pos <= CASE WHEN n%3<>0 THEN n+5 ELSE 50 END),
+    p AS (SELECT *, CASE WHEN flagged THEN cast({_PRE_SCORE} AS int) END AS prefilter_score,
+      CASE WHEN flagged THEN array_to_string(list_filter([{_PRE_LIST}], lambda x: x IS NOT NULL), '|') END AS signals FROM capped),
+    r AS (SELECT *, cast(row_number() OVER (PARTITION BY source_name ORDER BY CASE WHEN flagged THEN -prefilter_score END, CASE WHEN flagged THEN -epoch_us(published_at) END, pos) AS int) AS rank_in_source
+      FROM p WHERE NOT flagged OR prefilter_score >= 8),
+    k AS (SELECT * FROM r ORDER BY source_name, rank_in_source LIMIT {TOTAL})"""
+
+
+def collected(spark, folder):
+    feed = _prefilter_input(spark, folder).withColumn("source_name", F.col("source_id"))
+    return cl.collect(feed.join(_caps(spark, folder), "source_name"), [F.col("arrival")], SIGNALS, LOW_TRUST, total=TOTAL)
+
+
+@query("collect_items", f"{_COLLECTED} SELECT id, source_name, rank_in_source, prefilter_score, signals FROM k")
+def collect_items(spark, folder):
+    return collected(spark, folder)[0].select("id", "source_name", "rank_in_source", "prefilter_score", joined("prefilter_signals").alias("signals"))
+
+
+@query(
+    "collect_counts",
+    f"""{_COLLECTED} SELECT source_name, count(*) AS fetched, count(*) - (SELECT count(*) FROM capped c WHERE c.source_name=f.source_name) AS over_cap,
+      (SELECT count(*) FROM capped c WHERE c.source_name=f.source_name) - (SELECT count(*) FROM r WHERE r.source_name=f.source_name) AS filtered,
+      (SELECT count(*) FROM r WHERE r.source_name=f.source_name) - (SELECT count(*) FROM k WHERE k.source_name=f.source_name) AS limited_out,
+      (SELECT count(*) FROM k WHERE k.source_name=f.source_name) AS collected FROM f GROUP BY source_name""",
+)
+def collect_counts(spark, folder):
+    return collected(spark, folder)[1]
+
+
 _SCORED = f"WITH {s.LINKED}, {s.scored('linked', 'scored', SIGNALS)}"
 
 
@@ -209,6 +242,36 @@ def enrich_items(spark, folder):
     )
 
 
+@query(
+    "enrich_failures",
+    f"""{_ENRICHED} SELECT id, CASE WHEN bad THEN 'Excluded' ELSE category END AS category, CASE WHEN bad THEN 0 ELSE score END AS score, NOT bad AND is_topic_candidate AS is_topic_candidate,
+    CASE WHEN bad THEN concat('ai enrichment failed: no answer for ', id) ELSE exclusion_reason END AS exclusion_reason FROM (SELECT *, doc_id % 7 = 3 AS bad FROM enriched)""",
+)
+def enrich_failures(spark, folder):
+    """A scorer of one's own, which has no answer for some items: they stay, excluded, and the others are scored."""
+
+    def scorer(rows):
+        failed = F.when(F.col("doc_id") % 7 == 3, F.concat(F.lit("no answer for "), F.col("id")))
+        return sc.dictionary_scorer(signals=SIGNALS)(rows).withColumn("score_error", failed)
+
+    return sc.enrich_items(linked(spark, folder), scorer).select("id", "category", "score", "is_topic_candidate", "exclusion_reason")
+
+
+@query(
+    "quota_rules",
+    """WITH t AS (SELECT doc_id, concat('AI x Game=', doc_id % 4, ', ', source, ' = ', n_chars, ',none, =3, ', source, '=x,', lang, '=0', doc_id % 3, 'b') AS rules FROM documents),
+    c AS (SELECT doc_id, i, trim(split_part(x, '=', 1)) AS name, try_cast(regexp_extract(trim(split_part(x, '=', 2)), '^[0-9]+') AS BIGINT) AS quota
+      FROM (SELECT doc_id, unnest(string_split(rules, ',')) AS x, unnest(range(len(string_split(rules, ',')))) AS i FROM t) WHERE contains(x, '='))
+    SELECT doc_id, name, arg_max(quota, i) AS quota, cast(row_number() OVER (PARTITION BY doc_id ORDER BY min(i)) - 1 AS INTEGER) AS place FROM c WHERE name <> '' AND quota > 0 GROUP BY doc_id, name""",
+)
+def quota_rules(spark, folder):
+    docs = table(spark, folder, "documents")
+    text = F.concat(
+        F.lit("AI x Game="), F.col("doc_id") % 4, F.lit(", "), "source", F.lit(" = "), "n_chars", F.lit(",none, =3, "), "source", F.lit("=x,"), "lang", F.lit("=0"), F.col("doc_id") % 3, F.lit("b")
+    )
+    return sl.quota_rows(docs.select("doc_id", text.alias("rules")), "doc_id", "rules")
+
+
 @query(
     "claim_trace",
     f"""WITH c AS (SELECT doc_id, {s.claim_tokens('b.text', fv.SELECTION_STOP_WORDS)} AS claim, list_distinct({s.evidence_tokens('d.text', fv.SELECTION_STOP_WORDS)}) AS ev

@@ -189,6 +189,15 @@ def srt_text(spark, folder):
     return tl.srt_text(timeline(spark, folder), "conv_id")
 
 
+@query(
+    "srt_blocks",
+    f"""WITH {_TIMED} SELECT conv_id, cast(segment_no AS bigint) AS number, concat(segment_no, chr(10), {s.srt_time('(end_ms-duration_ms)')}, ' --> ', {s.srt_time('end_ms')}, chr(10), text, chr(10)) AS block
+    FROM timed""",
+)
+def srt_blocks(spark, folder):
+    return tl.srt_blocks(timeline(spark, folder), "conv_id", stretch=8)
+
+
 def _editions(spark, folder):
     """Every edition day of the items, whether or not something was selected."""
     return items(spark, folder).select(F.date_add(F.to_date("published_at"), 1).alias("edition")).distinct()

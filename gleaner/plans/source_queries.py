@@ -29,7 +29,7 @@ def _payloads(spark, folder, per_payload=20):
     it = items(spark, folder).withColumn("headline", tx.collapse(F.col("article_title")))
     it = it.withColumn("payload_id", F.floor(F.col("doc_id") / per_payload).cast("bigint"))
     row = F.struct("doc_id", "headline", "source_url", "published_at", "source_name")
-    return it.groupBy("payload_id").agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    return it.groupBy("payload_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
 
 
 def _as_payload(df, source_id, base_url):

@@ -61,7 +61,7 @@ def content_hash(spark, folder):
 @query("token_set", f"SELECT doc_id, cast(len({s.tokens('text')}) AS int) AS n, md5(array_to_string(list_sort({s.tokens('text')}), ' ')) AS digest FROM documents")
 def token_set(spark, folder):
     tokens = docs(spark, folder).select("doc_id", tx.token_set(F.col("text")).alias("t"))
-    return tokens.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join(F.array_sort("t"), " ")).alias("digest"))
+    return tokens.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join(F.sort_array("t"), " ")).alias("digest"))
 
 
 @query("stem_tokens", f"SELECT doc_id, cast(len({s.stems('text')}) AS int) AS n, md5(array_to_string({s.stems('text')}, ' ')) AS digest FROM documents")
