@@ -274,3 +274,6 @@ LISTING_TEMPLATES = [
 ]
 JSON_RECORD_PATH = "$.data.data"
 JSON_RECORD_URL = ("https://www.youxituoluo.com/", ".html")
+
+# --- list in a JSONP answer: element of a row, classes of its link, excerpt and time ---------------------------------
+JSONP_LIST = {"block": "li", "link": "tt", "excerpt": "txt", "time": "time"}

@@ -534,5 +534,6 @@ def stream_window_counters(spark, folder):
 def stream_canonical(spark, folder):
     inbox = scratch(spark, "inbox")
     items(spark, folder).drop("doc_id").write.mode("append").parquet(inbox)
-    feed = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox)
-    return _drain(spark, stream.stream_canonical(feed), "roots")
+    feed, store = spark.readStream.schema(spark.read.parquet(inbox).schema).parquet(inbox), scratch(spark, "roots")
+    stream.start_roots(feed, store, scratch(spark, "roots-progress")).awaitTermination()
+    return stream.followed_roots(spark, store).select("key", "id", "root", "replaced")

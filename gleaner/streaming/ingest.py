@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from datetime import datetime, timedelta
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators import dedupe as dd
 from gleaner.operators.item_store import ItemStore
-from gleaner.session import cut_lineage
+from gleaner.operators.ledger import Ledger, absolute, read_or_empty
+from gleaner.session import cut_lineage, written
 
 def stored_items(spark: SparkSession, store: str) -> DataFrame:
     """Inserted rows with their current ``duplicate_of``, of finished runs only."""
@@ -81,49 +78,83 @@ def window_counters(events: DataFrame, source: str, ts: str = "ts", hours: int =
 
 
 NO_DATE = 2**62
-_ROOT_STATE = "root string, official int, published_us bigint, weight int, collected_us bigint"
-_ROOT_OUTPUT = "key string, id string, root string, replaced string"
+_BEST = "other int, published_us bigint, lighter int, collected_us bigint, batch bigint, arrival bigint, id string"
+_STATE = f"key string, best struct<{_BEST.replace(' ', ':').replace(',:', ',')}>, expires_us bigint"
+_ROOTS = "key string, id string, root string, replaced string, batch_id bigint"
 
 
-def _follow(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Running preferred item of one key, over its narrow rows of a micro-batch in arrival order; emits each row's root as
-    known when it came, and the root it replaced. A missing date is later than any other."""
-    if state.hasTimedOut:
-        state.remove()
+def follow_roots(batch: DataFrame, batch_id: int, store: str, key: str = "content", blocks: int | None = None) -> None:
+    """Running preferred item of every exact key (content or URL): each row's root as known when it came, and the root it replaced.
+
+    One run of the store's ledger. A running minimum in two levels: rows are dealt to blocks by arrival; inside (key, block) it is a window,
+    and each block starts from the best of the blocks before it and of the key's stored root, one row per key and block. A key with a
+    third of all rows is as many windows as there are blocks. Stored roots are one row per key and expire ``DEDUPE_WINDOW_HOURS`` of event
+    time after they were last seen. A missing date is later than any other; a row without a key is its own root.
+    """
+    spark = batch.sparkSession
+    ledger = Ledger(spark, f"{store}/runs")
+    state = ledger.state()
+    run_id = f"roots-{batch_id}"
+    if run_id in state.done:
         return
-    rows = pd.concat(list(batches)).sort_values("arrival", kind="stable")
-    mine = pd.DataFrame(
-        {
-            "id": rows["id"].to_numpy(), "official": (rows["source_type"] == "official").to_numpy().astype(int), "published_us": rows["published_us"].fillna(NO_DATE).to_numpy("int64"),
-            "weight": rows["source_weight"].fillna(0).to_numpy("int64"), "collected_us": rows["collected_us"].fillna(NO_DATE).to_numpy("int64"),
-        }
-    )
-    held = pd.concat([pd.DataFrame([tuple(state.get)], columns=mine.columns), mine], ignore_index=True) if state.exists else mine
-    order = np.lexsort((np.arange(len(held)), held["collected_us"], -held["weight"], held["published_us"], -held["official"]))
-    rank = np.empty(len(held), dtype=np.int64)
-    rank[order] = np.arange(len(held))
-    best = order[np.minimum.accumulate(rank)]
-    before = np.concatenate([[-1], best[:-1]])
-    ids = held["id"].to_numpy()
-    replaced = np.where((before >= 0) & (before != best), ids[before], None)
-    new = slice(len(held) - len(mine), None)
-    yield pd.DataFrame({"key": key[0], "id": ids[new], "root": ids[best][new], "replaced": replaced[new]})
-    top = held.iloc[int(best[-1])]
-    state.update((str(top["id"]), *(int(top[c]) for c in held.columns[1:])))
-    # event time, so that a run over the available input ends when the input does
-    seen = 0 if top["collected_us"] == NO_DATE else int(top["collected_us"]) // 1000
-    state.setTimeoutTimestamp(max(seen, state.getCurrentWatermarkMs()) + fv.DEDUPE_WINDOW_HOURS * 3_600_000)
-
-
-def stream_canonical(items: DataFrame, key: str = "content") -> DataFrame:
-    """Running root per exact key (content or URL); a key's state is one row."""
     by = tx.content_hash(F.col("raw_content")) if key == "content" else ul.canonical_url(F.col("source_url"))
-    rows = items.select(
-        by.alias("key"), "id", "arrival", "source_type", "source_weight",
-        F.unix_micros(F.col("published_at").cast("timestamp")).alias("published_us"),
-        F.unix_micros(F.col("collected_at").cast("timestamp")).alias("collected_us"),
-        F.col("collected_at").cast("timestamp").alias("seen_at"),
+
+    def micros(column: str) -> Column:
+        return F.coalesce(F.unix_micros(F.col(column).cast("timestamp")), F.lit(NO_DATE))
+
+    best = F.struct(
+        F.when(F.col("source_type") == "official", 0).otherwise(1).alias("other"), micros("published_at").alias("published_us"),
+        (-F.coalesce("source_weight", F.lit(0))).alias("lighter"), micros("collected_at").alias("collected_us"),
+        F.lit(batch_id).cast("bigint").alias("batch"), F.col("arrival").cast("bigint").alias("arrival"), F.col("id").alias("id"),
     )
-    return rows.withWatermark("seen_at", f"{fv.DEDUPE_WINDOW_HOURS} hours").groupBy("key").applyInPandasWithState(
-        _follow, _ROOT_OUTPUT, _ROOT_STATE, "append", GroupStateTimeout.EventTimeTimeout
+    rows = batch.select(by.alias("key"), best.alias("best"))
+    rows = rows.repartitionByRange(blocks, "best.arrival") if blocks else rows.repartitionByRange("best.arrival")
+    hold = F.lit(fv.DEDUPE_WINDOW_HOURS * 3_600_000_000)
+    with ledger.run(run_id) as run:
+        dealt = written(rows.withColumn("block", F.spark_partition_id()))
+        # rows without a key would all meet under the null one
+        keyed, alone = dealt.filter("key IS NOT NULL"), dealt.filter("key IS NULL")
+        before_us = ledger.records().agg(F.max(F.get_json_object("result", "$.seen_us").cast("bigint"))).first()[0]
+        now_us = None if before_us is None else before_us - fv.DEDUPE_WINDOW_HOURS * 3_600_000_000
+        held = read_or_empty(spark, absolute(store, state.below("state")), _STATE)
+        held = held if now_us is None else held.filter(F.col("expires_us") >= now_us)
+        firsts = written(keyed.groupBy("key", "block").agg(F.min("best").alias("first")))
+        earlier = Window.partitionBy("key").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        starts = firsts.join(held.select("key", F.col("best").alias("held")), "key", "left").select(
+            "key", "block", F.least(F.min("first").over(earlier), F.col("held")).alias("start")
+        )
+        place = Window.partitionBy("key", "block").orderBy("best.arrival", "best.id")
+        followed = keyed.withColumns(
+            {
+                "own": F.min("best").over(place.rowsBetween(Window.unboundedPreceding, 0)),
+                "past": F.min("best").over(place.rowsBetween(Window.unboundedPreceding, -1)),
+            }
+        ).join(starts, ["key", "block"])
+        root, past = F.least("own", "start"), F.least("past", "start")
+        found = followed.select("key", F.col("best.id").alias("id"), root["id"].alias("root"), F.when(past["id"] != root["id"], past["id"]).alias("replaced"))
+        found = found.unionByName(alone.select("key", F.col("best.id").alias("id"), F.col("best.id").alias("root"), F.lit(None).cast("string").alias("replaced")))
+        found.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.parquet(f"{store}/roots/{run.attempt}")
+        floor = F.lit(now_us if now_us is not None else 0)
+        seen = F.when(F.col("best.collected_us") == NO_DATE, floor).otherwise(F.greatest(F.col("best.collected_us"), floor))
+        new = firsts.groupBy("key").agg(F.min("first").alias("best")).withColumn("expires_us", seen + hold)
+        kept = held.unionByName(new).groupBy("key").agg(F.min("best").alias("best"), F.max("expires_us").alias("expires_us"))
+        kept.write.parquet(f"{store}/state/{run.attempt}")
+        run.adds += [f"roots/{run.attempt}", f"state/{run.attempt}"]
+        run.removes += state.below("state")
+        last = dealt.filter(F.col("best.collected_us") != NO_DATE).agg(F.max("best.collected_us")).first()[0]
+        run.result["seen_us"] = max(last or 0, before_us or 0) or None
+
+
+def start_roots(items: DataFrame, store: str, checkpoint: str, key: str = "content"):
+    """Run a streaming frame of items through :func:`follow_roots` until the available input is used up."""
+    return (
+        items.writeStream.foreachBatch(lambda df, n: follow_roots(df, n, store, key))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
+
+
+def followed_roots(spark: SparkSession, store: str) -> DataFrame:
+    """``key, id, root, replaced, batch_id`` of all finished batches."""
+    return read_or_empty(spark, absolute(store, Ledger(spark, f"{store}/runs").state().below("roots")), _ROOTS)

@@ -135,11 +135,11 @@ def test_responses(spark):
 
 def scored_item(spark, **changes):
     base = {
-        "id": "x", "arrival": 1, "source_url": "https://example.com/x", "source_name": "Studio News", "source_type": "ai_game_media", "source_weight": 80,
+        "id": "x", "arrival": 1, "source_url": "https://example.com/x", "source_name": "Harbor Weekly", "source_type": "ai_game_media", "source_weight": 80,
         "published_at": dtm.datetime(2026, 5, 19), "collected_at": dtm.datetime(2026, 5, 19), "duplicate_of": None, "is_topic_candidate": True, "exclusion_reason": "",
-        "raw_content": "Studio News reports AI-assisted NPC tooling for game live operations and narrative testing.\nMore lines here.",
-        "summary": "AI-assisted NPC tooling for live operations.", "intro_summary": "", "article_title": "AI NPC tooling for game operations",
-        "article_body": "Studio News reports NPC tooling for live operations and narrative testing.", "category": "AI x Game", "score": 90,
+        "raw_content": "Harbor Weekly describes how a small game crew drafts quest dialogue for each NPC with an AI helper.\nMore lines here.",
+        "summary": "A small crew drafts quest dialogue with an AI helper.", "intro_summary": "", "article_title": "AI helper drafts quest dialogue",
+        "article_body": "Harbor Weekly describes a crew that drafts quest dialogue for each NPC.", "category": "AI x Game", "score": 90,
         "official_sources": [], "keywords": [], "ai_tags": [], "game_tags": [], "edition": dtm.date(2026, 5, 19),
     }
     return {**base, **changes}
@@ -179,7 +179,7 @@ def test_selection_keeps_official_links_and_falls_back(spark):
     first, second = chosen
     assert first["source_url"] == "https://studio.example.com/news"
     assert first["official_sources"] == ["https://studio.example.com/news", "https://studio.example.com/press"]
-    assert second["id"] == "strange" and "AI-assisted NPC tooling" in second["article_body"]
+    assert second["id"] == "strange" and "drafts quest dialogue" in second["article_body"]
     assert ("duplicate", "dup") in audit
 
 

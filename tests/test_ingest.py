@@ -201,3 +201,45 @@ def test_the_index_is_not_shuffled(spark):
     assert {r["id"] for r in seen.collect()} == {r["id"] for r in long_keys(dd.ingest_keys(rows)).collect()}
     assert shop.keys.seen(dd.ingest_keys(rows), ["one", "two"]).count() == 0
     assert long_keys(dd.ingest_keys(rows).where(F.lit(False))).count() == 0
+
+
+def plain_roots(batches):
+    """Root of every row as known when it came, key by key: {id: (root, replaced)}; all dates are within the window."""
+    best, found = {}, {}
+    for n, batch in enumerate(batches):
+        for row in sorted(batch, key=lambda r: r["arrival"]):
+            if row["raw_content"] is None:
+                found[row["id"]] = (row["id"], None)
+                continue
+            k = digest(row["raw_content"])
+            mine = (row["source_type"] != "official", row["published_at"], -row["source_weight"], row["collected_at"], n, row["arrival"], row["id"])
+            old = best.get(k)
+            best[k] = mine if old is None else min(old, mine)
+            found[row["id"]] = (best[k][-1], old[-1] if old and old[-1] != best[k][-1] else None)
+    return found
+
+
+@pytest.mark.parametrize("blocks", [None, 5])
+def test_running_roots_equal_the_plain_loop(spark, blocks):
+    batches, store = random_batches(8), eq.scratch(spark, "roots")
+    rng = random.Random(1)
+    for rows in batches:  # one text holds a third of all rows
+        for r in rows:
+            r["collected_at"] = START + dtm.timedelta(minutes=r["arrival"] % 1000)
+            r["raw_content"] = "the hot text" if rng.random() < 0.33 else r["raw_content"]
+    for n, rows in enumerate(batches):
+        stream.follow_roots(batch_of(spark, rows).repartition(3), n, store, blocks=blocks)
+        stream.follow_roots(batch_of(spark, rows), n, store)  # done already
+    rows = stream.followed_roots(spark, store).collect()
+    assert {r["id"]: (r["root"], r["replaced"]) for r in rows} == plain_roots(batches) and len(rows) == sum(map(len, batches))
+
+
+def test_stored_roots_expire(spark):
+    """A stored root lives 72 hours after its key was last seen; the watermark lags 72 hours behind what earlier batches brought."""
+    store = eq.scratch(spark, "roots")
+    row = {**random_batches(1, batches=1, size=1)[0][0], "source_type": "official", "published_at": START, "source_weight": 50}
+    for n, (hours, text) in enumerate([(0, "same"), (100, "same"), (300, "other"), (301, "same"), (302, "same")]):
+        at = START + dtm.timedelta(hours=hours)
+        stream.follow_roots(batch_of(spark, [{**row, "id": f"r{n}", "arrival": n, "raw_content": text, "collected_at": at}]), n, store)
+    roots = {r["id"]: r["root"] for r in stream.followed_roots(spark, store).collect()}
+    assert roots == {"r0": "r0", "r1": "r0", "r2": "r2", "r3": "r3", "r4": "r3"}
