@@ -549,7 +549,7 @@ def generated_entries(rows):
     """Entries for all but every eleventh item, in several qualities."""
     n = F.col("doc_id")
     points = F.concat(
-        F.lit("1. "), F.substring(tx.collapse(F.col("raw_content")), 1, 100), F.lit("\n\n2. "), F.col("article_title"), F.lit(" again\r\n3. short")
+        F.lit("1. "), tx.collapse(F.col("raw_content")), F.lit("\n\n2. "), F.col("article_title"), F.lit(" again\r\n3. short")
     )
     body = (
         F.when(n % 5 == 0, F.lit("Quantum holographic satellites acquired orbital advertising infrastructure"))
@@ -565,7 +565,7 @@ def generated_entries(rows):
     )
 
 
-_POINTS = f"concat('1. ', substr({s.collapse('raw_content')},1,100), chr(10), '2. ', article_title, ' again', chr(10), '3. short')"
+_POINTS = f"concat('1. ', {s.collapse('raw_content')}, chr(10), '2. ', article_title, ' again', chr(10), '3. short')"
 _BODY_LINES = f"""CASE doc_id%5 WHEN 0 THEN {_STRANGE} WHEN 1 THEN concat({_POINTS}, ' but long enough to count') WHEN 2 THEN '' ELSE {_POINTS} END"""
 _NORM_LINES = r"array_to_string(list_filter(list_transform(string_split(_gb, chr(10)), lambda l: regexp_replace(l, '^\s+|\s+$', '', 'g')), lambda l: l <> ''), chr(10))"
 _ARTICLES = f"""{_ENRICHED}, e0 AS (SELECT *, doc_id%11<>7 AS has_entry, CASE WHEN doc_id%13=0 THEN ' ' ELSE article_title END AS gt, {_BODY_LINES} AS _gb FROM enriched),
