@@ -204,10 +204,11 @@ def correlated_parts(n: int, together: np.ndarray, m: int) -> list[list[int]]:
 def allocate(n: int, together: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
     """Parts with their thresholds (parts with threshold -1 are left out), at the least expected cost over 1 to radius + 1 parts.
 
-    Of equal costs (an empty table has no others) more parts win, which probe less. A part that would probe more than ``MOST_PROBES``
+    Of equal costs more parts win, which probe less. A part that would probe more than ``MOST_PROBES``
     values a row is never chosen; radius + 1 parts with threshold 0 always remain.
     """
-    p = np.diag(together) / max(1, n)
+    n = max(1, n)  # an empty table is planned like one row
+    p = np.diag(together) / n
     differ = 2 * p * (1 - p)
     best, chosen = np.inf, []
     for m in range(1, radius + 2):
