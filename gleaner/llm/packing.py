@@ -1,10 +1,11 @@
 """Optimal length buckets and token-budget batches.
 
-The global histogram of lengths (one row per distinct length) goes to the driver, where dynamic programming places the bucket
-boundaries at the least total padding; the cost satisfies the quadrangle inequality, so each level is solved by divide and conquer.
-Lengths above ``EXACT_BELOW`` meet in bins about a thousandth wide, each standing for its longest member, so the histogram stays
-small however long texts get; only places for boundaries are lost there, no rows. Documents of a bucket are numbered
-by a hash, shard by shard with running offsets, and every ``budget // bucket length`` of them form a batch.
+The global histogram of lengths (one row per distinct length, exact at every size) goes to the driver, where dynamic programming places
+the bucket boundaries at the least total padding. It cannot grow without bound: d distinct lengths need at least d * d / 2 tokens, so
+20 trillion tokens have at most 6.4 million of them, 24 bytes each. The cost satisfies the quadrangle inequality, so the best
+previous boundary never moves back; each level of the programme is solved for all lengths of one stride at a time, between the answers
+of the stride above. Documents of a bucket are numbered by a hash, shard by shard with running offsets, and every
+``budget // bucket length`` of them form a batch.
 
 Defined cases: a null text has length 1 (its end mark); a document longer than the budget is a batch of its own; with fewer distinct
 lengths than buckets each length is a bucket; repeated rows are packed once each; an empty table gives an empty result.
@@ -12,13 +13,14 @@ lengths than buckets each length is a bucket; repeated rows are packed once each
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gleaner.llm.common import documents, settle, whole_text
 
-EXACT_BELOW = 16384
 SHARD_ROWS = 50_000
 BUCKETS = 16
 BUDGET = 65_536
@@ -30,11 +32,37 @@ def words_and_end(column: str = "text") -> Column:
 
 
 def length_histogram(lengths: DataFrame) -> DataFrame:
-    """length (the longest of its bin), n, total."""
-    length = F.col("length")
-    step = F.pow(2.0, F.floor(F.log2(length.cast("double"))) - 10).cast("bigint")
-    place = F.when(length <= EXACT_BELOW, length).otherwise(F.floor(length / step) * step + step - 1)
-    return lengths.groupBy(place.alias("bin")).agg(F.max("length").alias("length"), F.count("*").alias("n"), F.sum("length").alias("total"))
+    """length, n, total: one row per distinct length."""
+    return lengths.groupBy("length").agg(F.count("*").alias("n"), F.sum("length").alias("total"))
+
+
+def _ranges(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All whole numbers of the ranges, end to end, and where each range starts. No range is empty."""
+    sizes = last - first + 1
+    starts = np.cumsum(sizes) - sizes
+    return np.arange(int(sizes.sum())) + np.repeat(first - starts, sizes), starts
+
+
+def _one_more(best: np.ndarray, level: int, cost: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Least cost with one bucket more than ``best`` for every last length, and the last length of the bucket before."""
+    n = len(best)
+    following, choice = np.full(n, np.inf), np.full(n, level - 1, dtype=np.int32)
+    stride = 1 << (n.bit_length() - 1)
+    while stride:
+        at = np.arange(stride - 1, n, 2 * stride)
+        at = at[at >= level]
+        if len(at):
+            first = np.where(at >= stride, choice[np.maximum(at - stride, 0)], level - 1).astype(np.int64)
+            above = np.where(at + stride < n, choice[np.minimum(at + stride, n - 1)], n - 2)
+            last = np.maximum(np.minimum(above, at - 1), first)
+            tries, starts = _ranges(first, last)
+            costs = best[tries] + cost(tries, np.repeat(at, last - first + 1))
+            least = np.minimum.reduceat(costs, starts)
+            hits = np.flatnonzero(costs == np.repeat(least, last - first + 1))
+            following[at] = least
+            choice[at] = tries[hits[np.searchsorted(hits, starts)]]
+        stride //= 2
+    return following, choice
 
 
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray, buckets: int) -> list[int]:
@@ -46,21 +74,8 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, totals: np.ndarray,
     top = lengths.astype(np.float64)
     best, choices = top * c[1:] - s[1:], []
     for level in range(1, buckets):
-        following, choice = np.full(n, np.inf), np.zeros(n, dtype=np.int64)
-        spans = [(level, n - 1, level - 1, n - 2)]
-        while spans:
-            low, high, first, last = spans.pop()
-            mid = (low + high) // 2
-            tries = np.arange(first, min(last, mid - 1) + 1)
-            cost = best[tries] + top[mid] * (c[mid + 1] - c[tries + 1]) - (s[mid + 1] - s[tries + 1])
-            k = int(np.argmin(cost))
-            following[mid], choice[mid] = cost[k], tries[k]
-            if low < mid:
-                spans.append((low, mid - 1, first, int(tries[k])))
-            if mid < high:
-                spans.append((mid + 1, high, int(tries[k]), last))
+        best, choice = _one_more(best, level, lambda i, j: top[j] * (c[j + 1] - c[i + 1]) - (s[j + 1] - s[i + 1]))
         choices.append(choice)
-        best = following
     bounds, at = [n - 1], n - 1
     for choice in reversed(choices):
         at = int(choice[at])
@@ -73,14 +88,15 @@ def pack(
     id_column: str = "doc_id", text_column: str = "text",
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, bucket (from 0), bucket_length, batch (in its bucket), slot (in its batch), padding."""
-    # Text is read once; everything after works on this narrow table.
-    lengths = settle(docs.select(F.col(id_column).alias("doc_id"), (words_and_end(text_column) if length is None else length).alias("length")), "lengths")
-    rows = sorted((r["length"], r["n"], r["total"]) for r in length_histogram(lengths).select("length", "n", "total").collect())
-    histogram = np.array(rows, dtype=np.int64).reshape(-1, 3)
+    # Text is read once; everything after works on this narrow table. The text's hash deals out rows that share an id, or have none.
+    narrow = [F.col(id_column).alias("doc_id"), (words_and_end(text_column) if length is None else length).alias("length"), F.xxhash64(text_column).alias("text_hash")]
+    lengths = settle(docs.select(*narrow), "lengths")
+    table = length_histogram(lengths).orderBy("length").toArrow()
+    histogram = np.stack([table.column(name).to_numpy() for name in ("length", "n", "total")], axis=1).astype(np.int64)
     bounds = optimal_bounds(histogram[:, 0], histogram[:, 1], histogram[:, 2], buckets)
     shards = 1 + int(histogram[:, 1].sum()) // SHARD_ROWS
     bucket = sum(((F.col("length") > b).cast("int") for b in bounds[:-1]), F.lit(0))
-    dealt = lengths.select("*", bucket.alias("bucket"), F.xxhash64(F.lit(seed), "doc_id", "length").alias("h")).withColumn("shard", F.pmod("h", F.lit(shards)))
+    dealt = lengths.select("*", bucket.alias("bucket"), F.xxhash64(F.lit(seed), "doc_id", "length", "text_hash").alias("h")).withColumn("shard", F.pmod("h", F.lit(shards)))
     sizes = dealt.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
     before = Window.partitionBy("bucket").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     offsets = settle(sizes.select("bucket", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")

@@ -120,7 +120,39 @@ def test_packing_odd_rows(spark, odd_docs, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
-def test_wide_bins_lose_no_rows(spark):
+def test_long_lengths_are_exact(spark):
+    """Lengths far above any text, all distinct: bounds by the plain programme over every distinct length."""
     docs = spark.range(400).selectExpr("id AS doc_id", "'' AS text")
-    rows = packing.pack(docs, buckets=5, length=(packing.F.col("doc_id") * 9973 + 1)).collect()
+    length = (packing.F.col("doc_id") * packing.F.col("doc_id") * 97 + 1) * packing.F.when(packing.F.col("doc_id") % 7 == 0, 3).otherwise(1)
+    rows = packing.pack(docs, buckets=5, length=length).collect()
     assert len(rows) == 400 and all(r["padding"] >= 0 for r in rows)
+    sizes = sorted(r["n_tokens"] for r in rows)
+    best = [[sum(sizes[j] - x for x in sizes[: j + 1]) for j in range(400)]]
+    sums = list(itertools.accumulate(sizes, initial=0))
+    for _ in range(4):
+        best.append([min([best[-1][j], *(best[-1][i] + sizes[j] * (j - i) - (sums[j + 1] - sums[i + 1]) for i in range(j))]) for j in range(400)])
+    assert sum(r["padding"] for r in rows) == best[-1][-1]
+
+
+def test_many_distinct_lengths_at_once():
+    """A histogram far longer than a test table's: no cheaper bound next to any of those found."""
+    rng = np.random.default_rng(9)
+    lengths = np.cumsum(rng.integers(1, 9, 200_000))
+    counts = rng.integers(1, 50, 200_000)
+    bounds = packing.optimal_bounds(lengths, counts, lengths * counts, 8)
+    c, s = np.concatenate([[0], np.cumsum(counts)]), np.concatenate([[0], np.cumsum(lengths * counts)])
+    at = np.searchsorted(lengths, bounds)
+    cost = lambda i, j: lengths[j] * (c[j + 1] - c[i + 1]) - (s[j + 1] - s[i + 1])
+    for low, mid, high in zip([-1, *at], at, at[1:], strict=False):
+        between = np.arange(low + 1, high)
+        assert (cost(low, between) + cost(between, high)).min() == cost(low, mid) + cost(mid, high)
+
+
+def test_rows_without_id_are_dealt_by_text(spark):
+    docs = spark.range(300).selectExpr("CAST(null AS long) AS doc_id", "concat('w', id) AS text")
+    shards, packing.SHARD_ROWS = packing.SHARD_ROWS, 30
+    try:
+        rows = packing.pack(docs, buckets=2, budget=20).collect()
+    finally:
+        packing.SHARD_ROWS = shards
+    assert len({(r["batch"], r["slot"]) for r in rows}) == 300
