@@ -185,7 +185,11 @@ def fit(labelled: DataFrame, train_docs: int = TRAIN_DOCS, train_windows: int =
     rows = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("lang", "text", h.alias("h"))
     size = F.length("text")
     start = lambda k: F.lit(1) + F.pmod(F.xxhash64(F.lit(k), "h"), F.greatest(size - WINDOW + 1, F.lit(1)))
-    windows = rows.select("lang", "h", F.array(*[F.substring(F.col("text"), start(k).cast("int"), F.lit(WINDOW)) for k in range(train_windows)]).alias("windows"))
+    # Only rows whose hash lies below about twice the share that is wanted are cut and ranked, so no task ranks a whole language;
+    # a language of few distinct rows is taken whole. One row per language, which is one output of the network.
+    share = rows.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).select("lang", (F.lit(2.0 * train_docs + 100.0) / F.col("n")).alias("share"))
+    near = rows.join(F.broadcast(share), "lang").where(F.col("h") / F.lit(2.0**64) + 0.5 <= F.col("share"))
+    windows = near.select("lang", "h", F.array(*[F.substring(F.col("text"), start(k).cast("int"), F.lit(WINDOW)) for k in range(train_windows)]).alias("windows"))
     first = Window.partitionBy("lang").orderBy("h", "windows")
     sample = windows.withColumn("place", F.row_number().over(first)).where(F.col("place") <= train_docs).orderBy("lang", "h", "windows").collect()
     pairs = [(w.encode("utf-8", "replace")[:WINDOW], r["lang"]) for r in sample for w in r["windows"] if w]
