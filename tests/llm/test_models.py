@@ -66,6 +66,106 @@ def test_exchange_finds_the_classes(spark):
     assert before[:, 0].sum() == before[:, 1].sum() == 300 * 31
 
 
+def test_words_beyond_the_dictionary_find_their_classes(spark):
+    """As above, with the frequent third of the words in the dictionary and the others, a fifth of all tokens, moved in tasks."""
+    rng = random.Random(6)
+    groups = [[f"{g}{i}x{rng.randint(100, 999)}" for i in range(60)] for g in "abc"]
+    docs = [(i, " ".join(rng.choice(groups[(i + j) % 3][: 20 if rng.random() < 0.8 else 60]) for j in range(30))) for i in range(300)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").select(F.col("doc_id").alias("row"), "doc_id", F.lit(False).alias("held_out"), "text")
+    counts = class_lm.word_counts(rows)
+    coding = class_lm.Coding(class_lm.frequent_words(counts, 60), 300, 8)
+    coded = class_lm.code_texts(rows, coding)
+    classes = class_lm.cluster(coded, coding, 5, 8)
+    pairs = class_lm.transition_counts(coded.select("codes"), 5, classes).sum(axis=0)
+    contexts = class_lm.rare_contexts(coded, classes, coding.first_suffix, 5)
+
+    code = lambda w: coding.codes.get(w, None) or class_lm.suffix_code(w, coding.first_suffix, 8)
+    expected = collections.Counter()
+    for _, text in docs:
+        tokens = [b"", *text.encode().split(), b""]
+        own = [0 if not w else int(classes[code(w)]) for w in tokens]
+        for j, w in enumerate(tokens):
+            if w and w not in coding.codes:
+                expected[w, own[j - 1]] += 1
+                expected[w, 5 + own[j + 1]] += 1
+    assert {(bytes(r["word"]), c["cell"]): c["n"] for r in contexts.collect() for c in r["cells"]} == dict(expected)
+
+    moved = {bytes(r["word"]).decode(): r["class"] for r in class_lm.move_rare(contexts, counts, classes, coding, pairs).collect()}
+    often = collections.Counter(w for _, t in docs for w in t.split())
+    assert set(moved) == {w for w, n in often.items() if n >= class_lm.LEAST and w.encode() not in coding.codes}
+    kinds = [collections.Counter(c for w, c in moved.items() if w[0] == g) for g in "abc"]
+    assert sum(k.most_common(1)[0][1] for k in kinds) >= 0.9 * len(moved) and len({k.most_common(1)[0][0] for k in kinds}) == 3
+
+
+def test_best_class_by_trying_each():
+    rng = np.random.default_rng(2)
+    pairs = rng.integers(20, 90, (5, 5)).astype(float)
+    left, right = rng.integers(0, 4, (2, 30, 5))
+    own = rng.integers(1, 5, 30)
+    cells, n, starts = [], [], []
+    for w in range(30):
+        left[w, 0] += 1
+        starts.append(len(cells))
+        both = [*left[w], *right[w]]
+        cells += [j for j in range(10) if both[j]]
+        n += [x for x in both if x]
+    got = class_lm.best_classes(own, np.array(cells), np.array(n), np.array(starts), pairs)
+    flow = lambda x: sum(v * math.log(v) for v in x.ravel() if v > 0)
+    for w in range(30):
+        def gain(c):
+            joined = flow(pairs[c] - right[w] * (c == own[w]) + right[w]) - flow(pairs[c] - right[w] * (c == own[w]))
+            joined += flow(pairs[:, c] - left[w] * (c == own[w]) + left[w]) - flow(pairs[:, c] - left[w] * (c == own[w]))
+            for side, x in ((pairs.sum(axis=1), right[w].sum()), (pairs.sum(axis=0), left[w].sum())):
+                base = side[c] - x * (c == own[w])
+                joined -= flow(np.array([base + x])) - flow(np.array([base]))
+            return joined
+
+        assert got[w] == max(range(1, 5), key=gain)
+
+
+def test_class_scores_by_hand(spark):
+    """Whole scores on a small table: class trigrams counted by plain code over the classes that the operator assigned."""
+    rng = random.Random(8)
+    docs = [(i, " ".join(f"w{min(rng.randint(0, 60), rng.randint(0, 60))}" for _ in range(rng.randint(0, 40)))) for i in range(120)]
+    held = F.col("doc_id") % 4 == 1
+    tables = {}
+    plain = class_lm.settle
+    class_lm.settle = lambda df, name: tables.setdefault(name, plain(df, name))
+    try:
+        rows = class_lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string"), held, words=12, suffixes=4, n_classes=5, rounds=3).collect()
+    finally:
+        class_lm.settle = plain
+    own = {r["doc_id"]: list(r["own"]) for r in tables["classed-texts"].collect()}
+    words = {i: [*t.split(), ""] for i, t in docs}
+    assert all(len(own[i]) == len(words[i]) and own[i][-1] == 0 and 0 not in own[i][:-1] for i in words)
+    class_of = collections.defaultdict(set)
+    for i, t in words.items():
+        for w, c in zip(t, own[i], strict=True):
+            class_of[w].add(c)
+    assert all(len(c) == 1 for c in class_of.values())
+    train = [i for i in words if i % 4 != 1]
+    seen = collections.Counter(w for i in train for w in words[i])
+    three, two, one, sizes = (collections.Counter() for _ in range(4))
+    for i in train:
+        path = [0, 0, *own[i]]
+        for a, b, c in zip(path, path[1:], path[2:], strict=False):
+            three[a, b, c] += 1
+            two[b, c] += 1
+            one[c] += 1
+    for w in seen:
+        sizes[next(iter(class_of[w]))] += 1
+
+    def p(a, b, c):
+        p1 = (one[c] + 0.5) / (sum(one.values()) + 2.5)
+        p2 = (two[b, c] + 5 * p1) / (sum(two[b, x] for x in range(5)) + 5)
+        return (three[a, b, c] + 5 * p2) / (sum(three[a, b, x] for x in range(5)) + 5)
+
+    for r in rows:
+        path = [0, 0, *own[r["doc_id"]]]
+        score = sum(math.log10(p(*path[j : j + 3]) * (seen[w] + 0.5) / (one[path[j + 2]] + 0.5 * (sizes[path[j + 2]] + 1))) for j, w in enumerate(words[r["doc_id"]]))
+        assert abs(score - r["score"]) < 1e-6 * max(1, abs(score))
+
+
 def test_class_lm_odd_rows(spark, odd_docs, no_docs):
     rows = class_lm.score_texts(odd_docs, fold("doc_id", 5) == 1, words=50, suffixes=8, n_classes=6, rounds=2).collect()
     assert len(rows) == odd_docs.count()
