@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from gleaner.llm.common import LOWER_ASCII, documents, fold, settle
 
-WORDS, SUFFIXES, CLASSES, ROUNDS = 8191, 512, 48, 6
+WORDS, SUFFIXES, CLASSES, ROUNDS = 32767, 512, 48, 6
 #: Words that occur fewer times in the training text have no class of their own.
 LEAST = 5
 #: Longer words are never among the frequent ones, which bounds what is sent to tasks.
@@ -221,7 +221,9 @@ def exchange(counts: np.ndarray, classes: np.ndarray, n_classes: int) -> np.ndar
         pairs[own] = np.maximum(pairs[own] - right, 0)
         pairs[:, own] = np.maximum(pairs[:, own] - left, 0)
         rows, columns = pairs.sum(axis=1), pairs.sum(axis=0)
-        gain = (_xlogx(pairs + right) - _xlogx(pairs)).sum(axis=1) + (_xlogx(pairs + left[:, None]) - _xlogx(pairs)).sum(axis=0)
+        met, meets = np.flatnonzero(left), np.flatnonzero(right)  # most words stand beside few classes; the others change nothing
+        after_it, before_it = pairs[:, meets], pairs[met]
+        gain = (_xlogx(after_it + right[meets]) - _xlogx(after_it)).sum(axis=1) + (_xlogx(before_it + left[met, None]) - _xlogx(before_it)).sum(axis=0)
         gain -= _xlogx(rows + right.sum()) - _xlogx(rows) + _xlogx(columns + left.sum()) - _xlogx(columns)
         gain[0] = -np.inf
         best = int(np.argmax(gain))
@@ -265,10 +267,10 @@ def transition_counts(texts: DataFrame, n_classes: int, classes: np.ndarray | No
 def rare_contexts(coded: DataFrame, classes: np.ndarray, first_suffix: int, n_classes: int) -> DataFrame:
     """word, cells: for every word that is not frequent, how often it follows each class (cell) and precedes it (``n_classes`` + cell).
 
-    A task sums each batch by word before the shuffle; a word then meets its sums in one task, which keeps 2 * ``n_classes`` of them.
+    A task sums each batch by word before the shuffle, each sum packed with its cell in one number; a word then meets its sums in one
+    task, which keeps 2 * ``n_classes`` of them.
     """
     kinds = 2 * n_classes
-    cell_type = pa.struct([("cell", pa.int32()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,12 +282,12 @@ def rare_contexts(coded: DataFrame, classes: np.ndarray, first_suffix: int, n_cl
             word = np.asarray(words.indices).astype(np.int64)[_entries(batch.column(1), _sizes(batch.column(2)))] * kinds
             keys, n = np.unique(np.concatenate([word + own[at - 1], word + n_classes + own[at + 1]]), return_counts=True)
             ids, starts = np.unique(keys // kinds, return_index=True)
-            cells = pa.StructArray.from_arrays([pa.array(keys % kinds, pa.int32()), pa.array(n, pa.int64())], fields=list(cell_type))
-            lists = pa.ListArray.from_arrays(pa.array([*starts, len(keys)], pa.int32()), cells)
+            lists = pa.ListArray.from_arrays(pa.array([*starts, len(keys)], pa.int32()), pa.array(n * kinds + keys % kinds, pa.int64()))
             yield pa.RecordBatch.from_arrays([words.dictionary.take(pa.array(ids)), lists], ["word", "cells"])
 
-    found = coded.select("codes", "numbers", "rare").mapInArrow(run, "word binary, cells array<struct<cell: int, n: long>>")
-    sums = found.repartition("word").select("word", F.inline("cells")).groupBy("word", "cell").agg(F.sum("n").alias("n"))
+    found = coded.select("codes", "numbers", "rare").mapInArrow(run, "word binary, cells array<long>")
+    each = found.repartition("word").select("word", F.explode("cells").alias("x"))
+    sums = each.select("word", (F.col("x") % kinds).cast("int").alias("cell"), F.floor(F.col("x") / kinds).alias("n")).groupBy("word", "cell").agg(F.sum("n").alias("n"))
     return sums.groupBy("word").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))
 
 
