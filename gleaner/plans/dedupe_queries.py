@@ -11,7 +11,7 @@ from gleaner.operators import dedupe as dd
 from gleaner.plans import sql as s
 from gleaner.plans.registry import query
 from gleaner.plans.testbed import items
-from gleaner.session import cut_lineage
+from gleaner.session import cut_lineage, written
 
 SPLIT = "2024-01-16 00:00:00"
 
@@ -56,7 +56,7 @@ def exact_dedupe(spark, folder):
     f"WITH {s.ITEMS}, {s.TOKS}, {s.best_match()} SELECT id, parent, round(score, 6) AS score, reason FROM best",
 )
 def best_dup_match(spark, folder):
-    found = dd.best_matches(cut_lineage(dd.dedupe_keys(items(spark, folder))))
+    found = dd.best_matches(written(dd.dedupe_keys(items(spark, folder))))
     return found.filter("parent is not null").select("id", "parent", F.round("score", 6).alias("score"), "reason")
 
 

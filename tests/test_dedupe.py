@@ -201,3 +201,19 @@ def test_preferred_is_official_then_earlier_then_heavier(spark):
         r.update(source_type=kind, published_at=START + dtm.timedelta(minutes=minute), source_weight=weight)
     got = dd.preferred_per(frame(spark, rows).withColumn("g", F.lit(1)), "g").first()["preferred_id"]
     assert got == "i002"
+
+
+def test_a_large_title_gives_one_candidate_per_searcher_and_tile(spark, monkeypatch):
+    """Bodies that all share half of their words under one title: the best matches are found without a list of pairs."""
+    for name, value in (("BLOCK_ROWS", 8), ("TILE_ROWS", 16), ("TILE_TOKENS", 7)):
+        monkeypatch.setattr(dd, name, value)
+    rng, rows, made = random.Random(3), [], []
+    for i in range(40):
+        body = "the report of today said this about games " + " ".join(f"w{rng.randrange(30)}x" for _ in range(8))
+        rows.append({**random_items(1, n=1)[0], "id": f"i{i:04d}", "arrival": i, "source_url": f"https://e.com/{i}", "article_title": "daily market report", "raw_content": body, "duplicate_of": None})
+    real = dd.body_candidates
+    monkeypatch.setattr(dd, "body_candidates", lambda met, reps: made.append(real(met, reps).count()) or real(met, reps))
+    found = {r["id"]: (r["parent"], round(r["score"], 9)) for r in dd.best_matches(cut_lineage(dd.dedupe_keys(frame(spark, rows)))).collect() if r["parent"]}
+    expected = {row["id"]: best_of(row, rows[:i]) for i, row in enumerate(rows) if i}
+    assert found == {k: (match["id"], round(score, 9)) for k, (match, score) in expected.items()}
+    assert 0 < sum(made) <= 40 * 3
