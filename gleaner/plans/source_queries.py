@@ -158,11 +158,12 @@ def extract_templated_items(spark, folder):
 @query(
     "read_frontmatter_docs",
     rf"""WITH {s.ITEMS}, h AS (SELECT *, {s.collapse('article_title')} AS headline FROM items)
-    SELECT concat('doc-', doc_id, '.md') AS file_name, CASE WHEN doc_id%3=0 THEN concat('doc-', doc_id) ELSE headline END AS title,
+    SELECT concat('doc-', doc_id, '.md') AS file_name, CASE WHEN doc_id%3=0 THEN coalesce(nullif({s.strip(r"regexp_extract(raw_content, '(?m)^#\s+(.+)$', 1)")}, ''), concat('doc-', doc_id))
+        ELSE regexp_replace(headline, '^["'']|["'']$', '', 'g') END AS title,
       CASE WHEN doc_id%3=0 THEN concat('manual://doc-', doc_id, '.md') ELSE url_key END AS url,
       CASE WHEN doc_id%3=0 THEN 'Manual Markdown' ELSE source_name END AS source_name,
       CASE WHEN doc_id%3=0 THEN timestamp '2024-02-01 00:00:00' ELSE date_trunc('day', published_at) END AS published_at,
-      md5({s.strip('raw_content')}) AS digest, substr({s.collapse('raw_content')}, 1, 280) AS excerpt, CASE WHEN doc_id%3=0 THEN '' ELSE 'a|b' END AS tags FROM h""",
+      md5({s.strip('raw_content')}) AS digest, substr({s.collapse("regexp_replace(raw_content, '(?m)^#.+$', '', 'g')")}, 1, 280) AS excerpt, CASE WHEN doc_id%3=0 THEN '' ELSE 'a|b' END AS tags FROM h""",
 )
 def read_frontmatter_docs(spark, folder):
     it = items(spark, folder).withColumn("headline", tx.collapse(F.col("article_title")))
