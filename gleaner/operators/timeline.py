@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gleaner import fixed_values as fv
 from gleaner.functions import dates as dt
 from gleaner.functions import text as tx
+from gleaner.session import written
 
 
 def script_segments(editions: DataFrame, items: DataFrame) -> DataFrame:
@@ -69,7 +70,8 @@ def narration_timeline(
     one task: inside stretches of ``stretch`` order values, then over the totals of the stretches before.
     """
     rows = sentences(segments) if split else segments.withColumn("sentence_no", F.lit(0))
-    timed = rows.withColumns({"duration_ms": duration(F.col("text")), "_part": F.floor(F.col(order) / stretch)})
+    # sentences are found once; totals read them without texts
+    timed = written(rows.withColumns({"duration_ms": duration(F.col("text")), "_part": F.floor(F.col(order) / stretch)}))
     totals = timed.groupBy(script, "_part").agg(F.sum("duration_ms").alias("_ms"), F.count("*").alias("_rows"))
     before = Window.partitionBy(script).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("bigint")
@@ -101,6 +103,7 @@ def item_spans(timeline: DataFrame, script: str, item: str) -> DataFrame:
 
 def spans_for_items(items: DataFrame, timeline: DataFrame, script: str, item: str, position: str) -> DataFrame:
     """Span of every listed item. An item nobody speaks about takes the segment at its own position, if there is one."""
+    timeline = written(timeline.select(script, item, "segment_no", "start_ms", "end_ms"))
     spans = item_spans(timeline, script, item).select(script, item, "start_ms", "end_ms")
     total = timeline.groupBy(script).agg(F.max("end_ms").alias("total_ms"))
     counts = items.groupBy(script).agg(F.count("*").alias("n_items"))
