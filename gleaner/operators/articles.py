@@ -14,7 +14,7 @@ from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators.dedupe import distinct_urls
-from gleaner.operators.selection import evidence_text, fallback_fields, traced_share
+from gleaner.operators.selection import fallback_fields, traced
 
 
 def category_or_default() -> Column:
@@ -63,7 +63,7 @@ def normalized_intro(intro: Column, title: Column) -> Column:
 
 def normalized_body(body: Column) -> Column:
     """Trimmed non-blank lines; the one paragraph they form is clamped to 500 characters."""
-    lines = F.filter(F.transform(F.split(F.replace(body, F.lit("\r\n"), F.lit("\n")), "\n"), tx.strip), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(F.replace(tx.head(body, 600), F.lit("\r\n"), F.lit("\n")), "\n"), tx.strip), lambda x: x != "")
     return tx.clamp(F.array_join(lines, "\n"), 500)
 
 
@@ -98,11 +98,9 @@ def validate_articles(items: DataFrame, entries: DataFrame) -> DataFrame:
     offered = F.transform(F.filter("gen_links", ul.is_http_url), ul.canonical_url)
     text = F.concat_ws(" ", "gen_title", "_body", "_intro")
     claims = tx.claim_tokens(text, fv.ARTICLE_STOP_WORDS, keep_han=False)
-    evidence = tx.without(tx.stem_tokens(evidence_text()), fv.ARTICLE_STOP_WORDS)
     points = F.filter(F.transform(F.split("_body", "\n"), tx.strip), lambda x: x.rlike(r"(?U)^[0-9]+\.\s+"))
     df = tx.settle(df, {"_kept": F.arrays_overlap(allowed, offered), "_points": points})
-    traced = (tx.has_han(text) & F.col("_kept")) | F.coalesce(traced_share(claims, evidence) >= 0.25, F.lit(False))
-    df = tx.settle(df, {"_traced": traced})
+    df = tx.settle(df, {"_traced": (tx.has_han(text) & F.col("_kept")) | traced(claims, 0.25)})
     checks = [
         (tx.strip(F.col("gen_title")) == "", fv.VERIFY_NO_TITLE),
         (F.col("_intro") == "", fv.ARTICLE_NO_INTRO),
@@ -131,9 +129,9 @@ def validate_articles(items: DataFrame, entries: DataFrame) -> DataFrame:
 def article_outcomes(validated: DataFrame) -> DataFrame:
     """Final texts per item and the ``outcome``: generated, or fallback built from the item's evidence."""
     good = F.size("reasons") == 0
-    rebuilt = fallback_fields(fv.ARTICLE_FALLBACK_NOTE, "...", tidy=True)
+    held, rebuilt = fallback_fields(validated, ~good, fv.ARTICLE_FALLBACK_NOTE, "...", tidy=True)
     none = F.array().cast("array<string>")
-    return validated.withColumns(
+    return held.withColumns(
         {
             "outcome": F.when(good, F.lit("generated")).otherwise(F.lit("fallback")),
             "article_title": F.when(good, tx.strip(F.col("gen_title"))).otherwise(rebuilt["article_title"]),
@@ -141,7 +139,7 @@ def article_outcomes(validated: DataFrame) -> DataFrame:
             "intro_summary": F.when(good, F.col("norm_intro")).otherwise(rebuilt["intro_summary"]),
             "official_sources": preserved_links(F.when(good, F.col("gen_links")).otherwise(none)),
         }
-    ).drop("gen_title", "gen_body", "gen_intro", "gen_links", "norm_intro", "norm_body")
+    ).drop("gen_title", "gen_body", "gen_intro", "gen_links", "norm_intro", "norm_body", "_lines", "_line", "_rest")
 
 
 # --- responses ------------------------------------------------------------------------------------------------------------

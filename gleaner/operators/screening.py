@@ -166,7 +166,8 @@ def category() -> Column:
 
 def describe(scored: DataFrame) -> DataFrame:
     """Adds summary, keywords, category and article texts of scored items."""
-    compact = tx.collapse(F.col("raw_content"))
+    # the texts below take 220 characters of it at most, and ask whether there are more
+    compact = tx.collapse(tx.head(F.col("raw_content"), 300))
     df = tx.settle(scored, {"_content": compact, "_title": tx.strip(F.coalesce("article_title", F.lit("")))})
     content, title = F.col("_content"), F.col("_title")
     derived = F.substring(content, 1, 40)

@@ -12,7 +12,7 @@ from gleaner.functions import dates as dt
 from gleaner.functions import text as tx
 from gleaner.functions import urls as ul
 from gleaner.operators.dedupe import duplicate_groups
-from gleaner.session import cut_lineage
+from gleaner.session import cut_lineage, written
 
 
 def parse_quotas(text: str) -> list[tuple[str, int]]:
@@ -51,28 +51,45 @@ _EVIDENCE = ["raw_content", "summary", "intro_summary", "source_name", "category
 _EVIDENCE_LISTS = ["official_sources", "keywords", "ai_tags", "game_tags"]
 
 
-def evidence_text() -> Column:
-    parts = [F.coalesce(c, F.lit("")) for c in _EVIDENCE]
+# characters of a text in which claims are looked up first
+EVIDENCE_HEAD = 1500
+
+
+def evidence_text(first: int | None = None) -> Column:
+    """``first``: of the text only the words that end within so many characters, before a blank."""
+    content = F.col("raw_content") if first is None else F.regexp_extract("raw_content", rf"^[\s\S]{{0,{first}}} ", 0)
+    parts = [F.coalesce(content if c == "raw_content" else F.col(c), F.lit("")) for c in _EVIDENCE]
     lists = [F.coalesce(F.array_join(c, " "), F.lit("")) for c in _EVIDENCE_LISTS]
     return F.concat_ws(" ", *parts, *lists)
 
 
 def traced_share(claims: Column, evidence: Column) -> Column:
     """Share of claim tokens (repeats count) found in the evidence tokens; null without claim tokens."""
-    both = F.struct(claims.alias("claims"), F.array_distinct(evidence).alias("known"))
-    return tx.let(
-        both,
-        lambda x: F.when(
-            F.size(x["claims"]) > 0, F.size(F.filter(x["claims"], lambda t: F.array_contains(x["known"], t))) / F.size(x["claims"])
-        ),
-    )
 
+    def share(claimed: Column) -> Column:
+        # the few claim tokens that are known, found by hashing; the tokens of a long evidence are not searched one by one
+        held = tx.let(F.array_intersect(claimed, evidence), lambda known: F.size(F.filter(claimed, lambda t: F.array_contains(known, t))))
+        return F.when(F.size(claimed) > 0, held / F.size(claimed))
 
-def claims_trace(claim: Column, evidence: Column, threshold: float = 0.5) -> Column:
-    share = traced_share(
-        tx.claim_tokens(claim, fv.SELECTION_STOP_WORDS), tx.without(tx.stem_tokens(evidence), fv.SELECTION_STOP_WORDS)
-    )
-    return F.coalesce(share >= threshold, F.lit(False))
+    return tx.let(claims, share)
+
+
+def traced(claims: Column, threshold: float) -> Column:
+    """Whether the share of claim tokens found in the item's evidence reaches the threshold.
+
+    More evidence never lowers the share, so the whole text is taken apart only where its first part does not settle it. Claim tokens
+    hold no stop words, which therefore need not be taken out of the evidence.
+    """
+
+    def reached(claimed: Column) -> Column:
+        found = [F.coalesce(traced_share(claimed, tx.stem_lookup(evidence_text(first))) >= threshold, F.lit(False)) for first in (EVIDENCE_HEAD, None)]
+        return found[0] | found[1]
+
+    return tx.let(claims, reached)
+
+
+def claims_trace(claim: Column, threshold: float = 0.5) -> Column:
+    return traced(tx.claim_tokens(claim, fv.SELECTION_STOP_WORDS), threshold)
 
 
 def verify(generated: Column, rules: Rules = Rules()) -> Column:
@@ -93,29 +110,34 @@ def verify(generated: Column, rules: Rules = Rules()) -> Column:
 def with_verification(items: DataFrame, generated: Column, rules: Rules = Rules()) -> DataFrame:
     """Adds ``reasons``."""
     claim = F.concat_ws(" ", F.col("article_title"), F.col("article_body"))
-    traced = tx.settle(items, {"_traced": claims_trace(claim, evidence_text())})
+    traced = tx.settle(items, {"_traced": claims_trace(claim)})
     return tx.settle(traced, {"reasons": verify(generated, rules)}).drop("_traced")
 
 
-def fallback_fields(note: tuple[str, str], mark: str, tidy: bool) -> dict[str, Column]:
-    """Title, intro and body rebuilt from the item's own evidence."""
-    line = tx.first_line(F.col("raw_content"))
-    title = F.coalesce(tx.null_if_blank(line), tx.null_if_blank(F.col("article_title")), tx.null_if_blank(F.col("summary")), F.lit(fv.FALLBACK_TITLE))
-    summary = F.coalesce(tx.null_if_blank(F.col("summary")), tx.null_if_blank(line), F.col("article_title"))
-    detail = F.coalesce(tx.null_if_blank(tx.rest_lines(F.col("raw_content"))), summary)
+def fallback_fields(rows: DataFrame, use: Column, note: tuple[str, str], mark: str, tidy: bool) -> tuple[DataFrame, dict[str, Column]]:
+    """Title, intro and body rebuilt from the item's own evidence, for the rows of ``use``.
+
+    Lines are taken apart once per row, and only as far as a clamped text can reach.
+    """
+    held = tx.settle(rows, {"_lines": F.when(use, tx.content_lines(tx.line_head(F.col("raw_content"), 300)))})
+    rest = F.array_join(F.slice("_lines", 2, F.greatest(F.size("_lines"), F.lit(1))), " ")
+    held = tx.settle(held, {"_line": F.coalesce(F.try_element_at("_lines", F.lit(1)), F.lit("")), "_rest": rest})
+    line, written_summary = tx.null_if_blank(F.col("_line")), tx.null_if_blank(F.col("summary"))
+    title = F.coalesce(line, tx.null_if_blank(F.col("article_title")), written_summary, F.lit(fv.FALLBACK_TITLE))
+    summary = F.coalesce(written_summary, line, F.col("article_title"))
+    detail = F.coalesce(tx.null_if_blank(F.col("_rest")), summary)
     body = F.concat(
         F.lit("1. "), tx.clamp(summary, 180, mark, tidy), F.lit("\n2. "), tx.clamp(detail, 180, mark, tidy),
         F.lit("\n" + note[0]), F.col("source_name"), F.lit(note[1]),
     )
-    return {"article_title": tx.clamp(title, 80, mark, tidy), "intro_summary": tx.clamp(summary, 80, mark, tidy), "article_body": body}
+    return held, {"article_title": tx.clamp(title, 80, mark, tidy), "intro_summary": tx.clamp(summary, 80, mark, tidy), "article_body": body}
 
 
 def evidence_fallback(verified: DataFrame) -> DataFrame:
     """Rebuild candidates whose only failing reason is an untraceable claim; adds ``fell_back``."""
     only_trace = F.col("is_topic_candidate") & (F.size("reasons") == 1) & (F.get("reasons", F.lit(0)) == fv.VERIFY_NO_TRACE)
-    df = verified.withColumn("fell_back", only_trace)
-    fields = fallback_fields(fv.SELECTION_FALLBACK_NOTE, "…", tidy=False)
-    return tx.settle(df, {name: F.when(F.col("fell_back"), value).otherwise(F.col(name)) for name, value in fields.items()})
+    df, fields = fallback_fields(verified.withColumn("fell_back", only_trace), F.col("fell_back"), fv.SELECTION_FALLBACK_NOTE, "…", tidy=False)
+    return tx.settle(df, {name: F.when(F.col("fell_back"), value).otherwise(F.col(name)) for name, value in fields.items()}).drop("_lines", "_line", "_rest")
 
 
 # --- duplicate groups -------------------------------------------------------------------------------------------------
@@ -161,12 +183,16 @@ def group_links(grouped: DataFrame, winners: DataFrame, scope: list[str]) -> Dat
 
 
 def group_candidates(items: DataFrame, scope: list[str]) -> DataFrame:
-    """One candidate per duplicate group with the group's links."""
-    grouped = duplicate_groups(items, scope)
-    winners = group_winners(grouped, scope)
+    """One candidate per duplicate group with the group's links.
+
+    ``items`` should be materialised. Groups, winners and links are settled without texts, which move once, for the winners.
+    """
+    columns = ["id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at", "source_type", "source_url", "official_sources"]
+    grouped = cut_lineage(duplicate_groups(items.select(*scope, *[c for c in columns if c not in scope]), scope))
+    winners = cut_lineage(group_winners(grouped, scope))
     links = group_links(grouped, winners, scope)
-    winner_rows = grouped.join(winners, [*scope, "group_root"]).filter("id = winner_id")
-    joined = winner_rows.join(links, [*scope, "winner_id"], "left")
+    chosen = winners.join(links, [*scope, "winner_id"], "left").withColumnRenamed("winner_id", "id")
+    joined = items.join(chosen, [*scope, "id"])
     own = F.when(ul.is_http_url(F.col("source_url")), F.array("source_url")).otherwise(F.array().cast("array<string>"))
     alternatives = F.coalesce("alternatives", own)
     keeps_url = (F.col("source_type") == "official") & ul.is_http_url(F.col("source_url"))
@@ -175,7 +201,7 @@ def group_candidates(items: DataFrame, scope: list[str]) -> DataFrame:
             "official_sources": alternatives,
             "source_url": F.when(keeps_url, F.col("source_url")).otherwise(F.coalesce(F.get(alternatives, F.lit(0)), F.col("source_url"))),
         }
-    ).drop("alternatives", "winner_id")
+    ).drop("alternatives")
 
 
 # --- balanced top-k -----------------------------------------------------------------------------------------------------
@@ -240,9 +266,9 @@ def select_and_audit(items: DataFrame, generated: Column, rules: Rules = Rules()
     An item is in one edition; duplicates of items of another edition count for their own edition.
     """
     scope = scope or ["edition"]
-    # scored items and judged candidates each feed several branches; they are written once to the checkpoint folder
-    items = cut_lineage(items)
-    judged = cut_lineage(judged_candidates(items, generated, rules, scope))
+    # scored items and judged candidates each feed several branches, most of them without texts; they are written once as columns
+    items = written(items)
+    judged = written(judged_candidates(items, generated, rules, scope))
     chosen = balanced_topk(judged.filter("eligible"), generated, rules, scope)
     picked = chosen.select("id", F.lit(True).alias("_picked"))
     rest = judged.join(picked, "id", "left").filter("_picked is null")

@@ -18,6 +18,7 @@ from gleaner.plans.dedupe_queries import SPLIT, linked, store_tables
 from gleaner.plans.registry import query
 from gleaner.plans.source_queries import _caps
 from gleaner.plans.testbed import items, table
+from gleaner.session import cut_lineage, written
 
 # The reference-domain words do not occur in the corpus; these patterns do, and have the same kinds: bounded words,
 # substrings and alternations.
@@ -412,7 +413,9 @@ _GROUPED = f"""{_ENRICHED}, {_GARBLED}, grouped AS (SELECT g.*, CASE WHEN EXISTS
 
 
 def grouped(spark, folder):
-    return dd.duplicate_groups(_garbled(enriched(spark, folder)), ["edition"])
+    """Items with their group, without texts; scored once."""
+    rows = _garbled(enriched(spark, folder)).select("edition", "id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at")
+    return dd.duplicate_groups(written(rows), ["edition"])
 
 
 @query("group_winner", f"{_GROUPED} SELECT edition, group_root, winner_id FROM winners")
@@ -432,7 +435,10 @@ _LINKS = """links AS (SELECT edition, winner_id, list(url ORDER BY other, arriva
 
 @query("official_sources", f"{_GROUPED}, {_LINKS} SELECT id, array_to_string(official_sources, '|') AS official_sources, source_url FROM candidates")
 def official_sources(spark, folder):
-    rows = sl.group_candidates(_garbled(enriched(spark, folder)), ["edition"])
+    rows = _garbled(enriched(spark, folder)).select(
+        "edition", "id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at", "source_type", "source_url", "official_sources"
+    )
+    rows = sl.group_candidates(written(rows), ["edition"])
     return rows.select("id", joined("official_sources").alias("official_sources"), "source_url")
 
 
@@ -529,8 +535,9 @@ _TOP = f"{_ENRICHED}, {_topk_sql('(SELECT * FROM enriched WHERE is_topic_candida
 
 
 def top(spark, folder):
+    """The few selected rows of every edition; texts that are built of them read them several times."""
     rows = enriched(spark, folder).filter("is_topic_candidate and duplicate_of is null")
-    return sl.balanced_topk(rows, generated(), RULES)
+    return cut_lineage(sl.balanced_topk(rows, generated(), RULES))
 
 
 @query(
@@ -584,7 +591,7 @@ checked AS (SELECT *, CASE WHEN NOT has_entry THEN [{s.q(fv.ARTICLE_MISSING)}] E
 
 @query("validate_articles", f"{_ARTICLES} SELECT id, array_to_string(reasons, '|') AS reasons, CASE WHEN has_entry THEN gi ELSE '' END AS norm_intro, CASE WHEN has_entry THEN gb ELSE '' END AS norm_body FROM checked")
 def validate_articles(spark, folder):
-    rows = enriched(spark, folder)
+    rows = written(enriched(spark, folder))
     return ar.validate_articles(rows, generated_entries(rows)).select("id", joined("reasons").alias("reasons"), "norm_intro", "norm_body")
 
 
@@ -596,7 +603,7 @@ def validate_articles(spark, folder):
       CASE WHEN fell_back THEN source_url ELSE concat(source_url, '#top') END AS links FROM done""",
 )
 def article_outcomes(spark, folder):
-    rows = enriched(spark, folder)
+    rows = written(enriched(spark, folder))
     done = ar.article_outcomes(ar.validate_articles(rows, generated_entries(rows)))
     return done.select("id", "outcome", "article_title", "article_body", "intro_summary", joined("official_sources").alias("links"))
 
