@@ -56,8 +56,8 @@ EVIDENCE_HEAD = 1500
 
 
 def evidence_text(first: int | None = None) -> Column:
-    """``first``: of the text only the words that end within so many characters, before a blank."""
-    content = F.col("raw_content") if first is None else F.regexp_extract("raw_content", rf"^[\s\S]{{0,{first}}} ", 0)
+    """``first``: of the text only the words that end in so many characters, before a blank."""
+    content = F.col("raw_content") if first is None else F.regexp_extract(F.substring("raw_content", 1, first), "(?s)^.* ", 0)
     parts = [F.coalesce(content if c == "raw_content" else F.col(c), F.lit("")) for c in _EVIDENCE]
     lists = [F.coalesce(F.array_join(c, " "), F.lit("")) for c in _EVIDENCE_LISTS]
     return F.concat_ws(" ", *parts, *lists)
@@ -67,8 +67,16 @@ def traced_share(claims: Column, evidence: Column) -> Column:
     """Share of claim tokens (repeats count) found in the evidence tokens; null without claim tokens."""
 
     def share(claimed: Column) -> Column:
-        # the few claim tokens that are known, found by hashing; the tokens of a long evidence are not searched one by one
-        held = tx.let(F.array_intersect(claimed, evidence), lambda known: F.size(F.filter(claimed, lambda t: F.array_contains(known, t))))
+        # Sets by hashing. A title can be a whole text of one line, so repeats are counted on the smaller side, known or missing.
+        known = F.array_intersect(claimed, evidence)
+        sides = tx.let(known, lambda k: F.struct(k.alias("known"), F.array_except(claimed, k).alias("missing")))
+
+        def count(x: Column) -> Column:
+            absent = F.size(F.filter(claimed, lambda t: F.array_contains(x["missing"], t)))
+            present = F.size(F.filter(claimed, lambda t: F.array_contains(x["known"], t)))
+            return F.when(F.size(x["missing"]) < F.size(x["known"]), F.size(claimed) - absent).otherwise(present)
+
+        held = tx.let(sides, count)
         return F.when(F.size(claimed) > 0, held / F.size(claimed))
 
     return tx.let(claims, share)
