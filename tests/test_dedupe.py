@@ -217,3 +217,14 @@ def test_a_large_title_gives_one_candidate_per_searcher_and_tile(spark, monkeypa
     expected = {row["id"]: best_of(row, rows[:i]) for i, row in enumerate(rows) if i}
     assert found == {k: (match["id"], round(score, 9)) for k, (match, score) in expected.items()}
     assert 0 < sum(made) <= 40 * 3
+
+
+def test_late_title_tokens_meet_few_body_tokens(spark):
+    """A title token far back in its title leaves little title similarity, so only bodies that agree in their rarest tokens can matter."""
+    posts = spark.createDataFrame([("a", 10, p, p) for p in range(6)], "k string, n int, p int, token int")
+    titles = spark.createDataFrame([("a", [f"t{i}" for i in range(10)])], "title_key string, title_set array<string>")
+    bodies = [("r1", "a", [f"w{i:02d}" for i in range(20)]), ("r2", "a", [f"w{i:02d}" for i in range(20)])]
+    reps = spark.createDataFrame(bodies, "id string, partner string, body_set array<string>")
+    met = sj.narrowed(posts, dd.title_bodies(posts.select("k").distinct(), titles, reps)).groupBy("p").count().collect()
+    # of 20 body tokens, those that leave a body similarity of (0.66 - 0.65 * s) / 0.35 for s = min(10 / 11, (10 - p) / 10)
+    assert {r["p"]: r["count"] for r in met} == {0: 17, 1: 16, 2: 13, 3: 9, 4: 5, 5: 1}
