@@ -63,6 +63,22 @@ def evidence_text(first: int | None = None) -> Column:
     return F.concat_ws(" ", *parts, *lists)
 
 
+# distinct claim tokens up to which each is looked up one by one, and claim tokens that are first looked for as parts of a text
+LOOKED_UP, LOOKED_FOR = 16, 32
+
+
+def repeats_of(tokens: Column, some: Column) -> Column:
+    """How many of the tokens, repeats included, are among ``some`` distinct ones of them: both sorted, gone through side by side."""
+
+    def step(x: Column, pair: Column) -> Column:
+        # every one of ``some`` is met, so the next one is at most one place on
+        at = x["at"] + F.when(pair > F.get(x["some"], x["at"]), F.lit(1)).otherwise(F.lit(0))
+        return tx.let(at, lambda i: F.struct(i.alias("at"), (x["n"] + F.when(F.get(x["some"], i) == pair, F.lit(1)).otherwise(F.lit(0))).alias("n"), x["some"].alias("some")))
+
+    start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("n"), F.sort_array(some).alias("some"))
+    return F.aggregate(F.sort_array(tokens), start, step, lambda x: x["n"])
+
+
 def traced_share(claims: Column, evidence: Column) -> Column:
     """Share of claim tokens (repeats count) found in the evidence tokens; null without claim tokens."""
 
@@ -74,7 +90,8 @@ def traced_share(claims: Column, evidence: Column) -> Column:
         def count(x: Column) -> Column:
             absent = F.size(F.filter(claimed, lambda t: F.array_contains(x["missing"], t)))
             present = F.size(F.filter(claimed, lambda t: F.array_contains(x["known"], t)))
-            return F.when(F.size(x["missing"]) < F.size(x["known"]), F.size(claimed) - absent).otherwise(present)
+            looked_up = F.when(F.size(x["missing"]) < F.size(x["known"]), F.size(claimed) - absent).otherwise(present)
+            return F.when(F.least(F.size(x["missing"]), F.size(x["known"])) <= LOOKED_UP, looked_up).otherwise(repeats_of(claimed, x["known"]))
 
         held = tx.let(sides, count)
         return F.when(F.size(claimed) > 0, held / F.size(claimed))
@@ -85,15 +102,19 @@ def traced_share(claims: Column, evidence: Column) -> Column:
 def traced(claims: Column, threshold: float) -> Column:
     """Whether the share of claim tokens found in the item's evidence reaches the threshold.
 
-    More evidence never lowers the share, so the whole text is taken apart only where its first part does not settle it. Claim tokens
-    hold no stop words, which therefore need not be taken out of the evidence.
+    More evidence never lowers the share, so the whole text is taken apart only where its first part does not settle it, and not where
+    too few claim tokens are parts of it at all. Claim tokens hold no stop words, which therefore need not be taken out of the evidence.
     """
 
-    def reached(claimed: Column) -> Column:
-        found = [F.coalesce(traced_share(claimed, tx.stem_lookup(evidence_text(first))) >= threshold, F.lit(False)) for first in (EVIDENCE_HEAD, None)]
-        return found[0] | found[1]
+    def found(claimed: Column, first: int | None) -> Column:
+        return F.coalesce(traced_share(claimed, tx.stem_lookup(evidence_text(first))) >= threshold, F.lit(False))
+
+    def possible(claimed: Column) -> Column:
+        # a token is a word of the evidence or a beginning of one
+        part = tx.let(F.lower(evidence_text()), lambda text: F.size(F.filter(claimed, lambda t: text.contains(t))))
+        return (F.size(claimed) > LOOKED_FOR) | (part >= F.size(claimed) * threshold)
 
-    return tx.let(claims, reached)
+    return tx.let(claims, lambda claimed: found(claimed, EVIDENCE_HEAD) | (possible(claimed) & found(claimed, None)))
 
 
 def claims_trace(claim: Column, threshold: float = 0.5) -> Column:
