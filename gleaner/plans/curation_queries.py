@@ -232,6 +232,15 @@ def enriched(spark, folder, base=None):
     return rows.withColumn("edition", F.date_add(F.to_date("published_at"), 1))
 
 
+def ranked(spark, folder):
+    """Items with the columns of :func:`enriched` that groups and links depend on. A generator gives all its columns or none, so
+    news value, flags and texts would be worked out for every item and dropped."""
+    rows = sc.relevance_scores(linked(spark, folder), SIGNALS)
+    return rows.withColumns(
+        {"score": F.col("cross_relevance_score"), "official_sources": F.array("source_url"), "edition": F.date_add(F.to_date("published_at"), 1)}
+    )
+
+
 @query(
     "enrich_items",
     f"""{_ENRICHED} SELECT id, edition, category, score, is_topic_candidate, is_topic_candidate AND duplicate_of IS NULL AS selected, exclusion_reason,
@@ -414,7 +423,7 @@ _GROUPED = f"""{_ENRICHED}, {_GARBLED}, grouped AS (SELECT g.*, CASE WHEN EXISTS
 
 def grouped(spark, folder):
     """Items with their group, without texts; scored once."""
-    rows = _garbled(enriched(spark, folder)).select("edition", "id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at")
+    rows = ranked(spark, folder).select("edition", "id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at")
     return dd.duplicate_groups(written(rows), ["edition"])
 
 
@@ -435,7 +444,7 @@ _LINKS = """links AS (SELECT edition, winner_id, list(url ORDER BY other, arriva
 
 @query("official_sources", f"{_GROUPED}, {_LINKS} SELECT id, array_to_string(official_sources, '|') AS official_sources, source_url FROM candidates")
 def official_sources(spark, folder):
-    rows = _garbled(enriched(spark, folder)).select(
+    rows = ranked(spark, folder).select(
         "edition", "id", "duplicate_of", "arrival", "score", "source_weight", "published_at", "collected_at", "source_type", "source_url", "official_sources"
     )
     rows = sl.group_candidates(written(rows), ["edition"])

@@ -9,6 +9,7 @@ from gleaner import fixed_values as fv
 from gleaner.functions import text as tx
 from gleaner.operators import selection as sl
 from gleaner.plans import catalog  # noqa: F401
+from gleaner.plans import curation_queries as cq
 from gleaner.plans.registry import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -62,3 +63,17 @@ def test_trace_in_parts_is_the_trace_of_the_whole(spark):
     rows = frame.select("claim", "raw_content", whole.alias("whole"), sl.claims_trace(F.col("claim")).alias("parts")).collect()
     assert {r.whole for r in rows} == {True, False}
     assert [r for r in rows if r.whole != r.parts] == []
+
+
+@pytest.mark.parametrize("name", ["official_sources", "group_winner"])
+def test_groups_are_scored_without_what_they_drop(spark, monkeypatch, name):
+    """``license`` is looked for in news values, ``_low`` is a flag of classified items, ``keywords`` a text of described ones."""
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(cq, "written", watched)
+    QUERIES[name](spark, SMALL)
+    assert plans and "leaux" in plans[0] and not [x for x in ("license", "_low", "keywords") if x in plans[0]]
