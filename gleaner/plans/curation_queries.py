@@ -544,9 +544,12 @@ _TOP = f"{_ENRICHED}, {_topk_sql('(SELECT * FROM enriched WHERE is_topic_candida
 
 
 def top(spark, folder):
-    """The few selected rows of every edition; texts that are built of them read them several times."""
-    rows = enriched(spark, folder).filter("is_topic_candidate and duplicate_of is null")
-    return cut_lineage(sl.balanced_topk(rows, generated(), RULES))
+    """The few selected rows of every edition; texts that are built of them read them several times. Selection needs no text, so only
+    selected rows are described."""
+    scored = sc.classify(linked(spark, folder), signals=SIGNALS).filter("provider_candidate and duplicate_of is null")
+    columns = {"score": F.col("cross_relevance_score"), "category": sc.category(), "edition": F.date_add(F.to_date("published_at"), 1)}
+    chosen = sl.balanced_topk(scored.withColumns(columns), generated(), RULES)
+    return cut_lineage(sc.enrich_items(chosen, scorer=sc.describe))
 
 
 @query(

@@ -77,3 +77,17 @@ def test_groups_are_scored_without_what_they_drop(spark, monkeypatch, name):
     monkeypatch.setattr(cq, "written", watched)
     QUERIES[name](spark, SMALL)
     assert plans and "leaux" in plans[0] and not [x for x in ("license", "_low", "keywords") if x in plans[0]]
+
+
+def test_only_selected_rows_are_described(spark, monkeypatch):
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return df
+
+    monkeypatch.setattr(cq, "cut_lineage", watched)
+    cq.top(spark, SMALL)
+    lines = plans[0].splitlines()  # from the last step to the first
+    described = [i for i, line in enumerate(lines) if "Generate" in line and "struct(summary," in line]
+    assert described and max(described) < min(i for i, line in enumerate(lines) if "Window " in line)
