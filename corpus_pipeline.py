@@ -18,7 +18,7 @@ ORACLE_SQL = None
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return kneser_ney.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return kneser_ney.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), train_docs=None)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

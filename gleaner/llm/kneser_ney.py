@@ -1,12 +1,13 @@
 """Quality classifier: perplexity under an interpolated modified Kneser-Ney trigram model of trusted text.
 
-The model is fitted on a bounded sample (at most ``TRAIN_DOCS`` labelled documents of quality 1, whole texts, from the half of them
-whose id hashes to an even number; the other half sets the thresholds). All its
-counts, discounts and probabilities are DataFrame aggregates and joins over words coded by a 64-bit hash. An interpolated model can be
+The model is fitted on whole texts of labelled documents of quality 1, the half of them whose id hashes to an even number; the other
+half sets the thresholds. The query and the pipeline fit it on all of that half; ``classify`` takes at most ``train_docs`` of it if told
+to. All its counts, discounts and probabilities are DataFrame aggregates and joins over words coded by a 64-bit hash. An interpolated model can be
 written as a sum: log P(text) is the sum of one weight per word, per word pair and per word triple that the model holds (what a seen
 n-gram adds to its back-off). So scoring is a join of each text's n-grams, each hashed to 63 bits, with the weights. The ``HOT`` most frequent n-grams travel to the
 tasks, a Bloom filter of fixed size keeps back n-grams that the model does not hold, and the rest meets the weights in a join
-sharded by n-gram.
+sharded by n-gram. The counts of triples move once, to the shard of their middle word: sums over a pair's first or second place, and
+over the words beside it, are then taken, and joined, where they are.
 
 A document is kept when its perplexity is at most the threshold of its language: the median of the language's trusted documents
 outside the sample, times a spread. The spread is that of the language's own ``QUANTILE`` over its median, drawn towards the spread
@@ -23,6 +24,7 @@ everything is kept with a null threshold; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -92,8 +94,15 @@ def gram_key(*columns: str) -> Column:
     return F.xxhash64(*columns).bitwiseAND(F.lit(2**63 - 1)).alias("g")
 
 
-def trigram_counts(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
-    """(a, b, c, n): triples of codes that do not end in a start, so each lies in one text."""
+def bucketed(df: DataFrame, shards: int, *columns: str) -> tuple[str, DataFrame]:
+    """A table bucketed by the first column, and its name; what groups or joins it by that column and others shuffles nothing."""
+    name = f"kneser_ney_{uuid.uuid4().hex}"
+    df.write.bucketBy(shards, columns[0]).sortBy(*columns).option("compression", "zstd").saveAsTable(name)
+    return name, df.sparkSession.table(name)
+
+
+def trigram_counts(docs: DataFrame, known: np.ndarray | None, shards: int) -> DataFrame:
+    """(a, b, c, n): triples of codes that do not end in a start, so each lies in one text; dealt out by b."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +113,8 @@ def trigram_counts(docs: DataFrame, known: np.ndarray | None) -> DataFrame:
                 first = inside[first]
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (x[first], x[first + 1], x[first + 2], n)], ["a", "b", "c", "n"])
 
-    return docs.select("text").mapInArrow(run, "a long, b long, c long, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    found = docs.select("text").mapInArrow(run, "a long, b long, c long, n long")
+    return found.repartition(shards, "b").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
 
 
 def discounts(table: DataFrame) -> list[float]:
@@ -130,38 +140,38 @@ def fit(docs: DataFrame, vocabulary: int | None = None) -> tuple[np.ndarray | No
     """The known codes (None: all words of the sample), the weights (log10) of a text's beginning and of an unknown word, and the table
     (g, weight, n) of single words, pairs and triples. A word's weight is what it has beyond an unknown one."""
     known, unseen = None, 1
+    spark = docs.sparkSession
+    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if vocabulary is not None:
         counts = settle(word_counts(docs, split=cased_words), "trusted-words")
         words = [w for w, _ in frequent_words(counts, vocabulary)]
         known, unseen = np.sort(word_codes(words)), max(0, counts.count() - 1 - len(words)) + 1
-    three = settle(trigram_counts(docs, known), "triples")
+    three_table, three = bucketed(trigram_counts(docs, known, shards), shards, "b", "c", "a")
     # How many different words stand before a pair; a pair at a text's beginning has none and counts its occurrences.
     two = three.groupBy("b", "c").agg(F.count("*").alias("k"), F.sum("n").alias("s"))
-    two = settle(two.select("b", "c", F.when(F.col("b") == START, F.col("s")).otherwise(F.col("k")).alias("n")), "pairs")
+    two_table, two = bucketed(two.select("b", "c", F.when(F.col("b") == START, F.col("s")).otherwise(F.col("k")).alias("n")), shards, "b", "c")
     one = settle(two.groupBy("c").agg(F.count("*").alias("n")), "singles")
     d1, d2, d3 = discounts(one), discounts(two), discounts(three)
     sums = one.agg(F.sum("n").alias("total"), _spared(d1).alias("spared"), F.count(F.when(~F.col("c").isin(END, UNKNOWN), 1)).alias("words")).first()
     total = sums["total"] or 1
     share = (sums["spared"] / total if sums["total"] else 1.0) / ((sums["words"] if known is None else len(known)) + 2)
     p1 = (F.col("n") - _discount(F.col("n"), d1)) / F.lit(float(total)) + F.lit(share)
-    one = settle(one.select("c", "n", p1.alias("p1")), "single-probabilities")
+    one = one.select("c", "n", p1.alias("p1"))
     seen_1 = two.groupBy("b").agg(F.sum("n").alias("sum"), _spared(d2).alias("spared"))
-    seen_1 = settle(seen_1.select("b", "sum", (F.col("spared") / F.col("sum")).alias("gamma")), "single-contexts")
-    pairs = two.join(one.select("c", "p1"), "c").join(seen_1, "b")
+    seen_1 = seen_1.select("b", "sum", (F.col("spared") / F.col("sum")).alias("gamma"))
+    pairs = two.join(one.select("c", "p1"), "c").repartition(shards, "b").join(seen_1, "b")
     p2 = (F.col("n") - _discount(F.col("n"), d2)) / F.col("sum") + F.col("gamma") * F.col("p1")
-    pairs = settle(pairs.select("b", "c", "n", p2.alias("p2"), (F.log10(p2) - F.log10("gamma") - F.log10("p1")).alias("gain")), "pair-probabilities")
+    pairs = pairs.select("b", "c", "n", p2.alias("p2"), (F.log10(p2) - F.log10("gamma") - F.log10("p1")).alias("gain"))
+    pairs_table, pairs = bucketed(pairs, shards, "b", "c")
     seen_2 = three.groupBy("a", "b").agg(F.sum("n").alias("sum"), _spared(d3).alias("spared"))
-    seen_2 = settle(seen_2.select("a", "b", "sum", (F.col("spared") / F.col("sum")).alias("gamma")), "pair-contexts")
+    seen_2 = seen_2.select("a", "b", "sum", (F.col("spared") / F.col("sum")).alias("gamma"))
     p3 = (F.col("n") - _discount(F.col("n"), d3)) / F.col("sum") + F.col("gamma") * F.col("p2")
     triples = three.join(seen_2, ["a", "b"]).join(pairs.select("b", "c", "p2"), ["b", "c"])
     triples = triples.select(gram_key("a", "b", "c"), (F.log10(p3) - F.log10("gamma") - F.log10("p2")).alias("weight"), "n")
     # A pair's weight: what it gains as seen pair, and its back-off as context of the next word.
-    as_context = seen_2.select(F.col("a").alias("b"), F.col("b").alias("c"), F.log10("gamma").alias("back"), F.col("sum").alias("times"))
-    both = pairs.select("b", "c", "gain", "n").join(as_context, ["b", "c"], "full")
-    pair_weights = both.select(
-        gram_key("b", "c"), (F.coalesce("gain", F.lit(0.0)) + F.coalesce("back", F.lit(0.0))).alias("weight"),
-        F.greatest(F.coalesce("times", F.lit(0)), F.coalesce("n", F.lit(0))).alias("n"),
-    )
+    as_context = seen_2.select(gram_key("a", "b"), F.log10("gamma").alias("weight"), F.col("sum").alias("n"))
+    both = pairs.select(gram_key("b", "c"), F.col("gain").alias("weight"), "n").unionByName(as_context)
+    pair_weights = both.groupBy("g").agg(F.sum("weight").alias("weight"), F.max("n").alias("n"))
     special = {r["b"]: r["gamma"] for r in seen_1.where(F.col("b").isin(START, UNKNOWN)).collect()}
     rare = one.where(F.col("c") == UNKNOWN).first()
     unknown = float(np.log10(rare["p1"] if rare else share) + np.log10(special.get(UNKNOWN, 1.0)) - np.log10(unseen))
@@ -169,6 +179,8 @@ def fit(docs: DataFrame, vocabulary: int | None = None) -> tuple[np.ndarray | No
     single_weights = one.where(F.col("c") != UNKNOWN).join(backs, "c", "left")
     single_weights = single_weights.select(gram_key("c"), (F.log10("p1") + F.coalesce("back", F.lit(0.0)) - unknown).alias("weight"), "n")
     weights = settle(triples.unionByName(pair_weights).unionByName(single_weights), "ngram-weights")
+    for name in (three_table, two_table, pairs_table):
+        spark.sql(f"DROP TABLE {name}")
     return known, (float(np.log10(special.get(START, 1.0))), unknown), weights
 
 
@@ -218,7 +230,7 @@ def perplexities(docs: DataFrame, known: np.ndarray | None, fixed: tuple[float,
     cut = hottest(weights, hot)
     top = weights.where(F.col("n") >= cut).select("g", "weight").toArrow().sort_by("g")
     hot_g, hot_w = top["g"].to_numpy(), top["weight"].to_numpy()
-    rest = settle(weights.where(F.col("n") < cut).select("g", "weight"), "tail-weights")
+    rest = weights.where(F.col("n") < cut).select("g", "weight")
     context = weights.sparkSession.sparkContext
     shared = context.broadcast((known, fixed, hot_g, hot_w, bloom_of(rest)))  # at most HOT n-grams and BLOOM_BITS / 8 bytes
     key, mark = id_key(F.col("doc_id").cast("bigint")).alias("__key"), F.xxhash64(whole_text(text_column)).alias("__mark")
@@ -288,15 +300,17 @@ def thresholds(judges: DataFrame, quantile: float = QUANTILE) -> tuple[DataFrame
     return settle(own, "limits"), judges.agg(cut.alias("t")).scalar()
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_docs: int = TRAIN_DOCS, vocabulary: int | None = None) -> DataFrame:
-    """doc_id, lang, mark (hash of the text), n_tokens, perplexity, threshold and kept for every row of ``docs`` (doc_id, text, lang)."""
+def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, train_docs: int | None = TRAIN_DOCS, vocabulary: int | None = None) -> DataFrame:
+    """doc_id, lang, mark (hash of the text), n_tokens, perplexity, threshold and kept for every row of ``docs`` (doc_id, text, lang).
+    The model is fitted on at most ``train_docs`` trusted documents (None: on all of its half)."""
     trusted = settle(trusted_ids(labels).join(docs.select(F.col("doc_id").cast("bigint").alias("doc_id")).distinct(), "doc_id", "left_semi"), "trusted-ids")
     side = F.xxhash64(F.lit(29), "doc_id")
-    sample = settle(trusted.where(side % 2 == 0).orderBy(side, "doc_id").limit(train_docs), "sample-ids")
+    sample = trusted.where(side % 2 == 0)
+    sample = settle(sample if train_docs is None else sample.orderBy(side, "doc_id").limit(train_docs), "sample-ids")
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.xxhash64(whole_text()).alias("mark"), "text")
     if sample.isEmpty():
         return rows.select("doc_id", "lang", "mark", F.lit(None).cast("long").alias("n_tokens"), F.lit(None).cast("double").alias("perplexity"), F.lit(None).cast("double").alias("threshold"), F.lit(True).alias("kept"))
-    texts = settle(rows.join(F.broadcast(sample), "doc_id", "left_semi").select("text"), "sample-texts")  # at most train_docs ids
+    texts = rows.join(sample, "doc_id", "left_semi").select("text")
     found = settle(perplexities(rows, *fit(texts, vocabulary), keep=["doc_id", "lang", "mark"]), "perplexities")
     judges = found.join(trusted.join(sample, "doc_id", "left_anti"), "doc_id", "left_semi").select("lang", "perplexity")
     limits, overall = thresholds(settle(judges, "judges"), quantile)
@@ -314,4 +328,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
-    return classify(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet")).drop("mark")
+    return classify(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"), train_docs=None).drop("mark")

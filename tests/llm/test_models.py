@@ -261,6 +261,18 @@ def test_sample_is_not_shrunk(spark):
     assert kneser_ney.classify.__defaults__[1] == kneser_ney.TRAIN_DOCS == 6000
 
 
+def test_query_and_pipeline_fit_on_all_trusted_documents(spark, monkeypatch):
+    """With room for one document in a sample, every trusted document of the model's half is fitted on."""
+    labels = spark.read.parquet(f"{FOLDER}/labels.parquet").where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    want = labels.join(spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id"), "doc_id", "left_semi").where(F.xxhash64(F.lit(29), F.col("doc_id").cast("bigint")) % 2 == 0).count()
+    seen, plain = [], kneser_ney.fit
+    monkeypatch.setattr(kneser_ney.classify, "__defaults__", (kneser_ney.QUANTILE, 1, None))
+    monkeypatch.setattr(kneser_ney, "fit", lambda docs, *rest: seen.append(docs.count()) or plain(docs, *rest))
+    kneser_ney.op10_kneser_ney(spark, FOLDER)
+    corpus_pipeline.quality(spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    assert want > 1 and seen == [want, want]
+
+
 def test_rare_language_has_its_own_threshold(spark):
     rows = [("en", 100.0 + i % 40) for i in range(400)] + [("fr", 900.0 + 10 * i) for i in range(5)] + [(None, 5000.0)]
     limits, overall = kneser_ney.thresholds(spark.createDataFrame(rows, "lang string, perplexity double"))
