@@ -28,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm.common import LOWER_ASCII, documents, fold, settle
+from gleaner.llm import common
+from gleaner.llm.common import LOWER_ASCII, documents, fold
 
 WORDS, SUFFIXES, CLASSES, ROUNDS = 32767, 512, 48, 6
 #: Words that occur fewer times in the training text have no class of their own.
@@ -44,6 +45,11 @@ SMOOTH = 5.0
 MOST = 2**31 - 1
 
 
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """Coded texts are the largest tables and hold words, which zstd packs better."""
+    return common.settle(df, name, codec="zstd")
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(LOWER_ASCII).split()
 

@@ -166,6 +166,11 @@ def test_class_scores_by_hand(spark):
         assert abs(score - r["score"]) < 1e-6 * max(1, abs(score))
 
 
+def test_tables_of_texts_are_packed(spark):
+    table = class_lm.settle(spark.createDataFrame([(b"word",)], "word binary"), "packed")
+    assert all(".zstd." in name for name in table.inputFiles()) and table.count() == 1
+
+
 def test_class_lm_odd_rows(spark, odd_docs, no_docs):
     rows = class_lm.score_texts(odd_docs, fold("doc_id", 5) == 1, words=50, suffixes=8, n_classes=6, rounds=2).collect()
     assert len(rows) == odd_docs.count()
