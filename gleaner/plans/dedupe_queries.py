@@ -56,7 +56,7 @@ def exact_dedupe(spark, folder):
     f"WITH {s.ITEMS}, {s.TOKS}, {s.best_match()} SELECT id, parent, round(score, 6) AS score, reason FROM best",
 )
 def best_dup_match(spark, folder):
-    found = dd.best_matches(written(dd.dedupe_keys(items(spark, folder))))
+    found = dd.best_matches(written(dd.dedupe_keys(items(spark, folder)), "zstd"))
     return found.filter("parent is not null").select("id", "parent", F.round("score", 6).alias("score"), "reason")
 
 

@@ -228,3 +228,40 @@ def test_late_title_tokens_meet_few_body_tokens(spark):
     met = sj.narrowed(posts, dd.title_bodies(posts.select("k").distinct(), titles, reps)).groupBy("p").count().collect()
     # of 20 body tokens, those that leave a body similarity of (0.66 - 0.65 * s) / 0.35 for s = min(10 / 11, (10 - p) / 10)
     assert {r["p"]: r["count"] for r in met} == {0: 17, 1: 16, 2: 13, 3: 9, 4: 5, 5: 1}
+
+
+def test_similar_titles_meet_at_one_place(spark, monkeypatch):
+    """Titles that are all alike: each body goes to one place, not to every partner."""
+    rows, moved, real = [], [], dd.written
+    for i in range(24):
+        title, body = f"alpha beta gamma delta engine studio w{i}x", "the report of today said this about games and studios again " + f"b{i % 7}x c{i % 5}x d{i}x"
+        rows.append({**random_items(1, n=1)[0], "id": f"i{i:04d}", "arrival": i, "source_url": f"https://e.com/{i}", "article_title": title, "raw_content": body, "duplicate_of": None})
+    monkeypatch.setattr(dd, "written", lambda df, *a: moved.append(df.count()) or real(df, *a) if "partners" in df.columns else real(df, *a))
+    monkeypatch.setattr(dd, "PLACE_ROWS", 10)  # and its rows are dealt out
+    found = {r["id"]: (r["parent"], round(r["score"], 9)) for r in dd.best_matches(cut_lineage(dd.dedupe_keys(frame(spark, rows)))).collect() if r["parent"]}
+    expected = {row["id"]: best_of(row, rows[:i]) for i, row in enumerate(rows) if i}
+    assert found == {k: (match["id"], round(score, 9)) for k, (match, score) in expected.items()}
+    assert moved == [24]
+
+
+def test_sketches_leave_out_no_pair_that_matters(spark):
+    """Pairs by brute force: those that matter are found, none is below the threshold, and none is without an asking set."""
+    rng, rows = random.Random(8), []
+    for k in range(60):
+        near = set(rng.choice(rows)[1]) if rows and rng.random() < 0.6 else set()
+        tokens = {t for t in near if rng.random() < 0.85} | {f"t{rng.randrange(300)}x" for _ in range(rng.choice([1, 3, 20]))}
+        other = {f"o{rng.randrange(40)}x" for _ in range(rng.choice([5, 30]))}
+        rows.append((k, sorted(tokens), sorted(other), k % 3 == 0, k % 4 > 0))
+    sets = spark.createDataFrame(rows, "k bigint, s array<string>, o array<string>, asks boolean, alone boolean")
+    sets = sets.select("k", "s", "asks", F.when(F.col("alone"), F.size("o")).otherwise(F.lit(-1)).alias("size"), sj.sketch(F.col("o"), sj.OTHER).alias("other"))
+    found = {(r["right"], r["left"]): r["similarity"] for r in sj.similar_sets(sets, 0.4, lambda s: 0.9 - s).collect()}
+    near, matter = {}, set()
+    for i, (k, s, o, asks, alone) in enumerate(rows):
+        for k2, s2, o2, asks2, alone2 in rows[i + 1 :]:
+            t, b = jac(set(s), set(s2)), jac(set(o), set(o2)) if alone and alone2 else 1.0
+            if t >= 0.4 and (asks or asks2):
+                near[k, k2] = t
+                if b >= 0.9 - t:
+                    matter.add((k, k2))
+    assert matter and matter <= set(found) <= set(near)
+    assert all(abs(found[p] - near[p]) < 1e-12 for p in found)
