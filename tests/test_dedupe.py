@@ -254,7 +254,9 @@ def test_sketches_leave_out_no_pair_that_matters(spark):
         rows.append((k, sorted(tokens), sorted(other), k % 3 == 0, k % 4 > 0))
     sets = spark.createDataFrame(rows, "k bigint, s array<string>, o array<string>, asks boolean, alone boolean")
     sets = sets.select("k", "s", "asks", F.when(F.col("alone"), F.size("o")).otherwise(F.lit(-1)).alias("size"), sj.sketch(F.col("o"), sj.OTHER).alias("other"))
-    found = {(r["right"], r["left"]): r["similarity"] for r in sj.similar_sets(sets, 0.4, lambda s: 0.9 - s).collect()}
+    pairs = sj.similar_sets(sets, 0.4, lambda s: 0.9 - s)
+    assert pairs.columns == ["left", "right"]  # no set goes with a pair
+    found = {(r["right"], r["left"]): r["similarity"] for r in sj.compared(pairs, sets, 0.4).collect()}
     near, matter = {}, set()
     for i, (k, s, o, asks, alone) in enumerate(rows):
         for k2, s2, o2, asks2, alone2 in rows[i + 1 :]:
